@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,7 +81,9 @@ def hour_key(ts: Column, base: str = HOUR_KEY_BASE) -> Column:
 
 
 def _lookup(mapping: dict) -> Column:
-    return F.create_map(*[F.lit(item) for item in chain.from_iterable(mapping.items())])
+    """Constant map; one parsed expression instead of one call per entry."""
+    entries = ", ".join(f"{key!r}, {value!r}" for key, value in mapping.items())
+    return F.expr(f"map({entries})")
 
 
 def condition_of(code: Column) -> Column:

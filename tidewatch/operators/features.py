@@ -38,26 +38,20 @@ from tidewatch.schemas import (
 
 
 def prepare_raw(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Typed, NaN-free input of the windows. Adds ``id`` where it is absent."""
+    """Typed, NaN-free input of the windows."""
     require_columns(df, REQUIRED_RAW_COLUMNS, "raw frame")
     numbers = [c for c in REQUIRED_RAW_COLUMNS if c not in ("observed_at", "weather_code")]
     observed_at = F.col("observed_at")
     if df.schema["observed_at"].dataType.typeName() == "string":
         observed_at = utc_timestamp(observed_at)
-    given_id = [as_number(df, "id").cast("bigint").alias("id")] if "id" in df.columns else []
-    rows = df.select(
+    return df.select(
         *keys,
-        *given_id,
+        *([as_number(df, "id").cast("bigint").alias("id")] if "id" in df.columns else []),
         observed_at.cast("timestamp_ntz").alias("observed_at"),
         *[as_number(df, name).alias(name) for name in numbers],
         round_half_even(as_number(df, "weather_code")).alias("weather_code"),
         *[optional_number(df, name).alias(name) for name in ENRICHMENT_VARIABLES],
     )
-    if given_id:
-        return rows
-    return with_row_index(rows, keys, index="__position").select(
-        *keys, (F.col("__position") + 1).alias("id"), *rows.columns[len(keys) :]
-    )
 
 
 def feature_frame(df: DataFrame, keys: list[str] | None = None, **layout_options) -> DataFrame:
@@ -65,10 +59,21 @@ def feature_frame(df: DataFrame, keys: list[str] | None = None, **layout_options
 
     One exchange brings a series (or a chunk of a long one) together; row frames,
     the look-ahead label and the previous day's extremes are all read from it.
+    Rows without an ``id`` are numbered from 1 in time order.
     """
     keys = keys or []
-    layout = lay_out(prepare_raw(df, keys), keys, **layout_options)
+    rows = prepare_raw(df, keys)
+    layout = lay_out(rows, keys, **layout_options)
+    number = {}
+    if "id" not in rows.columns:
+        if layout.chunked:
+            indexed = with_row_index(rows, keys, index="__position")
+            layout = lay_out(indexed, keys, **layout_options)
+            number = {"id": F.col("__position") + 1}
+        else:
+            number = {"id": F.row_number().over(layout.window()).cast("bigint")}
     derived = {
+        **number,
         "dew_point_spread": dew_point_spread(F.col("temperature_2m"), F.col("dew_point_2m")),
         **daily_lags(layout, DAILY_VARIABLES),
         "rain": F.coalesce("rain", F.lit(0.0)),

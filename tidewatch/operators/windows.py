@@ -63,13 +63,15 @@ def lay_out(
 
     A chunk also holds all rows of the calendar day before its first row. Series
     of at most ``chunk_rows`` rows stay whole; if no series is longer, one
-    exchange by series is all there is. ``chunk_rows=None`` skips that check.
+    exchange by series is all there is. The check is one aggregate over the key
+    columns; ``chunk_rows=None`` skips it.
     """
     if chunk_rows is None:
         return Layout(df, keys, time, False)
-    plan = _chunk_plan(df, keys, time, before, after, chunk_rows, bucket_days)
-    if plan.isEmpty():
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if sizes.where(F.col("n") > chunk_rows).isEmpty():
         return Layout(df, keys, time, False)
+    plan = _chunk_plan(df, keys, time, before, after, chunk_rows, bucket_days)
     cut = df.withColumn("__bucket", day_bucket(time, bucket_days)).join(
         broadcast_if_small(plan), [*keys, "__bucket"], "left"
     )

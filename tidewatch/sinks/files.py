@@ -8,19 +8,26 @@ from pyspark.sql import DataFrame
 
 from tidewatch.session import materialize
 
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .csv(path)
     )
 
 
 def write_json_document(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    (
+        df.write.mode("overwrite")
+        .option("ignoreNullFields", False)
+        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        .json(path)
+    )
 
 
 def run_slug(now: datetime | None = None) -> str:

@@ -6,7 +6,6 @@ only rewritten in the date partitions that the incoming rows touch.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,10 +103,14 @@ def upsert_table(
     )
     if incoming.isEmpty():
         return 0
+    # Creates the empty table; does nothing where the path exists.
+    spark.createDataFrame([], table_schema).write.mode("ignore").partitionBy(PARTITION).parquet(
+        path
+    )
     sent = Observation()
     dated = incoming.withColumn(PARTITION, F.to_date(time))
     touched = dated.select(PARTITION).distinct()
-    old = _read_or_empty(spark, path, table_schema).join(touched, PARTITION, "left_semi")
+    old = read_table(spark, path, table_schema).join(touched, PARTITION, "left_semi")
     counted = dated.observe(sent, F.count(F.lit(1)).alias("rows"))
     merged = MODES[mode](old.select(*table_schema.names), counted, keys)
     (
@@ -125,12 +128,3 @@ def upsert_table(
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
-
-
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return read_table(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.sinks.files import TIMESTAMP_FORMAT
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header row and a declared schema (no inference pass)."""
@@ -13,13 +15,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .csv(path)
     )
 
 
 def read_json_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).option("timestampNTZFormat", TIMESTAMP_FORMAT).json(path)
 
 
 def read_ordered(
