@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import as_number
 from tidewatch.operators.prefix import running_totals, value_bucket
+from tidewatch.session import materialize
 
 BINS = 10
 WARNING = 0.10
@@ -37,7 +38,7 @@ def quantile_edges(long: DataFrame, bins: int = BINS) -> DataFrame:
     """
     merged = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
     ranked = running_totals(
-        value_bucket(merged, "value"),
+        value_bucket(merged, "value", long, ["feature"]),
         ["feature"],
         ["value"],
         {"below": F.col("rows")},
@@ -117,18 +118,21 @@ def _gap(x: Column, *, down: bool) -> Column:
 
 def feature_histogram(long: DataFrame, edges: DataFrame, bins: int = BINS) -> DataFrame:
     """Counts per (feature, bin) of values inside the edges; bins are half open,
-    the last one is closed.
+    the last one is closed."""
+    return binned_counts(long, edges, bins).where(F.col("bin").isNotNull())
+
+
+def binned_counts(long: DataFrame, edges: DataFrame, bins: int = BINS) -> DataFrame:
+    """As :func:`feature_histogram`, plus a NULL bin for values that have no bin.
 
     ``edges`` has one short array per listed feature, a proven bound that makes
     the broadcast safe. Counts are reduced to (feature, bin) before the shuffle.
     """
+    value, cuts = F.col("value"), F.col("edges")
+    inside = (value >= F.get(cuts, F.lit(0))) & (value <= F.get(cuts, F.size(cuts) - 1))
     return (
-        long.join(F.broadcast(edges.select("feature", "edges")), "feature")
-        .where(
-            (F.col("value") >= F.get("edges", F.lit(0)))
-            & (F.col("value") <= F.element_at("edges", -1))
-        )
-        .groupBy("feature", _bin(F.col("value"), F.col("edges"), bins).alias("bin"))
+        long.join(F.broadcast(edges.select("feature", "edges")), "feature", "left")
+        .groupBy("feature", F.when(inside, _bin(value, cuts, bins)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -142,23 +146,23 @@ def _bin(value: Column, edges: Column, bins: int) -> Column:
     return sum(inner, F.lit(0))
 
 
-def dense_counts(histogram: DataFrame, edges: DataFrame) -> DataFrame:
-    """One ``counts`` array per feature, aligned with its bins."""
-    cells = histogram.groupBy("feature").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("cells")
-    )
-    return edges.join(cells, "feature", "left").select(
-        "feature",
-        "edges",
-        F.when(
-            F.size("edges") > 1,
-            F.transform(
-                F.sequence(F.lit(0), F.size("edges") - 2),
-                lambda b: F.coalesce(F.try_element_at("cells", b), F.lit(0).cast("bigint")),
-            ),
-        )
-        .otherwise(F.array().cast("array<bigint>"))
-        .alias("counts"),
+def dense_counts(cells: Column, edges: Column) -> Column:
+    """Count array aligned with the bins of ``edges`` from a (bin -> count) map."""
+    zero = F.lit(0).cast("bigint")
+    return F.when(
+        F.size(edges) > 1,
+        F.transform(
+            F.sequence(F.lit(0), F.size(edges) - 2),
+            lambda b: F.coalesce(F.try_element_at(cells, b), zero),
+        ),
+    ).otherwise(F.array().cast("array<bigint>"))
+
+
+def _cells(counts: DataFrame) -> DataFrame:
+    """Per feature: the (bin -> count) map and the number of all its values."""
+    in_bin = F.when(F.col("bin").isNotNull(), F.struct("bin", "n"))
+    return counts.groupBy("feature").agg(
+        F.map_from_entries(F.collect_list(in_bin)).alias("cells"), F.sum("n").alias("values")
     )
 
 
@@ -169,21 +173,23 @@ def _total(counts: Column) -> Column:
 def drift_baseline(df: DataFrame, features: list[str], bins: int = BINS) -> DataFrame:
     """Baseline table: ``feature, edges, counts, total, status``.
 
-    A feature without any value has empty arrays and the status ``empty``.
+    A feature without any value has empty arrays and the status ``empty``. The
+    edges, one short row per feature, are written once and then used to count.
     """
     long = numeric_long(df, features)
-    edges = quantile_edges(long, bins)
-    counted = dense_counts(feature_histogram(long, edges, bins), edges)
-    return (
+    edges = materialize(quantile_edges(long, bins), "edges")
+    joined = (
         _feature_list(df, features)
-        .join(counted, "feature", "left")
-        .select(
-            "feature",
-            F.coalesce("edges", F.array().cast("array<double>")).alias("edges"),
-            F.coalesce("counts", F.array().cast("array<bigint>")).alias("counts"),
-            F.coalesce(_total(F.col("counts")), F.lit(0).cast("bigint")).alias("total"),
-            F.when(F.col("edges").isNull(), "empty").otherwise("ready").alias("status"),
-        )
+        .join(edges, "feature", "left")
+        .join(_cells(feature_histogram(long, edges, bins)), "feature", "left")
+    )
+    counts = dense_counts(F.col("cells"), F.col("edges"))
+    return joined.select(
+        "feature",
+        F.coalesce("edges", F.array().cast("array<double>")).alias("edges"),
+        counts.alias("counts"),
+        F.coalesce("values", F.lit(0).cast("bigint")).alias("total"),
+        F.when(F.col("edges").isNull(), "empty").otherwise("ready").alias("status"),
     )
 
 
@@ -221,22 +227,21 @@ def psi_by_feature(
     warning: float = WARNING,
     drift: float = DRIFT,
 ) -> DataFrame:
-    """Status, PSI and totals per feature of the current rows against a baseline."""
+    """Status, PSI and totals per feature of the current rows against a baseline.
+
+    ``baseline`` is a stored table and read twice; the current rows are read once.
+    """
     long = numeric_long(current, features)
-    usable = baseline.where(
+    usable = (
         (F.col("status") == "ready")
         & (F.size("edges") >= 2)
         & (F.size("counts") == F.size("edges") - 1)
     )
-    counted = dense_counts(feature_histogram(long, usable, bins), usable.select("feature", "edges"))
-    present = long.groupBy("feature").agg(F.count(F.lit(1)).alias("values"))
     joined = (
         _feature_list(current, features)
         .join(baseline.select("feature", "status", "edges", "counts"), "feature", "left")
-        .join(
-            counted.select("feature", F.col("counts").alias("current_counts")), "feature", "left"
-        )
-        .join(present, "feature", "left")
+        .join(_cells(binned_counts(long, baseline.where(usable), bins)), "feature", "left")
+        .withColumn("current_counts", F.when(usable, dense_counts(F.col("cells"), F.col("edges"))))
     )
     state = (
         F.when(F.col("status").isNull() | (F.col("status") != "ready"), "missing_baseline")

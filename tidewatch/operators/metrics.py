@@ -193,12 +193,17 @@ def score_steps(
     in one task. NULL classes or scores are not allowed.
     """
     keys = [*(by or []), "label"]
-    positive = F.col(actual) == F.col(label)
-    merged = scores.groupBy(
-        *(by or []), F.col(label).alias("label"), F.col(score).cast("double").alias("score")
-    ).agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+    rows = scores.select(
+        *(by or []),
+        F.col(label).alias("label"),
+        F.col(score).cast("double").alias("score"),
+        (F.col(actual) == F.col(label)).alias("hit"),
+    )
+    merged = rows.groupBy(*keys, "score").agg(
+        F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg")
+    )
     return running_totals(
-        value_bucket(merged, "score"),
+        value_bucket(merged, "score", rows, keys),
         keys,
         ["score"],
         {"pos_below": F.col("pos"), "neg_below": F.col("neg")},

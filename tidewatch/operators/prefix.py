@@ -11,8 +11,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.sizing import at_most
-
 BUCKET_DAYS = 30
 TASK_ROWS = 1_000_000
 
@@ -23,17 +21,22 @@ def day_bucket(ts: str | Column, days: int = BUCKET_DAYS) -> Column:
     return F.floor(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) / days)
 
 
-def value_bucket(df: DataFrame, column: str, task_rows: int = TASK_ROWS) -> DataFrame:
+def value_bucket(
+    df: DataFrame, column: str, source: DataFrame, keys: list[str], task_rows: int = TASK_ROWS
+) -> DataFrame:
     """Add ``__bucket``: ordered value ranges of about ``task_rows`` rows each.
 
-    ``df`` must hold each value once per key (aggregate first), so that no single
-    value can fill a bucket. A frame that fits one task gets a single bucket.
+    ``df`` holds each value once per key, so no single value can fill a bucket.
+    ``source`` are the rows it was merged from: sketches over them, which need no
+    shuffle of values, give the number of ranges and their bounds. Few values get
+    a single bucket.
     """
-    if at_most(df, task_rows):
+    distinct = F.approx_count_distinct(F.xxhash64(*keys, column))
+    pieces = int(source.agg(distinct).first()[0] / task_rows) + 1
+    if pieces == 1:
         return df.withColumn("__bucket", F.lit(0.0))
-    pieces = int(df.count() / task_rows) + 1
     shares = [i / pieces for i in range(1, pieces)]
-    cuts = sorted(set(df.approxQuantile(column, shares, 1 / (4 * pieces))))
+    cuts = sorted(set(source.approxQuantile(column, shares, 1 / (4 * pieces))))
     splits = [float("-inf"), *cuts, float("inf")]
     return Bucketizer(splits=splits, inputCol=column, outputCol="__bucket").transform(df)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.scalars import condition_of
+from tidewatch.operators.windows import lay_out
 from tidewatch.schemas import CONDITION_CODES
 
 SERIES = ["series_id"]
@@ -169,17 +169,15 @@ def condition_sql(code: str) -> str:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persistence forecast: the current code, judged by the code 24 rows ahead."""
-    w = Window.partitionBy(*SERIES).orderBy("observed_at")
-    return (
-        hourly_obs(spark, sf_dir)
-        .select(
-            *SERIES,
-            "observed_at",
-            F.col("weather_code").alias("predicted"),
-            F.lead("weather_code", 24).over(w).alias("actual"),
-        )
-        .where("actual IS NOT NULL")
+    layout = lay_out(
+        hourly_obs(spark, sf_dir).select(*SERIES, "observed_at", "weather_code"), SERIES
     )
+    return layout.select(
+        *SERIES,
+        "observed_at",
+        F.col("weather_code").alias("predicted"),
+        F.lead("weather_code", 24).over(layout.window()).alias("actual"),
+    ).where("actual IS NOT NULL")
 
 
 PREDICTIONS_SQL = f"""{HOURLY_SQL},
@@ -204,16 +202,16 @@ def probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     One row per forecast with aligned arrays ``labels`` and ``shares``; the list
     of labels is one short array, collected once as a scalar subquery.
     """
-    w = Window.partitionBy(*SERIES).orderBy("observed_at")
-    recent = w.rowsBetween(-23, 0)
+    layout = lay_out(
+        hourly_obs(spark, sf_dir).select(*SERIES, "observed_at", "weather_code"), SERIES
+    )
     labels = code_classes(spark, sf_dir).agg(F.sort_array(F.collect_set("label"))).scalar()
     return (
-        hourly_obs(spark, sf_dir)
-        .select(
+        layout.select(
             *SERIES,
             "observed_at",
-            F.lead("weather_code", 24).over(w).alias("actual"),
-            F.collect_list("weather_code").over(recent).alias("recent"),
+            F.lead("weather_code", 24).over(layout.window()).alias("actual"),
+            F.collect_list("weather_code").over(layout.back(24)).alias("recent"),
         )
         .where("actual IS NOT NULL")
         .withColumn("labels", labels)
@@ -254,10 +252,3 @@ probabilities AS (
          CAST(h.n_class + 1 AS DOUBLE) / CAST(h.n_rows + 10 AS DOUBLE) AS score
   FROM predictions AS p
   JOIN h ON h.series_id = p.series_id AND h.observed_at = p.observed_at)"""
-
-
-def raw_with_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hourly_obs(spark, sf_dir).withColumn(
-        "weather_condition", condition_of(F.col("weather_code"))
-    )
-
