@@ -7,11 +7,14 @@ pair of classes, so rows are reduced in the map phase whatever the class skew.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.prefix import running_totals, value_bucket
 from tidewatch.schemas import ACCEPTANCE_THRESHOLD, METRIC_BATCH_SIZE
+from tidewatch.session import materialize
 
 # Smallest probability that log loss tells from zero for double scores.
 PROBABILITY_FLOOR = 2.220446049250313e-16
@@ -237,6 +240,26 @@ def roc_auc_ovr(
     )
 
 
+def probability_metrics(
+    steps: DataFrame,
+    by: list[str] | None = None,
+    *,
+    floor: float = PROBABILITY_FLOOR,
+    two_class_null: bool = True,
+) -> DataFrame:
+    """ROC AUC and log loss together from the merged score steps.
+
+    Each observation is a positive exactly once, at the score of its own class,
+    so the loss is a sum over the positives.
+    """
+    by = by or []
+    clipped = F.least(F.greatest(F.col("score"), F.lit(floor)), F.lit(1 - floor))
+    loss = (F.sum(-F.log(clipped) * F.col("pos")) / F.sum("pos")).alias("log_loss")
+    return side_by_side(
+        [roc_auc_ovr(steps, by, two_class_null=two_class_null), steps.groupBy(*by).agg(loss)], by
+    )
+
+
 def roc_points(steps: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Curve points per present class: one per distinct score, and the origin.
 
@@ -312,15 +335,35 @@ def batch_numbers(df: DataFrame, index: str, size: int = METRIC_BATCH_SIZE) -> D
     return df.withColumn("batch", F.floor(F.col(index) / size))
 
 
-def side_by_side(frames: list[DataFrame]) -> DataFrame:
-    """Columns of several one-row frames in one row (scalar subqueries, no join)."""
+def side_by_side(frames: list[DataFrame], by: list[str] | None = None) -> DataFrame:
+    """Put one-row-per-group results next to each other.
+
+    Without groups every frame is one row, read as a scalar subquery.
+    """
     first, *rest = frames
+    if by:
+        return reduce(lambda a, b: a.join(b, by, "left"), rest, first)
     named = {
         f"__{i}": f.select(F.struct("*").alias("row")).scalar() for i, f in enumerate(rest)
     }
     return first.withColumns(named).select(*first.columns, *[f"{name}.*" for name in named])
 
 
+def long_scores(
+    scored: DataFrame, by: list[str] | None = None, labels: str = "labels", shares: str = "shares"
+) -> DataFrame:
+    """One row per observation and class from aligned label and score arrays."""
+    pairs = F.arrays_zip(F.col(labels).alias("label"), F.col(shares).alias("score"))
+    return scored.select(*(by or []), "actual", F.inline(pairs).alias("label", "score"))
+
+
+def evaluate(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """All summary metrics per group of ``actual, predicted, labels, shares`` rows."""
+    cells = confusion_cells(scored, by=by)
+    steps = score_steps(long_scores(scored, by), by)
+    return side_by_side([label_metrics(cells, by), probability_metrics(steps, by)], by)
+
+
 def metrics_document(
     predictions: DataFrame,
     scores: DataFrame,
@@ -332,20 +375,32 @@ def metrics_document(
 ) -> DataFrame:
     """The full evaluation of one holdout as a single row.
 
-    ``predictions`` has ``actual``, ``predicted`` and a time; ``scores`` has one
+    Predictions and scores are read once each: the confusion cells are written as
+    a small table that everything label-based uses. ``predictions`` has ``actual``, ``predicted`` and a time; ``scores`` has one
     row per observation and class (``label``, ``actual``, ``score``).
     """
-    cells = confusion_cells(predictions)
-    of_actual = scores.where(F.col("label") == F.col("actual"))
-    bounds = predictions.agg(
-        F.min(time).alias("test_start"), F.max(time).alias("test_end")
+    cells = materialize(
+        predictions.groupBy("actual", "predicted").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(time).alias("test_start"),
+            F.max(time).alias("test_end"),
+        ),
+        "cells",
     )
+    bounds = cells.agg(F.min("test_start").alias("test_start"), F.max("test_end").alias("test_end"))
+    cells = cells.select("actual", "predicted", "n")
     entry = F.struct("label", "n")
 
     def distribution(column: str) -> DataFrame:
-        return class_distribution(predictions, classes, column).agg(
-            F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(
-                f"{column}_class_distribution"
+        counts = cells.groupBy(F.col(column).alias("label")).agg(F.sum("n").alias("n"))
+        return (
+            classes.select("label")
+            .join(counts, "label", "left")
+            .select("label", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+            .agg(
+                F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(
+                    f"{column}_class_distribution"
+                )
             )
         )
 
@@ -364,8 +419,7 @@ def metrics_document(
         side_by_side(
             [
                 label_metrics(cells).withColumnRenamed("rows", "rows_test"),
-                roc_auc_ovr(score_steps(scores)),
-                log_loss(of_actual, "score"),
+                probability_metrics(score_steps(scores)),
                 bounds,
                 distribution("actual"),
                 distribution("predicted"),
