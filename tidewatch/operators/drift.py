@@ -44,20 +44,25 @@ def quantile_edges(long: DataFrame, bins: int = BINS) -> DataFrame:
         {"below": F.col("rows")},
         totals={"below": "n"},
     )
-    cuts = F.array(
-        *[
-            F.struct(F.lit(i).alias("cut"), (F.lit(q) * (F.col("n") - 1)).alias("at"))
-            for i, q in enumerate(quantile_shares(bins))
-        ]
-    )
+    # A row can only touch cuts whose position lies next to its own ranks; the
+    # candidates are one wider on both sides and checked exactly below.
     last = F.col("below") + F.col("rows") - 1
-    near = F.filter(
-        cuts,
-        lambda c: (F.ceil(c["at"]) >= F.col("below")) & (F.floor(c["at"]) <= last),
+    per_row = F.lit(float(bins)) / F.greatest(F.col("n") - 1, F.lit(1))
+    first_cut = F.greatest(F.floor((F.col("below") - 1) * per_row), F.lit(0))
+    last_cut = F.least(F.ceil((last + 1) * per_row), F.lit(bins))
+    shares = F.array(*[F.lit(q) for q in quantile_shares(bins)])
+    touched = (
+        ranked.select(
+            "feature",
+            "value",
+            "below",
+            "n",
+            last.alias("last"),
+            F.explode(F.sequence(first_cut, last_cut)).alias("cut"),
+        )
+        .withColumn("at", F.get(shares, F.col("cut").cast("int")) * (F.col("n") - 1))
+        .where((F.ceil("at") >= F.col("below")) & (F.floor("at") <= F.col("last")))
     )
-    touched = ranked.select(
-        "feature", "value", "below", last.alias("last"), F.explode(near).alias("c")
-    ).select("feature", "value", "below", "last", "c.cut", "c.at")
     low = F.floor("at").between(F.col("below"), F.col("last"))
     high = F.ceil("at").between(F.col("below"), F.col("last"))
     points = (

@@ -28,13 +28,13 @@ def value_bucket(
 
     ``df`` holds each value once per key, so no single value can fill a bucket.
     ``source`` are the rows it was merged from: sketches over them, which need no
-    shuffle of values, give the number of ranges and their bounds. Few values get
-    a single bucket.
+    shuffle of values, give the number of ranges and their bounds. Values that
+    fit one task are left without buckets.
     """
     distinct = F.approx_count_distinct(F.xxhash64(*keys, column))
     pieces = int(source.agg(distinct).first()[0] / task_rows) + 1
     if pieces == 1:
-        return df.withColumn("__bucket", F.lit(0.0))
+        return df
     shares = [i / pieces for i in range(1, pieces)]
     cuts = sorted(set(source.approxQuantile(column, shares, 1 / (4 * pieces))))
     splits = [float("-inf"), *cuts, float("inf")]
@@ -52,9 +52,18 @@ def running_totals(
     """Add, per value, its sum over all earlier rows of the same key.
 
     ``df`` carries ``__bucket``, a non-decreasing function of ``order_by``. Keys
-    and bucket must not be NULL. ``totals`` names columns for whole-key sums.
+    and bucket must not be NULL. Without that column a key is summed in one task.
+    ``totals`` names columns for whole-key sums.
     """
     totals = totals or {}
+    if "__bucket" not in df.columns:
+        by_key = Window.partitionBy(*(keys or [F.lit(0)]))
+        earlier = by_key.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(
+            "*",
+            *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(n) for n, v in values.items()],
+            *[F.sum(values[n]).over(by_key).alias(total) for n, total in totals.items()],
+        )
     rows = df.withColumns({f"__v_{name}": value for name, value in values.items()})
     per_bucket = rows.groupBy(*keys, "__bucket").agg(
         *[F.sum(f"__v_{name}").alias(f"__t_{name}") for name in values]
