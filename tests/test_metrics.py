@@ -188,7 +188,7 @@ def test_metric_batches_hold_500_rows(spark):
     from tidewatch.operators.prefix import with_row_index
 
     rows = M.long_metrics(history(spark, 200), "iteration", HISTORY_METRICS, F.col("split"))
-    indexed = with_row_index(rows, [], ["step", "key"], bucket=F.floor(F.col("step") / 50))
+    indexed = with_row_index(rows, [], ["step", "key"], task_rows=300)
     sizes = M.batch_numbers(indexed, "row_index").groupBy("batch").count().orderBy("batch")
     assert [r["count"] for r in sizes.collect()] == [500, 500, 400]
 

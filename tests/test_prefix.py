@@ -28,6 +28,19 @@ def test_row_index_before_the_epoch(spark):
     assert [r.row_index for r in got] == list(range(len(rows)))
 
 
+@pytest.mark.parametrize("task_rows", [10_000, 37])
+def test_row_index_over_any_order_with_a_hot_time(spark, task_rows):
+    rng = random.Random(9)
+    rows = [("a" if rng.random() < 0.7 else "b", 5 if rng.random() < 0.4 else rng.randint(0, 99), i)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t int, i int")
+    got = with_row_index(df, ["k"], ["t", "i"], count="n", task_rows=task_rows).collect()
+    for k in "ab":
+        mine = sorted((r.t, r.i, r.row_index) for r in got if r.k == k)
+        assert [m[2] for m in mine] == list(range(len(mine)))
+        assert {r.n for r in got if r.k == k} == {len(mine)}
+
+
 @pytest.mark.parametrize("task_rows", [10_000, 40, 3])
 def test_running_totals_are_exact_for_any_bucket_size(spark, task_rows):
     rng = random.Random(5)
@@ -36,7 +49,7 @@ def test_running_totals_are_exact_for_any_bucket_size(spark, task_rows):
            for _ in range(600)]
     source = spark.createDataFrame(raw, "k string, v double")
     merged = source.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
-    cut = value_bucket(merged, "v", source, ["k"], task_rows)
+    cut = value_bucket(merged, "v", source, ["k"], task_rows=task_rows)
     got = running_totals(cut, ["k"], ["v"], {"below": F.col("n")}, totals={"below": "all"})
     for row in got.collect():
         assert row.below == sum(k == row.k and v < row.v for k, v in raw)

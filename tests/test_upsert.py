@@ -96,3 +96,24 @@ def test_missing_columns_are_added_once(spark):
     assert set(wide.columns) == set(ENRICHMENT_SCHEMA.names)
     assert add_missing_columns(wide, ENRICHMENT_SCHEMA).columns == wide.columns
     assert wide.first().uv_index is None and wide.first().cape == 1.0
+
+
+def test_only_touched_dates_are_read(spark, tmp_path, monkeypatch):
+    from tidewatch.sinks import upsert
+
+    path = str(tmp_path / "table")
+    rows = spark.createDataFrame([(i, hour(i), 0.0, 0.0, "a") for i in range(72)], SCHEMA)
+    upsert_table(spark, path, rows, ["observed_at"])
+    seen = []
+    real = upsert.merge_replace
+    monkeypatch.setitem(upsert.MODES, "replace", lambda t, s, k: seen.append(t) or real(t, s, k))
+    change = spark.createDataFrame([(0, hour(30), 5.0, 0.0, "b")], SCHEMA)
+    upsert_table(spark, path, change, ["observed_at"])
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(observed_date" in plan or "PartitionFilters: [(observed_date" in plan
+    assert "PartitionFilters: []" not in plan
+
+    # With too many dates to list, a semi join finds the same rows.
+    monkeypatch.setattr(upsert, "MOST_DATES", 0)
+    upsert_table(spark, path, change.union(change.limit(0)), ["observed_at"])
+    assert sorted(r.temp for r in read_table(spark, path).collect()) == [0.0] * 71 + [5.0]

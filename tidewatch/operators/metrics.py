@@ -188,12 +188,14 @@ def score_steps(
     label: str = "label",
     actual: str = "actual",
     score: str = "score",
+    most: int | None = None,
 ) -> DataFrame:
     """Per class and distinct score: positives, negatives, and those scored lower.
 
     ``scores`` has one row per observation and class. Equal scores are merged
     first; what is left is ordered in value ranges, so a class is never sorted
-    in one task. NULL classes or scores are not allowed.
+    in one task. NULL classes or scores are not allowed. ``most`` is an upper bound
+    of the observations per group, if known.
     """
     keys = [*(by or []), "label"]
     rows = scores.select(
@@ -206,7 +208,7 @@ def score_steps(
         F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg")
     )
     return running_totals(
-        value_bucket(merged, "score", rows, keys),
+        value_bucket(merged, "score", rows, keys, most),
         keys,
         ["score"],
         {"pos_below": F.col("pos"), "neg_below": F.col("neg")},
@@ -357,10 +359,12 @@ def long_scores(
     return scored.select(*(by or []), "actual", F.inline(pairs).alias("label", "score"))
 
 
-def evaluate(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
+def evaluate(
+    scored: DataFrame, by: list[str] | None = None, most: int | None = None
+) -> DataFrame:
     """All summary metrics per group of ``actual, predicted, labels, shares`` rows."""
     cells = confusion_cells(scored, by=by)
-    steps = score_steps(long_scores(scored, by), by)
+    steps = score_steps(long_scores(scored, by), by, most=most)
     return side_by_side([label_metrics(cells, by), probability_metrics(steps, by)], by)
 
 

@@ -11,6 +11,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.sizing import at_most
+from tidewatch.session import materialize
+
 BUCKET_DAYS = 30
 TASK_ROWS = 1_000_000
 
@@ -22,15 +25,23 @@ def day_bucket(ts: str | Column, days: int = BUCKET_DAYS) -> Column:
 
 
 def value_bucket(
-    df: DataFrame, column: str, source: DataFrame, keys: list[str], task_rows: int = TASK_ROWS
+    df: DataFrame,
+    column: str,
+    source: DataFrame,
+    keys: list[str],
+    most: int | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Add ``__bucket``: ordered value ranges of about ``task_rows`` rows each.
 
     ``df`` holds each value once per key, so no single value can fill a bucket.
     ``source`` are the rows it was merged from: sketches over them, which need no
     shuffle of values, give the number of ranges and their bounds. Values that
-    fit one task are left without buckets.
+    fit one task are left without buckets; ``most`` is a known upper bound of the
+    values of a key that saves the first sketch.
     """
+    if most is not None and most <= task_rows:
+        return df
     distinct = F.approx_count_distinct(F.xxhash64(*keys, column))
     pieces = int(source.agg(distinct).first()[0] / task_rows) + 1
     if pieces == 1:
@@ -93,20 +104,42 @@ def running_totals(
     )
 
 
+def range_bucket(df: DataFrame, columns: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
+    """Add ``__bucket``: the range partition of each row by all of ``columns``.
+
+    Spark samples the composite key, so a hot leading key or a hot time is split
+    by the columns behind it. The numbers are written out with the rows: partition
+    bounds come from a sample and must not be drawn twice.
+    """
+    pieces = df.count() // task_rows + 1
+    ranged = df.repartitionByRange(pieces, *columns)
+    return materialize(ranged.withColumn("__bucket", F.spark_partition_id()), "ranges")
+
+
 def with_row_index(
     df: DataFrame,
     keys: list[str],
     order_by: list[str] | None = None,
     *,
-    bucket: Column | None = None,
     index: str = "row_index",
     count: str | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Add the row's position in time order, from 0, and optionally the row count."""
-    order_by = order_by or ["observed_at"]
-    cut = day_bucket(order_by[0]) if bucket is None else bucket
+    """Add the row's position in order, from 0, and optionally the row count.
+
+    By default rows are in time order. Observation times are unique to the second
+    in a series, which bounds the calendar buckets. Nothing bounds other orders:
+    if the rows do not fit one task they are cut into ranges of the whole key.
+    """
+    if order_by is None:
+        order_by = ["observed_at"]
+        bucketed = df.withColumn("__bucket", day_bucket(order_by[0]))
+    elif at_most(df, task_rows):
+        bucketed = df
+    else:
+        bucketed = range_bucket(df, [*keys, *order_by], task_rows)
     return running_totals(
-        df.withColumn("__bucket", cut),
+        bucketed,
         keys,
         order_by,
         {index: F.lit(1).cast("bigint")},

@@ -18,7 +18,6 @@ def holdout_split(
     test_fraction: float = 0.2,
     gap: int = VALIDATION_GAP_ROWS,
     order_by: list[str] | None = None,
-    bucket: Column | None = None,
 ) -> DataFrame:
     """Add ``row_index``, ``n_rows`` and ``split``.
 
@@ -27,7 +26,7 @@ def holdout_split(
     """
     if not 0 < test_fraction < 1:
         raise ContractError("test_fraction must lie between 0 and 1")
-    indexed = with_row_index(df, keys or [], order_by, bucket=bucket, count="n_rows")
+    indexed = with_row_index(df, keys or [], order_by, count="n_rows")
     first_test = _share(F.col("n_rows"), test_fraction)
     return indexed.withColumn(
         "split",

@@ -20,6 +20,7 @@ from tidewatch.operators.prefix import BUCKET_DAYS, day_bucket
 from tidewatch.operators.sizing import broadcast_if_small
 
 CHUNK_ROWS = 250_000
+BUCKETS_PER_CHUNK = 8
 REACH = 24
 
 
@@ -57,7 +58,7 @@ def lay_out(
     before: int = REACH,
     after: int = REACH,
     chunk_rows: int | None = CHUNK_ROWS,
-    bucket_days: int = BUCKET_DAYS,
+    bucket_days: int | None = None,
 ) -> Layout:
     """Lay rows out for frames that reach ``before`` rows back and ``after`` ahead.
 
@@ -65,12 +66,17 @@ def lay_out(
     of at most ``chunk_rows`` rows stay whole; if no series is longer, one
     exchange by series is all there is. The check is one aggregate over the key
     columns; ``chunk_rows=None`` skips it.
+
+    Buckets are whole days, at most 30 and fewer for dense series, so that they
+    are small against a chunk. Times are unique to the second, so a day is bounded.
     """
     if chunk_rows is None:
         return Layout(df, keys, time, False)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    if sizes.where(F.col("n") > chunk_rows).isEmpty():
+    density = _density_of_long_series(df, keys, time, chunk_rows)
+    if density is None:
         return Layout(df, keys, time, False)
+    if bucket_days is None:
+        bucket_days = int(max(1, min(BUCKET_DAYS, chunk_rows / BUCKETS_PER_CHUNK / density)))
     plan = _chunk_plan(df, keys, time, before, after, chunk_rows, bucket_days)
     cut = df.withColumn("__bucket", day_bucket(time, bucket_days)).join(
         broadcast_if_small(plan), [*keys, "__bucket"], "left"
@@ -86,6 +92,14 @@ def lay_out(
     return Layout(rows, [*keys, "__chunk"], time, True)
 
 
+def _density_of_long_series(df, keys, time, chunk_rows) -> float | None:
+    """Most rows per day of a series longer than a chunk, ``None`` without any."""
+    days = F.datediff(F.max(F.to_date(time)), F.min(F.to_date(time))) + 1
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), days.alias("days"))
+    long = sizes.where(F.col("n") > chunk_rows)
+    return long.agg(F.max(F.col("n") / F.col("days"))).first()[0]
+
+
 def _chunk_plan(df, keys, time, before, after, chunk_rows, bucket_days) -> DataFrame:
     """Buckets of long series: home chunk and all chunks that need their rows.
 

@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from tidewatch.operators.contracts import ContractError, check_training_contract, require_rows
 from tidewatch.operators.drift import drift_baseline
 from tidewatch.operators.filters import profile_rows, training_rows
-from tidewatch.operators.metrics import evaluate, fold_means, long_scores, metrics_document
+from tidewatch.operators.metrics import (
+    confusion_cells,
+    evaluate,
+    fold_means,
+    label_metrics,
+    log_loss,
+    long_scores,
+    metrics_document,
+    side_by_side,
+)
 from tidewatch.operators.splits import (
     check_holdout,
     class_weights,
@@ -190,11 +199,13 @@ def _fold_metrics(train, keys, inputs, params, cv_splits) -> DataFrame:
 
 
 def _tree_history(model: Fitted, used: DataFrame, total: int) -> DataFrame:
+    """Metrics at every checkpoint. The staged scores, a hundred times the rows,
+    are aggregated as they are produced and never stored."""
     rows = model.inputs.prepare(used).withColumn("actual", F.col(model.inputs.target))
     staged = staged_scores(model, rows, ["split"], total)
     by = ["iteration", "split"]
-    scored = materialize(staged, "history")
-    return evaluate(scored, by).select(*by, *HISTORY_METRICS).orderBy(*by)
+    measured = evaluate(staged, by, most=used.count()).select(*by, *HISTORY_METRICS)
+    return materialize(measured, "history").orderBy(*by)
 
 
 def _document(predictions, used, inputs, params, test_fraction, profile, folds) -> DataFrame:
@@ -232,6 +243,16 @@ def _document(predictions, used, inputs, params, test_fraction, profile, folds)
     )
 
 
+def _epoch_history(scored: DataFrame, by: list[str]) -> DataFrame:
+    """Label metrics and log loss; a sequence history reports no ROC AUC."""
+    own = F.element_at("shares", F.array_position("labels", F.col("actual")).cast("int"))
+    losses = log_loss(scored.select(*by, own.alias("probability")), by=by)
+    measured = side_by_side([label_metrics(confusion_cells(scored, by=by), by), losses], by)
+    return measured.withColumn("roc_auc_ovr_weighted", F.lit(None).cast("double")).select(
+        *by, *HISTORY_METRICS
+    )
+
+
 def train_sequence(
     frame: DataFrame,
     keys: list[str],
@@ -291,13 +312,7 @@ def train_sequence(
         )
         scored = part if scored is None else scored.unionByName(part)
     by = ["iteration", "split"]
-    # A sequence history reports no ROC AUC.
-    history = (
-        evaluate(materialize(scored, "history"), by)
-        .withColumn("roc_auc_ovr_weighted", F.lit(None).cast("double"))
-        .select(*by, *HISTORY_METRICS)
-        .orderBy(*by)
-    )
+    history = materialize(_epoch_history(scored, by), "history").orderBy(*by)
     shown = [*keys, "observed_at", "actual", "predicted", "confidence", "labels", "shares"]
     predictions = materialize(
         fitted.score(prepared.where("split = 'test'")).select(*shown), "predictions"

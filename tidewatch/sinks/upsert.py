@@ -15,6 +15,8 @@ from tidewatch.operators.contracts import ContractError
 PARTITION = "observed_date"
 # Columns that an update leaves alone, besides the key itself.
 KEPT_ON_UPDATE = ("id", "inserted_at", "generated_at")
+# Up to this many touched dates (27 years) are listed as a partition filter.
+MOST_DATES = 10_000
 
 
 def merge_keep_id(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,16 +103,21 @@ def upsert_table(
         [T.StructField(f.name, f.dataType, True) for f in schema.fields]
         + [T.StructField(PARTITION, T.DateType(), True)]
     )
-    if incoming.isEmpty():
+    dated = incoming.withColumn(PARTITION, F.to_date(time))
+    touched = dated.select(PARTITION).distinct()
+    dates = [row[0] for row in touched.limit(MOST_DATES + 1).collect()]
+    if not dates:
         return 0
     # Creates the empty table; does nothing where the path exists.
     spark.createDataFrame([], table_schema).write.mode("ignore").partitionBy(PARTITION).parquet(
         path
     )
+    table = read_table(spark, path, table_schema)
+    if len(dates) <= MOST_DATES:
+        old = table.where(F.col(PARTITION).isin(dates))
+    else:
+        old = table.join(touched, PARTITION, "left_semi")
     sent = Observation()
-    dated = incoming.withColumn(PARTITION, F.to_date(time))
-    touched = dated.select(PARTITION).distinct()
-    old = read_table(spark, path, table_schema).join(touched, PARTITION, "left_semi")
     counted = dated.observe(sent, F.count(F.lit(1)).alias("rows"))
     merged = MODES[mode](old.select(*table_schema.names), counted, keys)
     (

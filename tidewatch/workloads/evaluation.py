@@ -82,14 +82,9 @@ SELECT o_orderkey, o_orderdate, row_index, n_rows,
 FROM indexed""",
 )
 def holdout_orders(spark, sf_dir):
-    """All orders as one series; a day of orders is one bucket."""
+    """All orders as one series."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return holdout_split(
-        orders,
-        test_fraction=0.25,
-        order_by=["o_orderdate", "o_orderkey"],
-        bucket=F.col("o_orderdate"),
-    )
+    return holdout_split(orders, test_fraction=0.25, order_by=["o_orderdate", "o_orderkey"])
 
 
 @query(
@@ -449,9 +444,7 @@ FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS row_inde
 )
 def batches(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts")
-    indexed = with_row_index(
-        events, [], ["ts", "event_id"], bucket=F.date_trunc("hour", "ts")
-    )
+    indexed = with_row_index(events, [], ["ts", "event_id"])
     return batch_numbers(indexed.select("event_id", "row_index"), "row_index")
 
 

@@ -307,10 +307,9 @@ def row_positions(spark, sf_dir):
     "SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS id FROM events",
 )
 def row_keys(spark, sf_dir):
-    """Keys 1..n over all events as one series, cut by hour instead of by key."""
+    """Keys 1..n over all events as one series."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
-    hour = F.date_trunc("hour", "ts")
-    indexed = with_row_index(events, [], ["ts", "event_id"], bucket=hour)
+    indexed = with_row_index(events, [], ["ts", "event_id"])
     return indexed.select("event_id", "ts", (F.col("row_index") + 1).alias("id"))
 
 
