@@ -149,7 +149,7 @@ def same(a, b):
 
 
 @pytest.mark.parametrize("options", [{}, {"chunk_rows": 40, "bucket_days": 1},
-                                     {"chunk_rows": 7, "bucket_days": 2}])
+                                     {"chunk_rows": 7, "bucket_days": 2}, {"chunk_rows": 90}])
 def test_features_match_brute_force_whole_and_in_chunks(spark, options):
     rows = messy_rows()
     df = frame(spark, rows, "series_id string, ")

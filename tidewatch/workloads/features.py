@@ -244,17 +244,26 @@ _PLAIN = {
     *_NOT_NUMERIC,
     *_CALENDAR_SQL,
 }
-FEATURES_SQL = f"""{RAW_SQL},
-with_previous AS (
+
+
+def features_sql(source: str, row_id: str) -> str:
+    """CTEs that turn the raw rows ``source`` into ``features``."""
+    columns = [
+        f"{sql} AS {name}" if name in _PLAIN else r6(sql, name)
+        for name, sql in _DERIVED_SQL.items()
+    ]
+    return f"""with_previous AS (
   SELECT r.*, d.temperature_2m_max AS prev_max, d.temperature_2m_min AS prev_min
-  FROM raw_hourly AS r
+  FROM {source} AS r
   LEFT JOIN daily_obs AS d
     ON d.series_id = r.series_id AND d.obs_date = CAST(r.observed_at AS DATE) - 1),
 features AS (
-  SELECT series_id, row_number() OVER {_W} AS id, observed_at,
-         {", ".join(f"{sql} AS {n}" if n in _PLAIN else r6(sql, n) for n, sql in _DERIVED_SQL.items())}
+  SELECT series_id, {row_id} AS id, observed_at, {", ".join(columns)}
   FROM with_previous)"""
-_REQUIRED_SQL = " AND ".join(f"{name} IS NOT NULL" for name in REQUIRED_MODEL_COLUMNS)
+
+
+FEATURES_SQL = f"{RAW_SQL}, {features_sql('raw_hourly', f'row_number() OVER {_W}')}"
+REQUIRED_SQL = " AND ".join(f"{name} IS NOT NULL" for name in REQUIRED_MODEL_COLUMNS)
 
 
 def features(spark, sf_dir):
@@ -266,7 +275,7 @@ def all_features(spark, sf_dir):
     return rounded(features(spark, sf_dir))
 
 
-@query("clean_features", f"WITH {FEATURES_SQL} SELECT * FROM features WHERE {_REQUIRED_SQL}")
+@query("clean_features", f"WITH {FEATURES_SQL} SELECT * FROM features WHERE {REQUIRED_SQL}")
 def cleaned(spark, sf_dir):
     return rounded(clean_features(features(spark, sf_dir), SERIES))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.windows import lay_out
-from tidewatch.schemas import CONDITION_CODES
+from tidewatch.schemas import CONDITION_CODES, ENRICHMENT_VARIABLES, HOURLY_VARIABLES
 
 SERIES = ["series_id"]
 
@@ -159,6 +159,74 @@ raw_hourly AS (
     ON e.series_id = h.series_id AND e.observed_at = h.observed_at)"""
 
 
+def _day_slots(rows: DataFrame, variables: list[str], *extra) -> DataFrame:
+    """One row per series and day with a 24-slot array per variable, NaN where an
+    hour is missing."""
+    numbers = [F.col(name).cast("double").alias(name) for name in variables]
+    by_hour = F.map_from_entries(
+        F.collect_list(F.struct(F.hour("observed_at"), F.struct(*numbers)))
+    )
+    grouped = rows.groupBy(*SERIES, F.to_date("observed_at").alias("day")).agg(
+        by_hour.alias("by_hour"), *extra
+    )
+    start = F.unix_seconds(F.col("day").cast("timestamp"))
+
+    def slots(name):
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(23)),
+            lambda h: F.coalesce(
+                F.try_element_at("by_hour", h).getField(name), F.lit(float("nan"))
+            ),
+        )
+
+    return grouped.withColumns(
+        {
+            "hourly_start": start,
+            "hourly_end": start + 86_400,
+            "hourly_interval": F.lit(3_600).cast("bigint"),
+            **{name: slots(name) for name in variables},
+        }
+    ).drop("by_hour", "day")
+
+
+def daily_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Primary payloads, one per series and day."""
+    rows = _day_slots(
+        hourly_obs(spark, sf_dir),
+        HOURLY_VARIABLES,
+        F.max("temperature_2m").alias("high"),
+        F.min("temperature_2m").alias("low"),
+    )
+    return rows.withColumns(
+        {
+            "latitude": F.lit(41.0),
+            "longitude": F.lit(29.0),
+            "elevation": F.lit(32.0),
+            "utc_offset_seconds": F.lit(0),
+            "daily_start": F.col("hourly_start"),
+            "daily_end": F.col("hourly_end"),
+            "daily_interval": F.lit(86_400).cast("bigint"),
+            "temperature_2m_max": F.array("high"),
+            "temperature_2m_min": F.array("low"),
+        }
+    ).drop("high", "low")
+
+
+def enrichment_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of the second feed, one per series and day."""
+    return _day_slots(enrichment_feed(hourly_obs(spark, sf_dir)), ENRICHMENT_VARIABLES)
+
+
+# Hours of all days with observations, the missing ones included.
+SLOTS_SQL = """slots AS (
+  SELECT g.series_id, CAST(41 AS DOUBLE) AS latitude, CAST(29 AS DOUBLE) AS longitude,
+         CAST(32 AS DOUBLE) AS elevation, 0 AS utc_offset_seconds, g.observed_at,
+         h.* EXCLUDE (series_id, observed_at), g.temperature_2m_max, g.temperature_2m_min
+  FROM (SELECT *, CAST(obs_date AS TIMESTAMP) + to_hours(CAST(unnest(range(24)) AS INT))
+               AS observed_at FROM daily_obs) AS g
+  LEFT JOIN hourly_obs AS h ON h.series_id = g.series_id AND h.observed_at = g.observed_at)"""
+
+
 def condition_sql(code: str) -> str:
     """SQL CASE that maps a numeric code to its condition."""
     cases = " ".join(

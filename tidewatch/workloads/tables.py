@@ -53,7 +53,9 @@ from tidewatch.workloads.inputs import (
     HOURLY_SQL,
     RAW_SQL,
     SERIES,
+    SLOTS_SQL,
     daily_obs,
+    daily_payloads,
     enrichment_feed,
     hourly_obs,
     raw_hourly,
@@ -98,59 +100,13 @@ def tail(spark, sf_dir):
     return last_rows(rows, ["ts", "event_id"], 500)
 
 
-def daily_payloads(spark, sf_dir):
-    """One payload per series and day: 24 slots per variable, NaN where missing."""
-    hourly = hourly_obs(spark, sf_dir).withColumn("day", F.to_date("observed_at"))
-    numbers = [F.col(name).cast("double").alias(name) for name in HOURLY_VARIABLES]
-    grouped = hourly.groupBy(*SERIES, "day").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.hour("observed_at"), F.struct(*numbers)))
-        ).alias("by_hour"),
-        F.max("temperature_2m").alias("high"),
-        F.min("temperature_2m").alias("low"),
-    )
-    slots = F.sequence(F.lit(0), F.lit(23))
-    start = F.unix_seconds(F.col("day").cast("timestamp"))
-
-    def slot_values(name):
-        return F.transform(
-            slots,
-            lambda h: F.coalesce(
-                F.try_element_at("by_hour", h).getField(name), F.lit(float("nan"))
-            ),
-        )
-
-    return grouped.select(
-        *SERIES,
-        F.lit(41.0).alias("latitude"),
-        F.lit(29.0).alias("longitude"),
-        F.lit(32.0).alias("elevation"),
-        F.lit(0).alias("utc_offset_seconds"),
-        start.alias("hourly_start"),
-        (start + 86_400).alias("hourly_end"),
-        F.lit(3_600).cast("bigint").alias("hourly_interval"),
-        *[slot_values(name).alias(name) for name in HOURLY_VARIABLES],
-        start.alias("daily_start"),
-        (start + 86_400).alias("daily_end"),
-        F.lit(86_400).cast("bigint").alias("daily_interval"),
-        F.array("high").alias("temperature_2m_max"),
-        F.array("low").alias("temperature_2m_min"),
-    )
-
-
 @query(
     "payload_expand",
-    f"""WITH {HOURLY_SQL}, {DAILY_SQL},
-slots AS (
-  SELECT series_id, obs_date, temperature_2m_max, temperature_2m_min,
-         CAST(obs_date AS TIMESTAMP) + to_hours(CAST(unnest(range(24)) AS INT)) AS observed_at
-  FROM daily_obs)
-SELECT s.series_id, CAST(41 AS DOUBLE) AS latitude, CAST(29 AS DOUBLE) AS longitude,
-       CAST(32 AS DOUBLE) AS elevation, 0 AS utc_offset_seconds, s.observed_at,
-       {", ".join(f"CAST(h.{name} AS DOUBLE) AS {name}" for name in HOURLY_VARIABLES)},
-       s.temperature_2m_max, s.temperature_2m_min
-FROM slots AS s
-LEFT JOIN hourly_obs AS h ON h.series_id = s.series_id AND h.observed_at = s.observed_at""",
+    f"""WITH {HOURLY_SQL}, {DAILY_SQL}, {SLOTS_SQL}
+SELECT series_id, latitude, longitude, elevation, utc_offset_seconds, observed_at,
+       {", ".join(f"CAST({name} AS DOUBLE) AS {name}" for name in HOURLY_VARIABLES)},
+       temperature_2m_max, temperature_2m_min
+FROM slots""",
 )
 def payload(spark, sf_dir):
     return archive_hourly(daily_payloads(spark, sf_dir), SERIES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewatch.operators.drift import drift_baseline
 from tidewatch.operators.features import feature_frame
 from tidewatch.plans.jobs import Registry, retrain_job, train_job
 from tidewatch.plans.profiles import (
@@ -13,6 +14,7 @@ from tidewatch.plans.profiles import (
     SequenceParams,
 )
 from tidewatch.plans.training import train_sequence, train_trees
+from tidewatch.schemas import ENRICHED_MODEL_FEATURES
 from tidewatch.session import materialize
 from tidewatch.workloads.inputs import SERIES, raw_hourly
 from tidewatch.workloads.registry import query
@@ -87,34 +89,31 @@ def importance(spark, sf_dir):
 
 @query("retrain_decision")
 def retrain(spark, sf_dir):
-    """A retraining run per table: the model registry lists one run per series."""
+    """A full retraining run. One registered run per series; the live one has a
+    baseline over the first weeks."""
     rows = _features(spark, sf_dir)
-    runs = rows.select("series_id").distinct()
-    name = F.lit("enriched-condition")
+    name = F.lit("enriched-condition").alias("model_name")
+    runs = rows.groupBy(F.col("series_id").alias("run_id")).agg(
+        F.count(F.lit(1)).cast("string").alias("version"),
+        (F.avg("cloud_cover") / 1000).alias("value"),
+    )
+    early = rows.where("observed_at < TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    baseline = drift_baseline(early, ENRICHED_MODEL_FEATURES).agg(
+        F.collect_list(F.struct("feature", "edges", "counts", "total", "status"))
+    )
+    live = runs.agg(F.min_by(F.struct("run_id", "version"), "run_id").alias("live"))
     registry = Registry(
-        versions=runs.select(
-            name.alias("model_name"),
-            F.length("series_id").cast("string").alias("version"),
-            F.col("series_id").alias("run_id"),
-        ),
-        aliases=runs.groupBy().agg(F.min(F.length("series_id")).cast("string").alias("version"))
-        .select(name.alias("model_name"), F.lit("production").alias("alias"), "version"),
-        run_metrics=runs.select(
-            F.col("series_id").alias("run_id"),
-            F.lit("f1_macro").alias("metric"),
-            F.lit(0.01).alias("value"),
-        ),
-        baselines=runs.select(
-            F.col("series_id").alias("run_id"),
-            F.lit(None)
-            .cast(
-                "array<struct<feature:string,edges:array<double>,counts:array<bigint>,"
-                "total:bigint,status:string>>"
-            )
-            .alias("baseline"),
-        ),
+        versions=runs.select(name, "version", "run_id"),
+        aliases=live.select(name, F.lit("production").alias("alias"), "live.version"),
+        run_metrics=runs.select("run_id", F.lit("f1_macro").alias("metric"), "value"),
+        baselines=live.select("live.run_id").withColumn("baseline", baseline.scalar()),
     )
     return retrain_job(
-        rows, SERIES, registry, model_name="enriched-condition", params=_BOOSTED,
-        with_folds=False, with_history=False,
+        rows,
+        SERIES,
+        registry,
+        model_name="enriched-condition",
+        params=_BOOSTED,
+        with_folds=False,
+        with_history=False,
     ).decision
