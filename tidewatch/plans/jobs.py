@@ -7,8 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.scalars import as_number, condition_of, hour_key, round_half_even
-from tidewatch.functions.scalars import stamp, utc_timestamp
+from tidewatch.functions.scalars import (
+    as_number,
+    condition_of,
+    hour_key,
+    round_half_even,
+    stamp,
+    utc_timestamp,
+)
 from tidewatch.operators.contracts import check_feature_frame, select_contract
 from tidewatch.operators.drift import (
     BINS,
@@ -31,7 +37,13 @@ from tidewatch.operators.registry import (
     promotion_decision,
 )
 from tidewatch.operators.windows import keep_last
-from tidewatch.plans.profiles import ENRICHED, PROFILES, BoostedParams, Profile
+from tidewatch.plans.profiles import (
+    ENRICHED,
+    PROFILES,
+    BoostedParams,
+    ForestParams,
+    Profile,
+)
 from tidewatch.plans.training import (
     TrainingResult,
     eligible_rows,
@@ -204,8 +216,6 @@ def train_job(
 
 
 def _train(rows, keys, profile: Profile, params, options) -> TrainingResult:
-    from tidewatch.plans.profiles import ForestParams
-
     if profile.name == "sequence":
         return train_sequence(rows, keys, params, **options)
     default = ForestParams() if profile.name == "forest" else BoostedParams()
