@@ -249,6 +249,27 @@ def test_ingest_stores_raw_and_feature_rows(spark, tmp_path):
     assert raw.where("weather_condition = 'rain'").count() == 32
 
 
+def test_overlapping_deliveries_keep_the_last(spark, tmp_path):
+    archive, feed = payloads(spark)
+    later = archive.withColumns({
+        "temperature_2m": F.transform("temperature_2m", lambda x: x + 100),
+        "temperature_2m_max": F.transform("temperature_2m_max", lambda x: x + 100),
+    })
+    archives = archive.withColumn("n", F.lit(1)).unionByName(later.withColumn("n", F.lit(2)))
+    feeds = feed.withColumn("n", F.lit(1)).unionByName(
+        feed.withColumn("n", F.lit(2)).withColumn("cape", F.transform("cape", lambda x: x + 7))
+    )
+    options = dict(start_date="2026-01-01", end_date="2026-01-05",
+                   raw_path=str(tmp_path / "raw"), feature_path=str(tmp_path / "features"))
+    done = ingest_job(spark, archives, feeds, ["series_id"], sequence="n", **options)
+    assert (done.raw_rows, done.feature_rows) == (96, 72)
+    rows = read_table(spark, options["feature_path"]).collect()
+    assert all(r.temperature_2m >= 100 and r.temperature_2m_max >= 120 for r in rows)
+    assert {r.cape for r in rows} == {8.0}
+    with pytest.raises(ContractError, match="not unique"):
+        ingest_job(spark, archives.drop("n"), feed, ["series_id"], **options)
+
+
 def test_backfill_exports_in_order(spark, tmp_path):
     archive, feed = payloads(spark, 48)
     export = backfill_job(archive, feed, [], start_date="2026-01-01", end_date="2026-01-01",

@@ -26,7 +26,7 @@ from tidewatch.operators.drift import (
 )
 from tidewatch.operators.features import feature_frame
 from tidewatch.operators.filters import clean_features, default_cutoff, trailing_window, until
-from tidewatch.operators.joins import join_enrichment
+from tidewatch.operators.joins import assert_unique, join_enrichment
 from tidewatch.operators.metrics import history_and_fold_metrics
 from tidewatch.operators.registry import (
     PRODUCTION,
@@ -137,24 +137,28 @@ def ingest_job(
     feature_path: str,
     mode: str = "replace",
     location_name: str = "",
+    sequence: str | None = None,
     cutoff: str | None = None,
 ) -> Ingested:
     """Payloads to upserted raw and feature tables.
 
-    Both tables come from one lazy plan; nothing is written in between but the
-    hourly rows, which both need.
+    The hourly rows and the feature rows are written once each, since an upsert
+    reads its input twice. ``sequence`` names the payload column that orders
+    deliveries, where they may overlap.
     """
     cutoff = cutoff or default_cutoff(end_date)
-    stamped = stamp(
-        archive_hourly(archive, keys), source="archive", location_name=location_name
-    )
-    hourly = materialize(
-        prepare_raw_rows(stamped.withColumn("__arrival", F.lit(0)), keys, "__arrival"), "hourly"
-    )
-    feed = enrichment_hourly(enrichment, keys, start_date, end_date)
+    rows = archive_hourly(archive, keys, sequence=sequence)
+    if sequence is None:
+        sequence, rows = "__arrival", rows.withColumn("__arrival", F.lit(0))
+        feed = enrichment_hourly(enrichment, keys, start_date, end_date)
+        assert_unique(feed, [*keys, "observed_at"])
+    else:
+        feed = enrichment_hourly(enrichment, keys, start_date, end_date, sequence=sequence)
+    stamped = stamp(rows, source="archive", location_name=location_name)
+    hourly = materialize(prepare_raw_rows(stamped, keys, sequence), "hourly")
     context = join_enrichment(hourly, feed, keys)
     sent_raw = load_job(spark, raw_path, until(hourly, cutoff), keys, mode=mode)
-    features = feature_job(context, keys, cutoff=cutoff)
+    features = materialize(feature_job(context, keys, cutoff=cutoff), "features")
     sent_features = load_job(spark, feature_path, features, keys, mode=mode)
     return Ingested(sent_raw, sent_features)
 
@@ -162,7 +166,11 @@ def ingest_job(
 def load_job(
     spark: SparkSession, path: str, rows: DataFrame, keys: list[str], *, mode: str = "replace"
 ) -> int:
-    """Upsert rows by series and time; ``mode`` is one of the upsert modes."""
+    """Upsert rows by series and time; ``mode`` is one of the upsert modes.
+
+    ``rows`` is read twice (for its dates and for the merge), so it should be a
+    written table or cheap to compute.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown upsert mode {mode!r}; use one of {', '.join(MODES)}")
     return upsert_table(spark, path, rows, [*keys, "observed_at"], mode=mode)

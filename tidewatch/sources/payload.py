@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import nan_to_null
 from tidewatch.operators.joins import join_daily
+from tidewatch.operators.windows import keep_last
 from tidewatch.schemas import (
     DAILY_VARIABLES,
     ENRICHMENT_MIN_DATE,
@@ -52,21 +53,42 @@ def _epoch_to_utc(seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, epoch)
 
 
-def archive_hourly(payload: DataFrame, keys: list[str]) -> DataFrame:
-    """Hourly rows of the primary payload with the daily extremes of their date."""
+def archive_hourly(
+    payload: DataFrame, keys: list[str], *, sequence: str | None = None
+) -> DataFrame:
+    """Hourly rows of the primary payload with the daily extremes of their date.
+
+    ``sequence`` names a payload column that orders deliveries. Payloads may then
+    overlap: extremes come from an hour's own payload, and the column is kept so
+    that the last copy can be chosen. Without it a date must occur only once.
+    """
+    keys = [*keys, sequence] if sequence else keys
     hourly = expand_payload(payload, HOURLY_VARIABLES, keep=[*keys, *METADATA_VARIABLES])
     daily = expand_payload(
         payload, DAILY_VARIABLES, grid="daily", keep=keys, instant="day_start"
     ).select(*keys, F.to_date("day_start").alias("obs_date"), *DAILY_VARIABLES)
-    return join_daily(hourly, daily, keys)
+    return join_daily(hourly, daily, keys, validate=True)
 
 
 def enrichment_hourly(
-    payload: DataFrame, keys: list[str], start_date: str, end_date: str
+    payload: DataFrame,
+    keys: list[str],
+    start_date: str,
+    end_date: str,
+    *,
+    sequence: str | None = None,
 ) -> DataFrame:
-    """Rows of the second feed inside the requested, clamped date range."""
-    rows = expand_payload(payload, ENRICHMENT_VARIABLES, keep=keys)
-    return clamp_range(rows, start_date, end_date)
+    """Rows of the second feed inside the requested, clamped date range.
+
+    With ``sequence`` the last delivery of an hour is kept.
+    """
+    kept = [*keys, sequence] if sequence else keys
+    rows = clamp_range(
+        expand_payload(payload, ENRICHMENT_VARIABLES, keep=kept), start_date, end_date
+    )
+    if sequence is None:
+        return rows
+    return keep_last(rows, [*keys, "observed_at"], sequence).drop(sequence)
 
 
 def clamp_range(
