@@ -9,12 +9,12 @@ import pytest
 from conftest import hour
 from pyspark.sql import functions as F
 
-from tidewatch.operators.contracts import ContractError, check_feature_frame
+from tidewatch.operators.contracts import ContractError, assert_not_null, check_feature_frame
 from tidewatch.operators.features import feature_frame
 from tidewatch.operators.filters import clean_features
 from tidewatch.operators.joins import previous_day_update, update_from
 from tidewatch.operators.windows import keep_last, lay_out, sequence_windows
-from tidewatch.plans.jobs import feature_job, prepare_raw_rows
+from tidewatch.plans.jobs import feature_job, feature_summary, prepare_raw_rows
 from tidewatch.schemas import (
     BASE_MODEL_FEATURES,
     CONDITION_CODES,
@@ -56,10 +56,8 @@ def raw_rows(hours=50):
     ]
 
 
-RAW_TYPES = ", ".join(
-    f"{name} {'timestamp_ntz' if name == 'observed_at' else 'int' if name == 'weather_code' else 'long' if name == 'id' else 'double'}"
-    for name in raw_rows(1)[0]
-)
+KINDS = {"observed_at": "timestamp_ntz", "weather_code": "int", "id": "long"}
+RAW_TYPES = ", ".join(f"{name} {KINDS.get(name, 'double')}" for name in raw_rows(1)[0])
 
 
 def frame(spark, rows, prefix=""):
@@ -236,6 +234,21 @@ def test_feature_contract(spark):
         check_feature_frame(good.drop("cape"))
 
 
+def test_required_values_are_checked(spark):
+    df = spark.createDataFrame([(1, None), (2, 3)], "a int, b int")
+    assert assert_not_null(df, ["a"]).count() == 2
+    with pytest.raises(ContractError, match="NULL"):
+        assert_not_null(df, ["a", "b"])
+
+
+def test_summary_of_a_feature_run(spark):
+    raw = frame(spark, raw_rows(60))
+    row = feature_summary(raw, feature_job(raw, []), cutoff=None).first()
+    assert (row.raw_rows, row.feature_rows_written, row.dropped_rows) == (60, 12, 48)
+    assert row.first_observed_at == hour(24) and row.last_observed_at == hour(35)
+    assert row.columns == FEATURE_COLUMNS and row.max_observed_at is None
+
+
 def test_cutoff_does_not_blind_the_label(spark):
     rows = feature_job(frame(spark, raw_rows(60)), [], cutoff="2026-05-02 05:00:00").collect()
     assert max(r.observed_at for r in rows) == hour(29)

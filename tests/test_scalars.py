@@ -97,3 +97,10 @@ def test_stamp_puts_constants_in_front(spark):
 def test_optional_number_is_a_typed_null(spark):
     df = spark.range(1)
     assert df.select(S.optional_number(df, "cape").alias("c")).dtypes == [("c", "double")]
+
+
+def test_listed_columns_become_numbers(spark):
+    df = spark.createDataFrame([("7", float("nan"), True, 2)], "a string, b double, c boolean, d int")
+    got = S.coerce_numbers(df, ["a", "b", "c", "d"])
+    assert {kind for _, kind in got.dtypes} == {"double"}
+    assert tuple(got.first()) == (7.0, None, 1.0, 2.0)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +58,8 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
-def assert_not_null(df: DataFrame, names: list[str]) -> None:
-    bad = df.where(F.concat_ws("", *[F.col(n).isNull().cast("string") for n in names]).contains("true"))
-    if not bad.isEmpty():
+def assert_not_null(df: DataFrame, names: list[str]) -> DataFrame:
+    missing = reduce(or_, [F.col(name).isNull() for name in names])
+    if not df.where(missing).isEmpty():
         raise ContractError(f"NULL in a required column of {', '.join(names)}")
+    return df

@@ -28,17 +28,17 @@ def quantile_shares(bins: int) -> list[float]:
     return [i * step for i in range(bins)] + [1.0]
 
 
-def quantile_edges(long: DataFrame, bins: int = BINS) -> DataFrame:
+def quantile_edges(long: DataFrame, bins: int = BINS, most: int | None = None) -> DataFrame:
     """Distinct linear quantiles per feature, the outer two widened by one ulp.
 
     Equal values are merged, their ranks come from running totals over value
     ranges, and only the values next to a quantile are kept. This is exact and
-    no task ever holds all values of a feature. A constant feature gets one bin
-    around its value.
+    no task ever holds all values of a long feature. A constant feature gets one
+    bin around its value. ``most`` is an upper bound of the rows, if known.
     """
     merged = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
     ranked = running_totals(
-        value_bucket(merged, "value", long, ["feature"]),
+        value_bucket(merged, "value", long, ["feature"], most),
         ["feature"],
         ["value"],
         {"below": F.col("rows")},
@@ -182,7 +182,7 @@ def drift_baseline(df: DataFrame, features: list[str], bins: int = BINS) -> Data
     edges, one short row per feature, are written once and then used to count.
     """
     long = numeric_long(df, features)
-    edges = materialize(quantile_edges(long, bins), "edges")
+    edges = materialize(quantile_edges(long, bins, df.count()), "edges")
     joined = (
         _feature_list(df, features)
         .join(edges, "feature", "left")

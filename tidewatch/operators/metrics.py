@@ -379,9 +379,10 @@ def metrics_document(
 ) -> DataFrame:
     """The full evaluation of one holdout as a single row.
 
-    Predictions and scores are read once each: the confusion cells are written as
-    a small table that everything label-based uses. ``predictions`` has ``actual``, ``predicted`` and a time; ``scores`` has one
-    row per observation and class (``label``, ``actual``, ``score``).
+    ``predictions`` has ``actual``, ``predicted`` and a time; ``scores`` has one row
+    per observation and class (``label``, ``actual``, ``score``). Predictions are
+    read once: the confusion cells are written as a small table that everything
+    label-based uses.
     """
     cells = materialize(
         predictions.groupBy("actual", "predicted").agg(
@@ -391,6 +392,7 @@ def metrics_document(
         ),
         "cells",
     )
+    observations = cells.agg(F.sum("n")).first()[0]
     bounds = cells.agg(F.min("test_start").alias("test_start"), F.max("test_end").alias("test_end"))
     cells = cells.select("actual", "predicted", "n")
     entry = F.struct("label", "n")
@@ -423,7 +425,7 @@ def metrics_document(
         side_by_side(
             [
                 label_metrics(cells).withColumnRenamed("rows", "rows_test"),
-                probability_metrics(score_steps(scores)),
+                probability_metrics(score_steps(scores, most=observations)),
                 bounds,
                 distribution("actual"),
                 distribution("predicted"),

@@ -27,7 +27,7 @@ from tidewatch.operators.drift import (
 from tidewatch.operators.features import feature_frame
 from tidewatch.operators.filters import clean_features, default_cutoff, trailing_window, until
 from tidewatch.operators.joins import assert_unique, join_enrichment
-from tidewatch.operators.metrics import history_and_fold_metrics
+from tidewatch.operators.metrics import history_and_fold_metrics, side_by_side
 from tidewatch.operators.registry import (
     PRODUCTION,
     as_dry_run,
@@ -119,6 +119,36 @@ def feature_job(
     return rows
 
 
+def feature_summary(
+    raw: DataFrame,
+    written: DataFrame,
+    *,
+    keep_incomplete: bool = False,
+    cutoff: str | None = None,
+) -> DataFrame:
+    """One row about a feature run: rows read, written and dropped, time bounds, columns.
+
+    Features have one row per raw row before cleaning, so the raw count serves both.
+    """
+    counts = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
+    output = written.agg(
+        F.count(F.lit(1)).alias("feature_rows_written"),
+        F.min("observed_at").alias("first_observed_at"),
+        F.max("observed_at").alias("last_observed_at"),
+    )
+    return side_by_side([counts, output]).select(
+        "raw_rows",
+        F.col("raw_rows").alias("feature_rows_before_cleaning"),
+        "feature_rows_written",
+        (F.col("raw_rows") - F.col("feature_rows_written")).alias("dropped_rows"),
+        F.lit(keep_incomplete).alias("keep_incomplete_rows"),
+        F.lit(cutoff).cast("string").alias("max_observed_at"),
+        "first_observed_at",
+        "last_observed_at",
+        F.array(*[F.lit(name) for name in written.columns]).alias("columns"),
+    )
+
+
 @dataclass(frozen=True)
 class Ingested:
     raw_rows: int

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tidewatch.plans.jobs import backfill_job, ingest_job
+from pyspark.sql import functions as F
+
+from tidewatch.operators.filters import default_cutoff
+from tidewatch.plans.jobs import backfill_job, feature_job, feature_summary, ingest_job
 from tidewatch.schemas import ENRICHMENT_EXPORT_COLUMNS
 from tidewatch.session import shared_path
 from tidewatch.sinks.upsert import PARTITION, read_table
-from tidewatch.workloads.features import REQUIRED_SQL, features_sql
+from tidewatch.workloads.features import FEATURES_SQL, REQUIRED_SQL, features_sql
 from tidewatch.workloads.inputs import (
     DAILY_SQL,
     ENRICHMENT_SQL,
@@ -16,6 +19,7 @@ from tidewatch.workloads.inputs import (
     condition_sql,
     daily_payloads,
     enrichment_payloads,
+    raw_hourly,
 )
 from tidewatch.workloads.registry import query, rounded
 
@@ -66,6 +70,31 @@ def ingested_raw(spark, sf_dir):
     return _ingest(spark, sf_dir, "raw")
 
 
+@query(
+    "feature_summary",
+    f"""WITH {FEATURES_SQL},
+written AS (
+  SELECT * FROM features
+  WHERE {REQUIRED_SQL} AND observed_at <= TIMESTAMP '2024-01-27 23:00:00')
+SELECT (SELECT count(*) FROM raw_hourly) AS raw_rows,
+       (SELECT count(*) FROM features) AS feature_rows_before_cleaning,
+       count(*) AS feature_rows_written,
+       (SELECT count(*) FROM features) - count(*) AS dropped_rows,
+       false AS keep_incomplete_rows, '2024-01-27 23:00:00' AS max_observed_at,
+       min(observed_at) AS first_observed_at, max(observed_at) AS last_observed_at,
+       57 AS n_columns
+FROM written""",
+)
+def summary(spark, sf_dir):
+    raw, cutoff = raw_hourly(spark, sf_dir), default_cutoff("2024-01-28")
+    written = feature_job(raw, SERIES, cutoff=cutoff)
+    return (
+        feature_summary(raw, written, cutoff=cutoff)
+        .withColumn("n_columns", F.size("columns"))
+        .drop("columns")
+    )
+
+
 @query(
     "backfill_export",
     f"WITH {_DENSE_SQL} SELECT series_id, {', '.join(ENRICHMENT_EXPORT_COLUMNS)} FROM dense",
