@@ -237,6 +237,7 @@ def psi_by_feature(
     ``baseline`` is a stored table and read twice; the current rows are read once.
     """
     long = numeric_long(current, features)
+    baseline = baseline.where(F.col("feature").isin(features))
     usable = (
         (F.col("status") == "ready")
         & (F.size("edges") >= 2)

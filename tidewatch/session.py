@@ -24,7 +24,6 @@ def get_session(app_name: str = "tidewatch", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
