@@ -17,14 +17,12 @@ from tidewatch.operators.windows import keep_last, lay_out, sequence_windows
 from tidewatch.plans.jobs import feature_job, feature_summary, prepare_raw_rows
 from tidewatch.schemas import (
     BASE_MODEL_FEATURES,
-    CONDITION_CODES,
+    CODE_CONDITIONS,
     CONDITION_LABELS,
     ENRICHED_MODEL_FEATURES,
     FEATURE_COLUMNS,
 )
 
-CODE_LABEL = {code: label for label, codes in CONDITION_CODES.items() for code in codes}
-
 
 def raw_rows(hours=50):
     return [
@@ -122,7 +120,7 @@ def expected_features(rows):
     ]
     rain = df["rain"].astype(float).fillna(0)
     out["rain_rolling_sum_24h"] = [rain[max(0, i - 23) : i + 1].sum() for i in range(len(t))]
-    labels = [CODE_LABEL.get(c) for c in df["weather_code"]]
+    labels = [CODE_CONDITIONS.get(c) for c in df["weather_code"]]
     out["target_weather_condition_24h"] = labels[24:] + [None] * min(24, len(labels))
     lagged = ([None] * 12 + labels)[: len(labels)]
     out["weather_condition_lag_12h_code"] = [

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.schemas import CONDITION_CODES, CONDITION_LABELS, HOUR_KEY_BASE
+from tidewatch.schemas import CODE_CONDITIONS, CONDITION_LABELS, HOUR_KEY_BASE
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
@@ -88,8 +88,7 @@ def _lookup(mapping: dict) -> Column:
 
 def condition_of(code: Column) -> Column:
     """Condition label of a numeric code; unknown and missing codes give NULL."""
-    labels = {code: label for label, codes in CONDITION_CODES.items() for code in codes}
-    return F.try_element_at(_lookup(labels), round_half_even(code.cast("double")))
+    return F.try_element_at(_lookup(CODE_CONDITIONS), round_half_even(code.cast("double")))
 
 
 def condition_ordinal(label: Column) -> Column:

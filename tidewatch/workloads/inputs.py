@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.windows import lay_out
-from tidewatch.schemas import CONDITION_CODES, ENRICHMENT_VARIABLES, HOURLY_VARIABLES
+from tidewatch.schemas import CODE_CONDITIONS, ENRICHMENT_VARIABLES, HOURLY_VARIABLES
 
 SERIES = ["series_id"]
 
@@ -229,9 +229,7 @@ SLOTS_SQL = """slots AS (
 
 def condition_sql(code: str) -> str:
     """SQL CASE that maps a numeric code to its condition."""
-    cases = " ".join(
-        f"WHEN {c} THEN '{label}'" for label, codes in CONDITION_CODES.items() for c in codes
-    )
+    cases = " ".join(f"WHEN {c} THEN '{label}'" for c, label in CODE_CONDITIONS.items())
     return f"CASE {code} {cases} END"
 
 
