@@ -12,6 +12,7 @@ from tidewatch.llm.common import table
 from tidewatch.llm.exact_dedup import exact_dedup
 from tidewatch.llm.minhash import near_duplicates
 from tidewatch.llm.packing import pack
+from tidewatch.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +68,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select(
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("left", 256).alias("kept_sha256")
+    )
