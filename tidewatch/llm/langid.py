@@ -235,21 +235,24 @@ def _predictor(shared):
                 for i, best in zip(some, mean.argmax(axis=1)):
                     pred[i] = model.labels[best]
             yield pa.record_batch(
-                [batch.column(0), pa.array(pred), pa.array(score)], ["doc_id", "lang_pred", "score"]
+                [batch.column(0), pa.array(pred, pa.string()), pa.array(score)],
+                ["row", "lang_pred", "score"],
             )
 
     return run
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, lang_pred and score (mean probability) of each row.
+    """The rows of ``docs`` as a struct ``row``, with lang_pred and score (mean probability).
 
     A text that is null or has no letter, and any text if nothing was learned, is
     ``und`` with score 0. Repeated rows and null ids get an answer each.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("doc_id", "text").mapInArrow(
-        _predictor(shared), "doc_id long, lang_pred string, score double"
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    kind = docs.select(row).schema["row"].dataType.simpleString()
+    return docs.select(row, F.col("text").alias("text")).mapInArrow(
+        _predictor(shared), f"row {kind}, lang_pred string, score double"
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import langid
 from tidewatch.llm.common import table
+from tidewatch.llm.embedding_graph import near_vectors
 from tidewatch.llm.exact_dedup import exact_dedup
 from tidewatch.llm.minhash import near_duplicates
 from tidewatch.llm.packing import pack
@@ -65,8 +66,9 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out()))
-    return langid.predict(docs, model).select(
-        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
+    doc_id = F.col("row.doc_id")
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        doc_id, langid.held_out(doc_id).alias("held_out"), "lang_pred", "score"
     )
 
 
@@ -76,3 +78,8 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("left", 256).alias("kept_sha256")
     )
+
+
+@query("op4_embedding_dedup")
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), similarity=0.98)

@@ -271,27 +271,24 @@ def _collections(length: int, span: int):
     return run
 
 
-def _removed(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts, spans, left = [], [], []
-            for data, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                steps = np.zeros(len(data) + 1, np.int32)
-                for mark in marks or ():
-                    steps[mark["start"]] += 1
-                    steps[mark["stop"]] -= 1
-                gone = np.cumsum(steps[:-1]) > 0
-                counts.append(int(gone.sum()))
-                spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
-                left.append(np.frombuffer(data, np.uint8)[~gone].tobytes() if marks else data)
-            yield pa.record_batch(
-                [batch.column(0), pa.array([len(d) for d in batch.column(1).to_pylist()], pa.int64()),
-                 pa.array(counts, pa.int64()), pa.array(spans, pa.int64()), pa.array(left, pa.binary()),
-                 batch.column(3)],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "left", "tag"],
-            )
-
-    return run
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts, spans, left = [], [], []
+        for data, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            steps = np.zeros(len(data) + 1, np.int32)
+            for mark in marks or ():
+                steps[mark["start"]] += 1
+                steps[mark["stop"]] -= 1
+            gone = np.cumsum(steps[:-1]) > 0
+            counts.append(int(gone.sum()))
+            spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
+            left.append(np.frombuffer(data, np.uint8)[~gone].tobytes() if marks else data)
+        yield pa.record_batch(
+            [batch.column(0), pa.array([len(d) for d in batch.column(1).to_pylist()], pa.int64()),
+             pa.array(counts, pa.int64()), pa.array(spans, pa.int64()), pa.array(left, pa.binary()),
+             batch.column(3)],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "left", "rest"],
+        )
 
 
 def _keys() -> list[Column]:
@@ -302,19 +299,22 @@ def _keys() -> list[Column]:
     ]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, left, tag.
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, left, rest.
 
     Each byte that a repeated string of ``length`` bytes covers is removed; strings
     are judged on the input, overlaps count, and the first copy goes as well. ``left``
-    is the bytes that remain, ``tag`` a hash of text and id. Null texts are empty.
+    is the bytes that remain, ``rest`` the columns named in ``carry``. Null texts are empty.
     Rows that repeat id and text repeat each other's bytes and get equal answers. Null
     ids are carried along. No rows give no rows.
     """
     steps = Steps(docs.sparkSession, "suffix")
     span = length - GRAM + 1
-    texts = docs.select("doc_id", text_column().alias("text"))
-    keyed = texts.select("doc_id", *_keys(), F.col("text").cast("binary").alias("data"))
+    rest = F.struct(*carry) if carry else F.struct(F.lit(True).alias("none"))
+    texts = docs.select("doc_id", text_column().alias("text"), rest.alias("rest"))
+    keyed = texts.select("doc_id", *_keys(), F.col("text").cast("binary").alias("data"), "rest")
     seeds = steps.save(
         keyed.select("doc", "tag", "data").mapInArrow(
             _seed_rows(length), "doc long, tag long, h long, c long, lo int, hi int, place long"
@@ -398,10 +398,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     return (
         keyed.join(spans, ["doc", "tag"], "left")
-        .select("doc_id", "data", "spans", "tag")
+        .select("doc_id", "data", "spans", "rest")
         .mapInArrow(
-            _removed(length),
-            "doc_id long, n_bytes long, n_removed long, n_spans long, left binary, tag long",
+            _removed,
+            "doc_id long, n_bytes long, n_removed long, n_spans long, left binary, "
+            f"rest {keyed.schema['rest'].dataType.simpleString()}",
         )
     )
 
