@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import langid
+from tidewatch.llm import html_text, langid, piece_sampler
 from tidewatch.llm.common import table
 from tidewatch.llm.embedding_graph import near_vectors
 from tidewatch.llm.exact_dedup import exact_dedup
@@ -83,3 +83,13 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_embedding_dedup")
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), similarity=0.98)
+
+
+@query("op7_piece_sampling")
+def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampler.encode(table(spark, sf_dir, "documents"))
+
+
+@query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), "page_id", "url")
