@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import html_text, langid, piece_sampler
+from tidewatch.llm import html_text, langid, license_scan, piece_sampler
 from tidewatch.llm.common import table
 from tidewatch.llm.embedding_graph import near_vectors
 from tidewatch.llm.exact_dedup import exact_dedup
 from tidewatch.llm.minhash import near_duplicates
 from tidewatch.llm.packing import pack
+from tidewatch.llm.passage_chains import repeated_passages
 from tidewatch.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +94,15 @@ def op7_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_html_text")
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), "page_id", "url")
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = license_scan.scan(docs, license_scan.train(docs))
+    return found.where("confirmed")
+
+
+@query("op1_passage_chains")
+def op1_passage_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
