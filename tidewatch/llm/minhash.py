@@ -6,14 +6,16 @@ spaced, truncated level of the smallest of one exponential variate per shingle:
 their maximum, and they agree about as often as the sets overlap.
 
 1. Texts with the same words are one class; only its representative goes on.
-2. Bands of registers bring candidates together. Each member of a band group is tied
-   to the group's smallest representative, so a group of n gives n - 1 pairs.
+2. Bands of registers bring candidates together. Each member of a band group may be
+   tied to the group's hub, the representative of the most texts, so a group of n gives
+   at most n - 1 pairs. A text is first compared with one of its hubs, and with the
+   others only where that has not put both into one component.
 3. The overlap of a pair is estimated by maximum likelihood from how often its
    registers are above, below and equal, given both set sizes; far pairs go.
 4. The rest is verified on the full sets. Verified links form components.
 5. Pairs of a band group that are still in different components are then compared
    all, in blocks, by the same estimate and check. So a member that is unlike its
-   group's smallest one loses no link.
+   hubs loses no link.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ REGISTERS = 128
 BASE = 1.2
 RATE = 20.0
 TOP = 255
-MARGIN = 0.15
+MARGIN = 0.08  # two and a half standard deviations at 0.85
 MISS = 1e-5
 BLOCK = 512
 
@@ -149,30 +150,72 @@ def _linked(percent: int):
     return run
 
 
+def _cell_pairs(levels, reps, sizes, parts, first, similarity: float) -> np.ndarray:
+    """Close pairs of different components, as rows (a, b), of one cell of a band group.
+
+    ``first`` marks the rows of the cell's first block. If it holds both kinds, pairs
+    are formed across; a cell of one block pairs its rows with each other.
+    """
+    # Far pairs have few equal registers; four deviations are left for chance.
+    rate = 1 - 2 * _above(np.array([(1 - similarity + MARGIN) / 2]))[0]
+    total = levels.shape[1]
+    enough = total * rate - 4 * np.sqrt(total * rate * (1 - rate))
+    inner = first.all()
+    left = np.arange(len(reps)) if inner else np.flatnonzero(first)
+    right = left if inner else np.flatnonzero(~first)
+    found = []
+    for start in range(0, len(left), 64):
+        own = left[start : start + 64]
+        near = parts[own][:, None] != parts[right][None, :]
+        if inner:
+            near &= reps[own][:, None] < reps[right][None, :]
+        small = np.minimum(sizes[own][:, None], sizes[right][None, :])
+        near &= small >= similarity * np.maximum(sizes[own][:, None], sizes[right][None, :]) - 1e-9
+        i, j = np.nonzero(near)
+        for at in range(0, len(i), 8192):
+            one, two = own[i[at : at + 8192]], right[j[at : at + 8192]]
+            close = (levels[one] == levels[two]).sum(axis=1) >= enough
+            one, two = one[close], two[close]
+            if len(one):
+                close = estimate(levels[one], levels[two], sizes[one], sizes[two]) >= similarity - MARGIN
+                found.append(np.sort(np.stack([reps[one[close]], reps[two[close]]], axis=1), axis=1))
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
 def _blocks(similarity: float):
-    """Close pairs of different components between the blocks of one cell."""
-
-    def run(cell):
-        levels = np.frombuffer(b"".join(cell["levels"]), np.uint8).reshape(len(cell), -1)
-        reps, sizes = cell["rep"].to_numpy(), cell["n_shingles"].to_numpy()
-        part, own = cell["component"].to_numpy(), cell["own"].to_numpy()
-        found = []
-        first, second = int(cell["x"].iloc[0]), int(cell["y"].iloc[0])
-        others = np.flatnonzero(own == second)
-        for i in np.flatnonzero(own == first):
-            near = others[(part[others] != part[i])]
-            near = near[reps[near] > reps[i]] if first == second else near
-            small, large = np.minimum(sizes[near], sizes[i]), np.maximum(sizes[near], sizes[i])
-            near = near[small >= similarity * large - 1e-9]
-            if len(near):
-                guess = estimate(
-                    np.broadcast_to(levels[i], (len(near), levels.shape[1])), levels[near],
-                    np.full(len(near), sizes[i]), sizes[near],
-                )
-                found += [(reps[i], reps[j]) for j in near[guess >= similarity - MARGIN]]
-        return pd.DataFrame(
-            {"a": [min(p) for p in found], "b": [max(p) for p in found]}, dtype="int64"
-        )
+    """Pairs of all cells of a partition sorted by cell; one cell is in memory at a time."""
+
+    def pairs(table: pa.Table):
+        cells = np.stack([table.column(c).to_numpy() for c in range(3)], axis=1)
+        edges = np.flatnonzero((np.diff(cells, axis=0) != 0).any(axis=1)) + 1
+        levels = _rows(table.column(7))
+        reps, parts, own, sizes = (table.column(c).to_numpy() for c in range(3, 7))
+        for start, stop in zip([0, *edges], [*edges, len(cells)]):
+            if stop - start > 1:
+                at = slice(start, stop)
+                first = own[at] == cells[start, 1]
+                yield _cell_pairs(levels[at], reps[at], sizes[at], parts[at], first, similarity)
+
+    def emit(table: pa.Table):
+        found = list(pairs(table))
+        if found and len(found := np.unique(np.concatenate(found), axis=0)):
+            yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            cells = np.stack([table.column(c).to_numpy() for c in range(3)], axis=1)
+            last = np.flatnonzero((cells != cells[-1]).any(axis=1))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            held = table.slice(cut)
+            if cut:
+                yield from emit(table.slice(0, cut))
+        if held is not None:
+            yield from emit(held)
 
     return run
 
@@ -207,25 +250,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = steps.save(
         sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
-             F.first("levels").alias("levels")),
+        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("texts"),
+             F.first("n_shingles").alias("n_shingles"), F.first("levels").alias("levels")),
         "classes",
     )
     bands = _bands(classes, band_rows(similarity), steps)
     sketch = classes.select("rep", "n_shingles", "levels")
-    stars = bands.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    close = steps.save(_estimated(stars, sketch, similarity), "close")
     sets = _candidate_sets(base, bands, words, steps)
-    links = steps.save(_verify(close, sets, percent), "links")
-    first = steps.save(connected_components(links, steps), "first")
-    rest = steps.save(_across(bands, sketch, first, close, similarity), "rest")
+    nearest = bands.groupBy("rep").agg(F.max(F.struct("weight", F.col("hub"))).alias("top"))
+    pairs = nearest.select(F.col("top.hub").alias("hub"), "rep").where("hub <> rep")
+    links = parts = None
+    for stars in (lambda known: pairs, lambda known: _apart(bands, known)):
+        close = steps.save(_estimated(stars(parts), sketch, similarity), "close")
+        more = steps.save(_verify(close, sets, percent), "links")
+        links = more if links is None else links.unionByName(more)
+        parts = steps.save(connected_components(links, steps), "parts")
+    rest = steps.save(_across(bands, sketch, parts, similarity), "rest")
     if not rest.isEmpty():
         links = links.unionByName(_verify(rest, sets, percent))
-        first = steps.save(connected_components(links, steps), "all")
+        parts = steps.save(connected_components(links, steps), "parts")
     members = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "digest")
     answer = (
         classes.select("digest", "rep")
-        .join(first.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
         .select("digest", F.coalesce("component", "rep").alias("component_id"))
     )
     linked = members.join(answer, "digest").select("doc_id", "n_shingles", "component_id")
@@ -238,25 +285,45 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def _bands(classes: DataFrame, rows: int, steps: Steps) -> DataFrame:
-    """band, rep and hub (the smallest rep) of every band group with company."""
+    """band, rep, size, hub and its weight of every band group with company.
+
+    The hub is the member that stands for the most texts, then the smallest one.
+    """
     n = REGISTERS // rows
     keys = F.array(
         *[F.xxhash64(F.lit(i), F.substring("levels", 1 + i * rows, rows)) for i in range(n)]
     )
-    exploded = classes.select("rep", F.explode(keys).alias("band"))
-    groups = (
-        exploded.groupBy("band")
-        .agg(F.min("rep").alias("hub"), F.count("*").alias("size"))
-        .where("size > 1")
+    exploded = classes.select("rep", "texts", F.explode(keys).alias("band"))
+    groups = exploded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    shared = steps.save(exploded.join(groups, "band"), "shared")
+    hubs = shared.groupBy("band").agg(F.max(F.struct("texts", (-F.col("rep")).alias("rep"))).alias("top"))
+    return steps.save(
+        shared.join(hubs, "band").select(
+            "band", "rep", "size", (-F.col("top.rep")).alias("hub"), F.col("top.texts").alias("weight")
+        ),
+        "bands",
+    )
+
+
+def _apart(bands: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs of hub and member that are still in different components."""
+    named = parts.select(F.col("node").alias("rep"), F.col("component").alias("own"))
+    hubs = parts.select(F.col("node").alias("hub"), F.col("component").alias("its"))
+    pairs = bands.where("rep <> hub").select("hub", "rep").distinct()
+    return (
+        pairs.join(named, "rep", "left")
+        .join(hubs, "hub", "left")
+        .where(F.coalesce("own", "rep") != F.coalesce("its", "hub"))
+        .select("hub", "rep")
     )
-    return steps.save(exploded.join(groups, "band").select("band", "rep", "hub", "size"), "bands")
 
 
 def _estimated(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFrame:
     left = sketch.toDF("a", "n_a", "levels_a")
     right = sketch.toDF("b", "n_b", "levels_b")
+    ordered = pairs.select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
     both = (
-        pairs.join(left, "a")
+        ordered.join(left, "a")
         .join(right, "b")
         .where(F.least("n_a", "n_b") >= F.lit(similarity - 1e-9) * F.greatest("n_a", "n_b"))
     )
@@ -273,9 +340,9 @@ def _candidate_sets(base: DataFrame, bands: DataFrame, words: int, steps: Steps)
 
 
 def _across(
-    bands: DataFrame, sketch: DataFrame, parts: DataFrame, seen: DataFrame, similarity: float
+    bands: DataFrame, sketch: DataFrame, parts: DataFrame, similarity: float
 ) -> DataFrame:
-    """Close pairs of one band group that are in different components and not yet checked.
+    """Close pairs of one band group that are in different components. A
 
     A large group is cut into blocks by a hash, and each pair of blocks is a cell of
     its own, so no task holds a whole group.
@@ -299,10 +366,11 @@ def _across(
         "band", "rep", "component", "own",
         F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
     )
-    pairs = (
+    return (
         cells.join(sketch, "rep")
-        .groupBy("band", "x", "y")
-        .applyInPandas(_blocks(similarity), "a long, b long")
+        .repartition("band", "x", "y")
+        .sortWithinPartitions("band", "x", "y")
+        .select("band", "x", "y", "rep", "component", "own", "n_shingles", "levels")
+        .mapInArrow(_blocks(similarity), "a long, b long")
         .distinct()
     )
-    return pairs.join(seen, ["a", "b"], "left_anti")
