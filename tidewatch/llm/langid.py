@@ -23,6 +23,7 @@ from tidewatch.llm.common import prefix_hashes, span_hashes
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 SAMPLE_ROWS = 1600
+LANGUAGE_ROWS = 400  # Spark cuts ranks of up to 1000 before the shuffle
 SEQUENCES = 6000
 SEQUENCE_WORDS = 24
 ROUNDS = 60
@@ -194,7 +195,7 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model | None:
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
-    """Model of at most ``rows`` labelled documents, about as many of each language.
+    """Model of at most ``rows`` labelled documents, LANGUAGE_ROWS of each language at most.
 
     The sample is the documents with the smallest text hashes, so it does not depend
     on their order. ``docs`` needs text and lang; rows without either are not used.
@@ -203,7 +204,7 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     ranked = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     each = ranked.withColumn(
         "n", F.row_number().over(Window.partitionBy("lang").orderBy(order, "text"))
-    ).where(F.col("n") <= rows)
+    ).where(F.col("n") <= LANGUAGE_ROWS)
     picked = each.orderBy("n", order, "lang").limit(rows).select("text", "lang")
     return fit([(r.text, r.lang) for r in picked.collect()])
 

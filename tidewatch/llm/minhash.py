@@ -342,7 +342,7 @@ def _candidate_sets(base: DataFrame, bands: DataFrame, words: int, steps: Steps)
 def _across(
     bands: DataFrame, sketch: DataFrame, parts: DataFrame, similarity: float
 ) -> DataFrame:
-    """Close pairs of one band group that are in different components. A
+    """Close pairs of one band group that are in different components.
 
     A large group is cut into blocks by a hash, and each pair of blocks is a cell of
     its own, so no task holds a whole group.
