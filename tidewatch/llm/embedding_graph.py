@@ -40,10 +40,6 @@ RECALL = 0.95
 TRIES = 4
 
 
-def _unit(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
-
-
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unit vectors of the usable rows; the others get none."""
     for batch in batches:
@@ -281,19 +277,29 @@ def graph_links(nodes: DataFrame, least: float, size: int, beam: int, steps: Ste
 
 
 def _compare(sample: list, least: float):
+    """Links of the sample with the rows of a batch; only vectors of one length are compared."""
+    by_length: dict[int, list] = {}
+    for row in sample:
+        by_length.setdefault(len(row.unit), []).append(row)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = np.array([r.label for r in sample])
-        reps = np.array([r.rep for r in sample])
-        asked = np.frombuffer(b"".join(r.unit for r in sample), np.float64).reshape(len(sample), -1)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            own, label = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            near = (asked @ _unit(batch.column(2)).T >= least) & (labels[:, None] == label[None, :])
-            i, j = np.nonzero(near & (reps[:, None] != own[None, :]))
-            yield pa.record_batch(
-                [pa.array(np.minimum(reps[i], own[j])), pa.array(np.maximum(reps[i], own[j]))], ["a", "b"]
-            )
+            units = batch.column(2).to_pylist()
+            sizes = np.array([len(u) for u in units])
+            for length, rows in by_length.items():
+                at = np.flatnonzero(sizes == length)
+                if not len(at):
+                    continue
+                reps, labels = (np.array([getattr(r, k) for r in rows]) for k in ("rep", "label"))
+                asked = np.frombuffer(b"".join(r.unit for r in rows), np.float64).reshape(len(rows), -1)
+                other = np.frombuffer(b"".join(units[i] for i in at), np.float64).reshape(len(at), -1)
+                own, label = batch.column(0).to_numpy()[at], batch.column(1).to_numpy()[at]
+                near = (asked @ other.T >= least) & (labels[:, None] == label[None, :])
+                i, j = np.nonzero(near & (reps[:, None] != own[None, :]))
+                yield pa.record_batch(
+                    [pa.array(np.minimum(reps[i], own[j])), pa.array(np.maximum(reps[i], own[j]))],
+                    ["a", "b"],
+                )
 
     return run
 
