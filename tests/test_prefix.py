@@ -65,3 +65,14 @@ def test_broadcast_only_below_the_proven_size(spark):
 
     assert hinted(broadcast_if_small(df, 10))
     assert not hinted(broadcast_if_small(df, 9))
+
+
+def test_rows_without_key_or_time_stay_at_every_size(spark):
+    from tidewatch.operators.prefix import with_row_index
+
+    rows = [("a", 3), ("a", 1), (None, 2), (None, 5), ("b", None), (None, None)]
+    df = spark.createDataFrame(rows, "series string, place long")
+    small = with_row_index(df, ["series"], ["place"])
+    cut = with_row_index(df, ["series"], ["place"], task_rows=2)
+    assert sorted(map(str, small.collect())) == sorted(map(str, cut.collect()))
+    assert small.count() == 6

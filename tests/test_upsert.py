@@ -113,7 +113,24 @@ def test_only_touched_dates_are_read(spark, tmp_path, monkeypatch):
     assert "PartitionFilters: [isnotnull(observed_date" in plan or "PartitionFilters: [(observed_date" in plan
     assert "PartitionFilters: []" not in plan
 
-    # With too many dates to list, a semi join finds the same rows.
-    monkeypatch.setattr(upsert, "MOST_DATES", 0)
+    # Sent again, the rows stay.
     upsert_table(spark, path, change.union(change.limit(0)), ["observed_at"])
     assert sorted(r.temp for r in read_table(spark, path).collect()) == [0.0] * 71 + [5.0]
+
+
+def test_columns_that_were_not_sent_stay_in_the_table(spark, tmp_path):
+    for mode, rain in (("replace", [1.5, 2.5]), ("keep_id", [None, 2.5])):
+        path = str(tmp_path / mode)
+        kind = "observed_at timestamp_ntz, temp double, rain double"
+        upsert_table(spark, path, spark.createDataFrame([(hour(0), 1.0, 1.5), (hour(1), 2.0, 2.5)], kind), ["observed_at"])
+        part = spark.createDataFrame([(hour(0), 9.0)], "observed_at timestamp_ntz, temp double")
+        upsert_table(spark, path, part, ["observed_at"], mode=mode)
+        rows = spark.read.parquet(path).orderBy("observed_at").collect()
+        assert [r.temp for r in rows] == [9.0, 2.0] and [r.rain for r in rows] == rain
+
+
+def test_missing_and_repeated_keys_are_refused(spark, tmp_path):
+    path, kind = str(tmp_path / "t"), "observed_at timestamp_ntz, temp double"
+    for rows in ([(None, 1.0)], [(hour(0), 1.0), (hour(0), 2.0)]):
+        with pytest.raises(ContractError):
+            upsert_table(spark, path, spark.createDataFrame(rows, kind), ["observed_at"])

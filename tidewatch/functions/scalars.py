@@ -70,7 +70,8 @@ def coerce_numbers(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def round_half_even(number: Column, kind: str = "int") -> Column:
-    return F.bround(number).cast(kind)
+    """Rounded number; NULL where it does not fit ``kind``."""
+    return F.bround(number).try_cast(kind)
 
 
 def hour_key(ts: Column, base: str = HOUR_KEY_BASE) -> Column:

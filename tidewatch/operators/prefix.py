@@ -92,7 +92,11 @@ def running_totals(
         .orderBy(*order_by)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return rows.join(offsets, [*keys, "__bucket"]).select(
+    # Rows without a key or bucket are a group of their own, so NULL must meet NULL.
+    parts = [*keys, "__bucket"]
+    offsets = offsets.withColumnsRenamed({name: f"__k_{name}" for name in parts})
+    same = [F.col(name).eqNullSafe(F.col(f"__k_{name}")) for name in parts]
+    return rows.join(offsets, same).select(
         *df.drop("__bucket").columns,
         *[
             (

@@ -17,7 +17,7 @@ PRODUCTION = "production"
 def latest_version(versions: DataFrame) -> DataFrame:
     """Highest version per model, compared as a number."""
     return versions.groupBy("model_name").agg(
-        F.max(F.col("version").cast("int")).cast("string").alias("version")
+        F.max(F.col("version").cast("bigint")).cast("string").alias("version")
     )
 
 

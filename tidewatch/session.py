@@ -42,7 +42,12 @@ def shared_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
     (tests, one-machine runs) a temporary folder stands in.
     """
-    return (spark.conf.get(CHECKPOINT_CONF, None) or _local_root()).rstrip("/")
+    named = spark.conf.get(CHECKPOINT_CONF, None)
+    if named is None and (
+        spark.sparkContext.master.partition("[")[0] != "local"
+    ):
+        raise ValueError(f"a cluster must name a folder that all executors share in {CHECKPOINT_CONF}")
+    return (named or _local_root()).rstrip("/")
 
 
 @functools.cache

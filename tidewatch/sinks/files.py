@@ -16,6 +16,8 @@ def write_csv(df: DataFrame, path: str) -> None:
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .csv(path)
     )
@@ -31,7 +33,8 @@ def write_json_document(df: DataFrame, path: str) -> None:
 
 
 def run_slug(now: datetime | None = None) -> str:
-    return (now or datetime.now(tz=UTC)).strftime("%Y%m%dT%H%M%SZ")
+    moment = now or datetime.now(tz=UTC)
+    return f"{moment:%Y%m%d}T{moment:%H%M%S}Z"
 
 
 def write_snapshot(df: DataFrame, root: str, now: datetime | None = None) -> dict[str, str]:

@@ -6,17 +6,20 @@ only rewritten in the date partitions that the incoming rows touch.
 
 from __future__ import annotations
 
+import functools
+import operator
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.operators.contracts import ContractError
+from tidewatch.operators.joins import assert_unique
 
 PARTITION = "observed_date"
 # Columns that an update leaves alone, besides the key itself.
 KEPT_ON_UPDATE = ("id", "inserted_at", "generated_at")
-# Up to this many touched dates (27 years) are listed as a partition filter.
-MOST_DATES = 10_000
 
 
 def merge_keep_id(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -90,7 +93,9 @@ def upsert_table(
 ) -> int:
     """Upsert into the Parquet table at ``path``; returns the number of rows sent.
 
-    Keys must be unique in ``incoming`` (see ``keep_last``). Only touched date
+    The table keeps its stored columns, whatever was sent; ``schema`` (by default the
+    sent columns) adds those that it lacks. Keys and times must not be NULL, and keys
+    must be unique in ``incoming`` (see ``keep_last``); both are checked first. Only touched date
     partitions are read and rewritten, in one job that reads the old files before
     its commit replaces them, so a lost executor only repeats tasks. A repeated
     upsert of the same rows changes nothing. Rows are rebalanced by date before
@@ -98,25 +103,23 @@ def upsert_table(
     """
     if mode not in MODES:
         raise ContractError(f"unknown upsert mode {mode!r}; use one of {', '.join(MODES)}")
-    schema = schema or incoming.schema
-    table_schema = T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in schema.fields]
-        + [T.StructField(PARTITION, T.DateType(), True)]
-    )
     dated = incoming.withColumn(PARTITION, F.to_date(time))
-    touched = dated.select(PARTITION).distinct()
-    dates = [row[0] for row in touched.limit(MOST_DATES + 1).collect()]
-    if not dates:
+    absent = [F.col(name).isNull() for name in dict.fromkeys([*keys, time])]
+    known = dated.agg(
+        F.count_if(functools.reduce(operator.or_, absent)).alias("absent"),
+        F.min(PARTITION).alias("first"),
+        F.max(PARTITION).alias("last"),
+    ).first()
+    if known.absent:
+        raise ContractError(f"{known.absent} rows have a NULL in {', '.join([*keys, time])}")
+    if known.first is None:
         return 0
-    # Creates the empty table; does nothing where the path exists.
-    spark.createDataFrame([], table_schema).write.mode("ignore").partitionBy(PARTITION).parquet(
-        path
-    )
+    assert_unique(incoming, keys)
+    table_schema = _table_schema(spark, path, schema or incoming.schema)
     table = read_table(spark, path, table_schema)
-    if len(dates) <= MOST_DATES:
-        old = table.where(F.col(PARTITION).isin(dates))
-    else:
-        old = table.join(touched, PARTITION, "left_semi")
+    # The range of dates prunes partitions while planning; the dates themselves are joined.
+    near = table.where(F.col(PARTITION).between(known.first, known.last))
+    old = near.join(dated.select(PARTITION).distinct(), PARTITION, "left_semi")
     sent = Observation()
     counted = dated.observe(sent, F.count(F.lit(1)).alias("rows"))
     merged = MODES[mode](old.select(*table_schema.names), counted, keys)
@@ -132,6 +135,28 @@ def upsert_table(
     return sent.get["rows"]
 
 
+def _table_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """Columns of the stored table and those of ``schema`` that it lacks.
+
+    Creates the empty table where the path does not exist.
+    """
+    partition = T.StructField(PARTITION, T.DateType(), True)
+    fields = [T.StructField(f.name, f.dataType, True) for f in schema.fields if f.name != PARTITION]
+    empty = spark.createDataFrame([], T.StructType([*fields, partition]))
+    empty.write.mode("ignore").partitionBy(PARTITION).parquet(path)
+    try:
+        stored = spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        stored = T.StructType([])  # a table without files
+    sent = {f.name for f in fields}
+    kept = [T.StructField(f.name, f.dataType, True) for f in stored.fields if f.name not in {*sent, PARTITION}]
+    types = {f.name: f.dataType for f in stored.fields}
+    fields = [T.StructField(f.name, types.get(f.name, f.dataType), True) for f in fields]
+    return T.StructType([*fields, *kept, partition])
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)

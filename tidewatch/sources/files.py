@@ -15,6 +15,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .csv(path)
     )

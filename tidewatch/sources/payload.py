@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -31,14 +33,20 @@ def expand_payload(
 
     ``{grid}_start`` and ``{grid}_end`` are epoch seconds, the end is exclusive;
     ``{grid}_interval`` is the step in seconds. NaN values become NULL.
+    An array whose length is not that of the grid is an error; a NULL array is missing.
     """
     start, end, step = (F.col(f"{grid}_{part}") for part in ("start", "end", "interval"))
     instants = F.when(end > start, F.sequence(start, end - F.lit(1), step)).otherwise(
         F.array().cast("array<bigint>")
     )
+    lengths = [F.size(name) != F.size(instants) for name in variables]
+    uneven = functools.reduce(operator.or_, [F.coalesce(wrong, F.lit(False)) for wrong in lengths])
     zipped = F.arrays_zip(instants.alias("epoch"), *[F.col(name) for name in variables])
+    checked = F.when(
+        uneven & (F.size(instants) > 0), F.raise_error(F.lit(f"arrays and {grid} grid differ in length"))
+    ).otherwise(zipped)
     return (
-        payload.select(*(keep or []), F.inline(zipped).alias("epoch", *variables))
+        payload.select(*(keep or []), F.inline(checked).alias("epoch", *variables))
         .where(F.col("epoch").isNotNull())
         .select(
             *(keep or []),

@@ -292,7 +292,7 @@ _REGISTRY_SQL = """versions AS (
   SELECT 'model_' || o_custkey AS model_name, CAST(o_orderkey AS VARCHAR) AS version,
          'run_' || o_orderkey AS run_id FROM orders),
 latest AS (
-  SELECT model_name, CAST(max(CAST(version AS INT)) AS VARCHAR) AS version
+  SELECT model_name, CAST(max(CAST(version AS BIGINT)) AS VARCHAR) AS version
   FROM versions GROUP BY model_name),
 f1 AS (
   SELECT 'run_' || o_orderkey AS run_id,
