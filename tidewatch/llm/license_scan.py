@@ -9,7 +9,8 @@ shingles that the paragraph has, and from CONFIRM on the prediction is confirmed
 
 Training data are the templates below with words left out and words of the corpus
 around them, against at most UNKNOWN_ROWS corpus paragraphs, those with the smallest
-hashes, that are like no template. Everything runs on DataFrame expressions.
+hashes, that are like no template. Everything runs on DataFrame expressions; the weights
+are a constant of BUCKETS rows at most, so scoring needs no join and no shuffle.
 """
 
 from __future__ import annotations
@@ -161,7 +162,16 @@ class Model:
     def __init__(self, weights: dict[int, list[float]], intercepts: list[float], temperature: float):
         self.weights, self.intercepts, self.temperature = weights, intercepts, temperature
 
-    def may_be_known(self, found: Column) -> Column:
+    def slots(self, found: Column) -> Column:
+        """Numbers, from 1, of those features of ``found`` that have weights."""
+        table = [0] * BUCKETS
+        for slot, bucket in enumerate(self.weights, 1):
+            table[bucket] = slot
+        numbers = _numbers(table, "int")
+        met = F.transform(found, lambda b: F.element_at(numbers, (b + 1).cast("int")))
+        return F.filter(met, lambda slot: slot > 0)
+
+    def may_be_known(self, slots: Column) -> Column:
         """False only for paragraphs that are ``unknown`` without a closer look.
 
         Such a paragraph has no feature that speaks more for a family than for
@@ -170,47 +180,47 @@ class Model:
         unknown = len(CLASSES) - 1
         if max(self.intercepts[:unknown]) >= self.intercepts[unknown]:
             return F.lit(True)
-        bits = [0] * (BUCKETS // 64)
-        for bucket, row in self.weights.items():
-            if max(row[:unknown]) > row[unknown]:
-                bits[bucket // 64] |= 1 << bucket % 64
-        signed = [b - (1 << 64) if b >> 63 else b for b in bits]
-        table = F.array(*map(F.lit, signed))
-        return F.exists(
-            found,
-            lambda b: F.bit_get(
-                F.element_at(table, F.shiftright(b, 6).cast("int") + 1), F.pmod(b, F.lit(64)).cast("int")
-            ) == 1,
+        speaks = [int(max(row[:unknown]) > row[unknown]) for row in self.weights.values()]
+        if not speaks:
+            return F.lit(False)
+        table = _numbers(speaks, "int")
+        return F.exists(slots, lambda slot: F.element_at(table, slot) == 1)
+
+    def logits(self, slots: Column) -> Column:
+        """Array of the logits of all classes."""
+        totals = _numbers(self.intercepts, "double")
+        if not self.weights:
+            return totals
+        rows = F.split(F.lit(";".join(",".join(map(repr, r)) for r in self.weights.values())), ";")
+        matrix = F.transform(rows, lambda row: F.split(row, ",").cast("array<double>"))
+        return F.aggregate(
+            F.transform(slots, lambda slot: F.element_at(matrix, slot)),
+            totals,
+            lambda total, row: F.zip_with(total, row, lambda x, y: x + y),
         )
 
-    def logits(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        """``keys``, class and z, the logit of each class, of rows with ``buckets``.
 
-        The weight table has at most BUCKETS rows for each class, so it is broadcast.
-        A bucket of the table that every paragraph meets holds the intercepts.
-        """
-        table = [
-            (bucket, i, w)
-            for bucket, row in [(-1, self.intercepts), *self.weights.items()]
-            for i, w in enumerate(row)
-            if w or bucket < 0
-        ]
-        weights = F.broadcast(rows.sparkSession.createDataFrame(table, "bucket long, class int, w double"))
-        every = F.concat(F.array(F.lit(-1).cast("long")), F.col("buckets"))
-        met = rows.select(*keys, F.explode(every).alias("bucket")).join(weights, "bucket")
-        return met.groupBy(*keys, "class").agg(F.sum("w").alias("z"))
-
-
-def _examples(docs: DataFrame) -> DataFrame:
+def _numbers(values: list, kind: str) -> Column:
+    """Constant array, folded once by the optimizer."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
+def _once(name: str, value: Column) -> Column:
+    """A generated column: later filters and projections read it and don't evaluate it again."""
+    return F.explode(F.array(value)).alias(name)
+
+
+def _examples(docs: DataFrame, steps: Steps) -> DataFrame:
     """label, tokens and weight of the training paragraphs."""
     spark = docs.sparkSession
     known = template_shingles(spark)
-    lines = paragraphs(docs).select("line").withColumn("tokens", words(F.col("line")))
-    sample = (
-        lines.where(F.size("tokens") > 0)
-        .orderBy(F.xxhash64("line"), "line")
+    lines = paragraphs(docs).select("line").where(F.col("line").rlike(r"[\p{L}\p{N}]"))
+    sample = steps.save(
+        lines.orderBy(F.xxhash64("line"), "line")
         .limit(UNKNOWN_ROWS)
-        .withColumn("s", shingles(F.col("tokens")))
+        .withColumn("tokens", words(F.col("line")))
+        .withColumn("s", shingles(F.col("tokens"))),
+        "sample",
     )
     alike = F.greatest(*[similarity(F.col("s"), known[family]) for family in FAMILIES])
     plain = sample.where(alike < LEAST).select(F.lit(UNKNOWN).alias("label"), "tokens")
@@ -242,7 +252,8 @@ def _examples(docs: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame) -> Model:
     """Model of the templates against the corpus; without a corpus, of the templates alone."""
-    rows = Steps(docs.sparkSession, "licence").save(_examples(docs), "examples")
+    steps = Steps(docs.sparkSession, "licence")
+    rows = steps.save(_examples(docs, steps), "examples")
     index = F.array_position(F.array(*map(F.lit, CLASSES)), F.col("label")) - 1
     held = F.pmod(F.xxhash64("features"), F.lit(4)) == 0
     counts = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -273,31 +284,21 @@ def train(docs: DataFrame) -> Model:
     return found
 
 
-def _shares(logits: list[Column], temperature: float) -> list[Column]:
-    top = F.greatest(*logits)
-    powers = [F.exp((z - top) / F.lit(temperature)) for z in logits]
-    total = sum(powers[1:], powers[0])
-    return [p / total for p in powers]
-
-
 def _calibrate(rows: DataFrame, model: Model) -> float:
     """The temperature with the smallest weighted log loss on held-out rows."""
-    numbered = rows.select(
-        F.monotonically_increasing_id().alias("id"), "y", "weight",
-        F.transform("features", lambda b: b.cast("long")).alias("buckets"),
-    )
-    logits = model.logits(numbered, ["id", "y", "weight"])
-    own = F.max(F.when(F.col("class") == F.col("y"), F.col("z")))
-    losses = [_log_sum(t) - own / t for t in TEMPERATURES]
-    each = logits.groupBy("id", "weight").agg(*[loss.alias(f"l{i}") for i, loss in enumerate(losses)])
-    row = each.agg(*[F.sum(F.col(f"l{i}") * F.col("weight")) for i in range(len(TEMPERATURES))]).first()
-    scored = [(loss, t) for loss, t in zip(row, TEMPERATURES) if loss is not None]
-    return min(scored)[1] if scored else 1.0
+    own = model.slots(F.transform("features", lambda b: b.cast("long")))
+    scored = rows.select("y", "weight", _once("z", model.logits(own)))
+    right = F.element_at("z", F.col("y").cast("int") + 1)
+    losses = [(_log_sum(F.col("z"), t) - right / t) * F.col("weight") for t in TEMPERATURES]
+    row = scored.agg(*[F.sum(loss) for loss in losses]).first()
+    found = [(loss, t) for loss, t in zip(row, TEMPERATURES) if loss is not None]
+    return min(found)[1] if found else 1.0
 
 
-def _log_sum(temperature: float) -> Column:
-    """Logarithm of the summed exponentials of a group's logits."""
-    return F.log(F.sum(F.exp(F.col("z") / F.lit(temperature))))
+def _log_sum(logits: Column, temperature: float) -> Column:
+    """Logarithm of the summed exponentials of the logits."""
+    total = F.aggregate(logits, F.lit(0.0), lambda sum_, z: sum_ + F.exp(z / F.lit(temperature)))
+    return F.log(total)
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
@@ -309,18 +310,19 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     columns are ignored. No rows give no rows.
     """
     known = template_shingles(docs.sparkSession)
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    lines = paragraphs(numbered, "row", "doc_id").withColumn("buckets", buckets(words(F.col("line"))))
-    keys = ["row", "doc_id", "paragraph", "line"]
-    scored = model.logits(lines.where(model.may_be_known(F.col("buckets"))), keys)
-    best = scored.groupBy(*keys).agg(
-        F.max_by("class", "z").alias("best"),
-        F.exp(F.max("z") / F.lit(model.temperature) - _log_sum(model.temperature)).alias("probability"),
+    lines = paragraphs(docs, "doc_id")
+    found = lines.select("*", _once("slots", model.slots(buckets(words(F.col("line"))))))
+    scored = found.where(model.may_be_known(F.col("slots"))).select(
+        "doc_id", "paragraph", "line", _once("z", model.logits(F.col("slots")))
+    )
+    top = F.array_max("z")
+    best = scored.select(
+        "doc_id", "paragraph", "line",
+        F.element_at(F.array(*map(F.lit, CLASSES)), F.array_position("z", top).cast("int")).alias("family"),
+        F.exp(top / F.lit(model.temperature) - _log_sum(F.col("z"), model.temperature)).alias("probability"),
     )
-    own = (
-        best.withColumn("family", F.element_at(F.array(*map(F.lit, CLASSES)), F.col("best") + 1))
-        .where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST))
-        .withColumn("s", shingles(words(F.col("line"))))
+    own = best.where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST)).withColumn(
+        "s", shingles(words(F.col("line")))
     )
     share = F.coalesce(
         *[F.when(F.col("family") == family, similarity(F.col("s"), known[family])) for family in FAMILIES]
