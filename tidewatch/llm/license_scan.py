@@ -191,10 +191,11 @@ class Model:
         totals = _numbers(self.intercepts, "double")
         if not self.weights:
             return totals
-        rows = F.split(F.lit(";".join(",".join(map(repr, r)) for r in self.weights.values())), ";")
-        matrix = F.transform(rows, lambda row: F.split(row, ",").cast("array<double>"))
+        # One flat constant: the optimizer folds no lambdas, so nested rows would be parsed anew.
+        flat = _numbers([w for row in self.weights.values() for w in row], "double")
+        size = len(CLASSES)
         return F.aggregate(
-            F.transform(slots, lambda slot: F.element_at(matrix, slot)),
+            F.transform(slots, lambda slot: F.slice(flat, (slot - 1) * size + 1, size)),
             totals,
             lambda total, row: F.zip_with(total, row, lambda x, y: x + y),
         )
@@ -269,8 +270,9 @@ def train(docs: DataFrame) -> Model:
         featuresCol="vector", labelCol="y", weightCol="weight", family="multinomial",
         regParam=2e-3, elasticNetParam=0.9, maxIter=60, standardization=False,
     )
-    # A row of every class in the fitted part keeps all classes in the model.
-    first = fitted.transform(marked.where(~held | (F.col("label") != UNKNOWN)))
+    # A row of every class in the fitted part keeps all classes in the model. The examples
+    # are bounded (templates and UNKNOWN_ROWS lines), so one task fits them without exchanges.
+    first = fitted.transform(marked.where(~held | (F.col("label") != UNKNOWN))).coalesce(1)
     model = regression.fit(first)
     matrix, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     missing = [-20.0] * (len(CLASSES) - len(bias))  # of classes without any example
