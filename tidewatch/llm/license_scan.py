@@ -313,7 +313,10 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     """
     known = template_shingles(docs.sparkSession)
     lines = paragraphs(docs, "doc_id")
-    found = lines.select("*", _once("slots", model.slots(buckets(words(F.col("line"))))))
+    split = lines.select("*", _once("tokens", words(F.col("line"))))
+    found = split.select(
+        "doc_id", "paragraph", "line", _once("slots", model.slots(buckets(F.col("tokens"))))
+    )
     scored = found.where(model.may_be_known(F.col("slots"))).select(
         "doc_id", "paragraph", "line", _once("z", model.logits(F.col("slots")))
     )
