@@ -35,7 +35,7 @@ REGISTERS = 128
 BASE = 1.2
 RATE = 20.0
 TOP = 255
-MARGIN = 0.08  # two and a half standard deviations at 0.85
+MARGIN = 0.13  # four standard deviations at 0.85
 MISS = 1e-5
 BLOCK = 512
 
