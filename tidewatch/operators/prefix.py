@@ -35,9 +35,10 @@ def value_bucket(
     """Add ``__bucket``: ordered value ranges of about ``task_rows`` rows each.
 
     ``df`` holds each value once per key, so no single value can fill a bucket.
-    ``source`` are the rows it was merged from: sketches over them, which need no
-    shuffle of values, give the number of ranges and their bounds. Values that
-    fit one task are left without buckets; ``most`` is a known upper bound of the
+    A sketch of ``source``, the rows it was merged from, gives the number of ranges
+    without a shuffle. The bounds come from the merged values, which are written
+    once for it: rows would give a hot value most of the bounds. Values that fit
+    one task are left without buckets; ``most`` is a known upper bound of the
     values of a key that saves the first sketch.
     """
     if most is not None and most <= task_rows:
@@ -47,7 +48,8 @@ def value_bucket(
     if pieces == 1:
         return df
     shares = [i / pieces for i in range(1, pieces)]
-    cuts = sorted(set(source.approxQuantile(column, shares, 1 / (4 * pieces))))
+    df = materialize(df, "values")
+    cuts = sorted(set(df.approxQuantile(column, shares, 1 / (4 * pieces))))
     splits = [float("-inf"), *cuts, float("inf")]
     return Bucketizer(splits=splits, inputCol=column, outputCol="__bucket").transform(df)
 

@@ -2,7 +2,7 @@
 
 ``versions``: model_name, version (text), run_id.
 ``aliases``: model_name, alias, version.
-``run_metrics``: run_id, metric, value.
+``run_metrics``: run_id, metric, value, and optionally step.
 ``baselines``: run_id, baseline (any type).
 """
 
@@ -28,9 +28,15 @@ def production_snapshot(
     baselines: DataFrame,
     alias: str = PRODUCTION,
 ) -> DataFrame:
-    """Version, run, metrics map and baseline behind an alias, one row per model."""
+    """Version, run, metrics map and baseline behind an alias, one row per model.
+
+    A metric that a run logged several times has the value of its largest step, or
+    without steps the largest value.
+    """
     current = aliases.where(F.col("alias") == alias).join(versions, ["model_name", "version"])
-    metrics = run_metrics.groupBy("run_id").agg(
+    order = F.struct("step", "value") if "step" in run_metrics.columns else F.col("value")
+    newest = run_metrics.groupBy("run_id", "metric").agg(F.max_by("value", order).alias("value"))
+    metrics = newest.groupBy("run_id").agg(
         F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("metrics")
     )
     return (

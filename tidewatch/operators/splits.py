@@ -113,9 +113,11 @@ def label_index(df: DataFrame, label: str = TARGET_COLUMN) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, labels: DataFrame, label: str = TARGET_COLUMN) -> DataFrame:
-    return df.join(
-        broadcast_if_small(labels.withColumnRenamed("label", label)), label
-    ).select(*df.columns, "label_index")
+    """Add ``label_index`` to every row; a row without a label meets the NULL label."""
+    named = broadcast_if_small(labels.withColumnRenamed("label", "__label"))
+    return df.join(named, F.col(label).eqNullSafe(F.col("__label")), "left").select(
+        *df.columns, "label_index"
+    )
 
 
 def class_weight_table(df: DataFrame, label: str, power: float = 0.5) -> DataFrame:
@@ -131,6 +133,9 @@ def class_weight_table(df: DataFrame, label: str, power: float = 0.5) -> DataFra
 
 
 def class_weights(df: DataFrame, label: str = TARGET_COLUMN, power: float = 0.5) -> DataFrame:
-    """Add ``class_weight`` to every row."""
+    """Add ``class_weight`` to every row; rows without a label are a class of their own."""
     table = class_weight_table(df, label, power).drop("class_rows")
-    return df.join(broadcast_if_small(table), label).select(*df.columns, "class_weight")
+    named = broadcast_if_small(table.withColumnRenamed(label, "__label"))
+    return df.join(named, F.col(label).eqNullSafe(F.col("__label"))).select(
+        *df.columns, "class_weight"
+    )
