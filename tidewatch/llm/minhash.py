@@ -14,8 +14,8 @@ their maximum, and they agree about as often as the sets overlap.
    registers are above, below and equal, given both set sizes; far pairs go.
 4. The rest is verified on the full sets. Verified links form components.
 5. Pairs of a band group that are still in different components are then compared
-   all, in blocks, by the same estimate and check. So a member that is unlike its
-   hubs loses no link.
+   all, in blocks, by the same estimate, by one of FINE more registers, and the same
+   check. So a member that is unlike its hubs loses no link.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ BASE = 1.2
 RATE = 20.0
 TOP = 255
 MARGIN = 0.13  # four standard deviations at 0.85
+FINE = 512
+FINE_MARGIN = 0.065  # as many of FINE registers
 MISS = 1e-5
 BLOCK = 512
 
@@ -118,6 +120,17 @@ def _sets(words: int):
     return run
 
 
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """FINE more registers of each shingle set, independent of the first ones."""
+    factors = _factors(REGISTERS + FINE)[REGISTERS:]
+    for batch in batches:
+        fine = [
+            registers(np.frombuffer(held, np.uint64), factors).tobytes()
+            for held in batch.column(1).to_pylist()
+        ]
+        yield pa.record_batch([batch.column(0), pa.array(fine, pa.binary())], ["rep", "fine"])
+
+
 def _rows(column: pa.Array) -> np.ndarray:
     """Register rows of a binary column as one matrix."""
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
@@ -150,7 +163,7 @@ def _linked(percent: int):
     return run
 
 
-def _cell_pairs(levels, reps, sizes, parts, first, similarity: float) -> np.ndarray:
+def _cell_pairs(levels, fine, reps, sizes, parts, first, similarity: float) -> np.ndarray:
     """Close pairs of different components, as rows (a, b), of one cell of a band group.
 
     ``first`` marks the rows of the cell's first block. If it holds both kinds, pairs
@@ -178,6 +191,9 @@ def _cell_pairs(levels, reps, sizes, parts, first, similarity: float) -> np.ndar
             one, two = one[close], two[close]
             if len(one):
                 close = estimate(levels[one], levels[two], sizes[one], sizes[two]) >= similarity - MARGIN
+                one, two = one[close], two[close]
+            if len(one):
+                close = estimate(fine[one], fine[two], sizes[one], sizes[two]) >= similarity - FINE_MARGIN
                 found.append(np.sort(np.stack([reps[one[close]], reps[two[close]]], axis=1), axis=1))
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
@@ -188,13 +204,15 @@ def _blocks(similarity: float):
     def pairs(table: pa.Table):
         cells = np.stack([table.column(c).to_numpy() for c in range(3)], axis=1)
         edges = np.flatnonzero((np.diff(cells, axis=0) != 0).any(axis=1)) + 1
-        levels = _rows(table.column(7))
+        levels, fine = _rows(table.column(7)), _rows(table.column(8))
         reps, parts, own, sizes = (table.column(c).to_numpy() for c in range(3, 7))
         for start, stop in zip([0, *edges], [*edges, len(cells)]):
             if stop - start > 1:
                 at = slice(start, stop)
                 first = own[at] == cells[start, 1]
-                yield _cell_pairs(levels[at], reps[at], sizes[at], parts[at], first, similarity)
+                yield _cell_pairs(
+                    levels[at], fine[at], reps[at], sizes[at], parts[at], first, similarity
+                )
 
     def emit(table: pa.Table):
         found = list(pairs(table))
@@ -265,7 +283,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         more = steps.save(_verify(close, sets, percent), "links")
         links = more if links is None else links.unionByName(more)
         parts = steps.save(connected_components(links, steps), "parts")
-    rest = steps.save(_across(bands, sketch, parts, similarity), "rest")
+    rest = steps.save(_across(bands, sketch, sets, parts, similarity, steps), "rest")
     if not rest.isEmpty():
         links = links.unionByName(_verify(rest, sets, percent))
         parts = steps.save(connected_components(links, steps), "parts")
@@ -340,7 +358,8 @@ def _candidate_sets(base: DataFrame, bands: DataFrame, words: int, steps: Steps)
 
 
 def _across(
-    bands: DataFrame, sketch: DataFrame, parts: DataFrame, similarity: float
+    bands: DataFrame, sketch: DataFrame, sets: DataFrame, parts: DataFrame, similarity: float,
+    steps: Steps,
 ) -> DataFrame:
     """Close pairs of one band group that are in different components.
 
@@ -356,10 +375,14 @@ def _across(
         .where("low < high")
         .select("band")
     )
-    parted = (
+    parted = steps.save(
         labelled.join(mixed, "band")
         .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")),
+        "mixed",
+    )
+    fine = sets.join(parted.select("rep").distinct(), "rep", "left_semi").mapInArrow(
+        _fine, "rep long, fine binary"
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     cells = parted.select("band", "rep", "component", "own", other).select(
@@ -367,10 +390,10 @@ def _across(
         F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
     )
     return (
-        cells.join(sketch, "rep")
+        cells.join(sketch.join(fine, "rep"), "rep")
         .repartition("band", "x", "y")
         .sortWithinPartitions("band", "x", "y")
-        .select("band", "x", "y", "rep", "component", "own", "n_shingles", "levels")
+        .select("band", "x", "y", "rep", "component", "own", "n_shingles", "levels", "fine")
         .mapInArrow(_blocks(similarity), "a long, b long")
         .distinct()
     )
