@@ -287,6 +287,26 @@ def test_passages(docs):
     assert not any(14 in p or 15 in p for p in pairs)
 
 
+def test_chain_of_two_passages_is_cut(spark):
+    first, second = prose(100), prose(100)
+    texts = [(1, f"{first} {prose(100)} {second}"), (2, f"{first} {prose(100)} {second}")]
+    rows = passage_chains.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert len(rows) == 2
+    for r, start in zip(sorted(rows, key=lambda r: r.first_word), (0, 200)):
+        assert abs(r.first_word - start) <= 3 and abs(r.last_word - start - 99) <= 3 and r.similarity > 0.97
+
+
+def test_common_words_of_large_gaps():
+    random = np.random.default_rng(4)
+    a, b = random.integers(0, 9, 60), random.integers(0, 9, 50)
+    table = np.zeros((61, 51), int)
+    for i, j in itertools.product(range(60), range(50)):
+        table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
+    assert passage_chains.common_words(a, b) == table[-1, -1]
+    assert passage_chains.common_words(np.arange(1500), np.arange(1500)) == 1500
+    assert passage_chains.common_words(a[:0], b) == passage_chains.common_words(a, b[:0]) == 0
+
+
 def test_licences(spark):
     lines = [(1, "x\nLicensed under the Apache License, Version 2.0.\ny"), (2, "Released under the MIT License."),
              (3, prose(40)), (4, None), (5, "")]
