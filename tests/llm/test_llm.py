@@ -296,6 +296,31 @@ def test_chain_of_two_passages_is_cut(spark):
         assert abs(r.first_word - start) <= 3 and abs(r.last_word - start - 99) <= 3 and r.similarity > 0.97
 
 
+def test_passage_whose_seeds_stand_elsewhere_too(spark):
+    """Two documents share a passage; all its runs of words also stand in smaller and larger ones."""
+    words, many = prose(60).split(), prose(60).split()
+    texts = [(50, prose(30) + " " + " ".join(words) + " " + prose(30)), (60, prose(20) + " " + " ".join(words))]
+    texts += [(i, " ".join([prose(40), *many, prose(40)])) for i in (51, 61)]
+    for number, i in enumerate([*range(1, 13), *range(100, 112)]):
+        for source in (words, many):
+            parts = [source[k : k + 18] for k in range(number % 6, 60, 20)]
+            texts.append((i + 1000 * (source is many), " ".join(" ".join(p) + " " + prose(30) for p in parts)))
+            texts.append((i - 1000 - 200 * (source is many), texts[-1][1]))
+    rows = passage_chains.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    pairs = {frozenset((r.doc_id, r.other_id)) for r in rows}
+    assert {frozenset((50, 60)), frozenset((51, 61))} <= pairs
+
+
+def test_all_places_of_a_seed_count(spark):
+    line, passage = prose(20), prose(30)
+    texts = [(1, f"{line} {prose(50)} {line} {passage} {line}"), (2, f"{line} {prose(70)} {line} {passage} {line}")]
+    rows = passage_chains.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert [(r.first_word, r.last_word, r.similarity) for r in rows] == [(90, 159, 1.0)]
+    found, places = passage_chains.seeds(common.word_hashes(texts[0][1].encode())[0])
+    assert len(found) > len(set(found.tolist())) and (np.diff(found.astype(object)) >= 0).all()
+    assert len(passage_chains.seeds(common.word_hashes(b"a " * 5000)[0])[1]) == 2
+
+
 def test_common_words_of_large_gaps():
     random = np.random.default_rng(4)
     a, b = random.integers(0, 9, 60), random.integers(0, 9, 50)
