@@ -242,6 +242,28 @@ def test_html_layout():
     assert html_text.page_text("a < b <unclosed") == "a < b"
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<table><form><tr><td>a<td>b</tr></form></table>", "a  b"),
+    ("<table><form hidden><tr><td>a</form></table>", "a"),
+    ("<table><div>one</div><tr><td>two</table>", "one\ntwo"),
+    ("<table><div>one<tr><td>two<p>three</table>four", "one\ntwo\n\nthree\n\nfour"),
+    ("<table><tr><td>x</td><p>one</p><td>y</tr>", "one\nx  y"),
+    ("<table><tbody><td>a<td>b<tr><td>c</table>", "a  b\nc"),
+    ("<table><tbody>one<section>two</section><ul><li>three</ul></tbody><tr><td>x</table>", "one\ntwo\n\n- three\nx"),
+    ("<table><tr><td>a<table><tr><td>b</table><tr><td>c</table>", "a\n\nb\nc"),
+    ("<table><table><tr><td>a</table>", "a"),
+    ("<table><caption>cap</caption><center>mid</center><td>x</table>", "mid\ncap\nx"),
+    ("<svg><title>no</title><desc>no</desc><text>in</text><text>svg</text></svg>", "in svg"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "x=1"),
+    ("<textarea>a &lt; b</textarea>", "a < b"),
+    ("<select><option>one<option selected>two</select>", "one\ntwo"),
+    ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("<i aria-hidden=true>seen</i><xmp><b>raw</b></xmp>", "seen\n\n<b>raw</b>"),
+])
+def test_html_tables_and_visible_elements(page, text):
+    assert html_text.page_text(page) == text
+
+
 def test_pieces_are_lossless_and_repeatable(docs):
     first = piece_sampler.encode(docs)
     rows = first.collect()

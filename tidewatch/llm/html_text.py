@@ -22,13 +22,15 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style template noscript title meta link iframe object audio video canvas svg "
-    "math select datalist dialog noembed noframes xmp textarea".split()
+    "head script style template noscript title meta link iframe object audio video canvas "
+    "datalist noembed noframes annotation annotation-xml".split()
 )
+#: Elements of a drawing that are not drawn by themselves.
+UNDRAWN = frozenset("defs desc metadata symbol".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure fieldset".split())
 BLOCKS = PARAGRAPHS | frozenset(
     "html body div section article header footer nav main aside address form li dt dd tr caption "
-    "thead tbody tfoot hr details summary figcaption legend center menu hgroup search".split()
+    "thead tbody tfoot hr details summary figcaption legend center menu hgroup search dialog".split()
 )
 #: What an opening tag ends if it is open, and the elements that shield it.
 ENDS = {
@@ -45,6 +47,12 @@ ENDS = {
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, set()),
 }
+#: Below what open element a tag of a table belongs; other open elements end there.
+SECTIONS = {"thead", "tbody", "tfoot"}
+PLACES = {
+    "td": {"tr", "table"} | SECTIONS, "th": {"tr", "table"} | SECTIONS, "tr": {"table"} | SECTIONS,
+    **dict.fromkeys(SECTIONS | {"caption", "col", "colgroup"}, {"table"}),
+}
 SHIELDS = {"table", "td", "th", "body", "html", "button", "caption"}
 SPACE = re.compile(r"[ \t\n\r\f]+")
 TOKEN = re.compile(
@@ -73,7 +81,7 @@ def _open(tag: str, text: str) -> Node:
     hidden = (
         tag in HIDDEN
         or "hidden" in values
-        or values.get("aria-hidden", "").lower() == "true"
+        or (tag == "dialog" and "open" not in values)
         or (tag == "input" and values.get("type", "").lower() == "hidden")
         or bool(INVISIBLE_STYLE.search(values.get("style", "")))
     )
@@ -100,6 +108,27 @@ def parse(page: str) -> Node:
         if last is not None:
             del stack[last:]
 
+    def make_room(tag: str) -> None:
+        """End what a tag of a table can not stand in, and open the row that a cell needs."""
+        if tag == "table":
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in ("td", "th", "caption"):
+                    return
+                if stack[depth].tag == "table":
+                    del stack[depth:]
+                    return
+            return
+        for depth in range(len(stack) - 1, 0, -1):
+            if stack[depth].tag in PLACES[tag]:
+                del stack[depth + 1 :]
+                if tag in ("td", "th") and stack[-1].tag != "tr":
+                    row = Node("tr")
+                    stack[-1].children.append(row)
+                    stack.append(row)
+                return
+            if stack[depth].tag in ("td", "th", "caption"):
+                return
+
     while place < len(page):
         found = TOKEN.search(page, place)
         if found is None:
@@ -114,6 +143,9 @@ def parse(page: str) -> Node:
                 stack[-1].children.append(Node("p"))
             elif tag == "br":
                 stack[-1].children.append(Node("br"))
+            elif tag == "table":
+                inner = max((i for i, n in enumerate(stack) if n.tag == "table"), default=len(stack))
+                del stack[inner:]
             else:
                 close({tag}, SHIELDS - {tag} if tag not in BLOCKS else {"table"} - {tag})
         elif found["start"]:
@@ -126,14 +158,21 @@ def parse(page: str) -> Node:
                 close({"head"}, set())
             if tag in ENDS:
                 close(*ENDS[tag])
+            if tag in PLACES or tag == "table":
+                make_room(tag)
             node = _open(tag, found["attributes"])
+            if tag in UNDRAWN and any(n.tag == "svg" for n in stack):
+                node.hidden = True
             stack[-1].children.append(node)
             if tag in VOID or found["self"]:
                 continue
+            if tag == "form" and stack[-1].tag in SECTIONS | {"table", "tr"}:
+                continue  # its content belongs to the table
             if tag in RAW:
                 end = re.compile(rf"</{tag}[\s/>]", re.I).search(page, place)
                 stop = end.start() if end else len(page)
-                node.children.append(page[place:stop])
+                raw = page[place:stop].removeprefix("\n")
+                node.children.append(html.unescape(raw) if tag == "textarea" else raw)
                 place = page.find(">", stop) + 1 if end else len(page)
                 place = place or len(page)
                 continue
@@ -189,38 +228,43 @@ def width(text: str) -> int:
     )
 
 
-def _rows(table: Node) -> Iterator[Node]:
-    stack = list(reversed(table.children))
+def _parts(table: Node) -> tuple[list[Node], list[list[Node]], list]:
+    """Captions, rows of cells, and all other visible children, which stand before the table."""
+    captions, rows, loose = [], [], []
+    stack: list = list(reversed(table.children))
     while stack:
         node = stack.pop()
-        if isinstance(node, Node) and not node.hidden:
-            if node.tag == "tr":
-                yield node
-            elif node.tag in ("thead", "tbody", "tfoot"):
-                stack += reversed(node.children)
+        if isinstance(node, str):
+            loose.append(node if node.strip() else " ")
+        elif node.hidden:
+            continue
+        elif node.tag == "caption":
+            captions.append(node)
+        elif node.tag == "tr":
+            rows.append([c for c in node.children if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden])
+            loose += [c for c in node.children if isinstance(c, str) or c.tag not in ("td", "th")]
+        elif node.tag in SECTIONS | {"colgroup"}:
+            stack += reversed(node.children)
+        else:
+            loose.append(node)
+    return captions, rows, loose
 
 
 def _table(table: Node, depth: int) -> list[str]:
     """Lines of a table: cells side by side, padded to the width of their column."""
-    lines: list[str] = []
-    for child in table.children:
-        if isinstance(child, Node) and not child.hidden and child.tag == "caption":
-            lines += _render(child, depth + 1)
-    rows, loose = [], _Lines()
-    for child in table.children:
-        if isinstance(child, str) or (child.tag not in BLOCKS | {"col", "colgroup"} and not child.hidden):
-            _walk([child], loose, depth + 1)
-    loose.end()
-    lines += loose.lines
-    for row in _rows(table):
+    captions, found, others = _parts(table)
+    before = _Lines()
+    _walk(others, before, depth + 1)
+    before.end()
+    lines = before.lines
+    for caption in captions:
+        lines += _render(caption, depth + 1)
+    rows = []
+    for row in found:
         cells = []
-        for cell in row.children:
-            if isinstance(cell, str):
-                if cell.strip():
-                    cells.append([SPACE.sub(" ", cell).strip()])
-            elif not cell.hidden:
-                cells.append(_render(cell, depth + 1) or [""])
-                cells += [[""]] * (min(cell.span, 1000) - 1)
+        for cell in row:
+            cells.append(_render(cell, depth + 1) or [""])
+            cells += [[""]] * (min(cell.span, 1000) - 1)
         rows.append(cells)
     columns = max(map(len, rows), default=0)
     widths = [0] * columns
@@ -308,7 +352,20 @@ def _walk(children: list, out: _Lines, depth: int, keep: bool = False) -> None:
             else:
                 _walk(node.children, out, depth + 1, keep)
             out.end()
-        elif tag in ("td", "th"):
+        elif tag == "xmp":
+            out.gap()
+            _walk(node.children, out, depth + 1, True)
+            if out.text:
+                out.end(True)
+            out.gap()
+        elif tag == "textarea":
+            _walk(node.children, out, depth + 1, True)
+            out.add(" ")
+        elif tag in ("option", "optgroup"):
+            out.end()
+            _walk(node.children, out, depth + 1, keep)
+            out.end()
+        elif tag in ("td", "th", "text"):
             _walk(node.children, out, depth + 1, keep)
             out.add(" ")
         elif tag == "q":
