@@ -211,6 +211,22 @@ def test_language_of_held_out_rows(spark, docs):
         assert 0 <= r.score <= 1
 
 
+def test_language_sample_has_each_text_once(spark):
+    texts = [(prose(30), "aa") for _ in range(500)] + [(prose(5000), "aa")]
+    early = spark.createDataFrame(texts, "text string, lang string").orderBy(F.xxhash64("text")).first()
+    table = spark.createDataFrame(texts + [(early.text, "aa")] * 2000, "text string, lang string")
+    rows = langid.sample(table).collect()
+    assert len(rows) == len({r.text for r in rows}) == langid.LANGUAGE_ROWS
+    assert all(len(r.text.split()) <= langid.TEXT_WORDS for r in langid.sample(table.where("length(text) > 9999")).collect())
+
+
+def test_long_text_does_not_outweigh_its_language(monkeypatch):
+    drawn = []
+    monkeypatch.setattr(langid, "_lexicon", lambda words, *_: drawn.extend(words) or {})
+    langid.fit([("long " * 20000, "aa")] + [("short " * 24, "aa")] * 9)
+    assert drawn.count("long") < 0.2 * len(drawn)
+
+
 def test_embeddings(spark):
     random = np.random.default_rng(1)
     base = random.normal(size=(60, 8))

@@ -24,6 +24,7 @@ BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 SAMPLE_ROWS = 1600
 LANGUAGE_ROWS = 400  # Spark cuts ranks of up to 1000 before the shuffle
+TEXT_WORDS = 600
 SEQUENCES = 6000
 SEQUENCE_WORDS = 24
 ROUNDS = 60
@@ -125,28 +126,35 @@ def _lexicon(words: list[str], marks: np.ndarray, labels: int) -> dict[str, int]
 def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model | None:
     """Model of (text, language) rows; None if they hold no words.
 
-    Texts are cut into short sequences. A third of the training sequences joins parts
+    Texts are cut into short sequences, which are drawn evenly over the texts of a
+    language, however long these are. A third of the training sequences joins parts
     of two texts, which is where transitions between languages are learned.
     """
     random = np.random.default_rng(seed)
     labels = sorted({lang for _, lang in rows})
-    pool: list[list[list[str]]] = [[] for _ in labels]
+    pool: list[list[list[list[str]]]] = [[] for _ in labels]
     for text, lang in rows:
         words = words_of(text)
-        pool[labels.index(lang)] += [
-            words[i : i + SEQUENCE_WORDS] for i in range(0, len(words), SEQUENCE_WORDS)
-        ]
+        if words:
+            pool[labels.index(lang)].append(
+                [words[i : i + SEQUENCE_WORDS] for i in range(0, len(words), SEQUENCE_WORDS)]
+            )
+
+    def draw(label: int) -> list[str]:
+        pieces = pool[label][random.integers(len(pool[label]))]
+        return pieces[random.integers(len(pieces))]
+
     filled = [i for i, p in enumerate(pool) if p]
     if not filled:
         return None
     words, marks, lengths = [], [], []
     for _ in range(SEQUENCES):
         first = filled[random.integers(len(filled))]
-        part = pool[first][random.integers(len(pool[first]))]
+        part = draw(first)
         mark = [first] * len(part)
         if random.random() < 1 / 3:
             second = filled[random.integers(len(filled))]
-            more = pool[second][random.integers(len(pool[second]))]
+            more = draw(second)
             cut, size = random.integers(len(part) + 1), random.integers(1, len(more) + 1)
             part = part[:cut] + more[:size]
             mark = mark[:cut] + [second] * size
@@ -195,18 +203,35 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> Model | None:
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
-    """Model of at most ``rows`` labelled documents, LANGUAGE_ROWS of each language at most.
+    """Model of at most ``rows`` different labelled texts, LANGUAGE_ROWS of each language at most.
 
-    The sample is the documents with the smallest text hashes, so it does not depend
-    on their order. ``docs`` needs text and lang; rows without either are not used.
+    The sample is the texts with the smallest hashes, so it depends neither on their
+    order nor on the number of their copies. TEXT_WORDS words of each are used. ``docs``
+    needs text and lang; rows without either are not used.
     """
-    order = F.xxhash64("text")
-    ranked = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    each = ranked.withColumn(
-        "n", F.row_number().over(Window.partitionBy("lang").orderBy(order, "text"))
+    return fit([(r.text, r.lang) for r in sample(docs, rows).collect()])
+
+
+def _first_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [" ".join(words_of(t)[:TEXT_WORDS]) for t in batch.column(3).to_pylist()]
+        yield pa.record_batch([*batch.columns[:3], pa.array(texts, pa.string())], ["n", "h", "lang", "text"])
+
+
+def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The texts that :func:`train` learns from, with n (place in their language), h and lang."""
+    hashed = docs.where("text IS NOT NULL AND lang IS NOT NULL").select(
+        "lang", F.xxhash64("text").alias("h"), "text"
+    )
+    # Copies are merged as hashes; the texts of those picked are fetched afterwards.
+    each = hashed.select("lang", "h").distinct().withColumn(
+        "n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     ).where(F.col("n") <= LANGUAGE_ROWS)
-    picked = each.orderBy("n", order, "lang").limit(rows).select("text", "lang")
-    return fit([(r.text, r.lang) for r in picked.collect()])
+    picked = each.orderBy("n", "h", "lang").limit(rows)
+    texts = hashed.join(F.broadcast(picked), ["lang", "h"]).groupBy("n", "h", "lang").agg(
+        F.min("text").alias("text")
+    )
+    return texts.mapInArrow(_first_words, "n int, h long, lang string, text string").orderBy("n", "h", "lang")
 
 
 def _predictor(shared):
