@@ -380,6 +380,18 @@ def test_licences(spark):
     assert got == {(1, 1, "apache-2.0"), (2, 0, "mit")}
 
 
+def test_wrapped_licences(spark):
+    import textwrap
+
+    gpl, mit = license_scan.TEMPLATES["gpl"][1], license_scan.TEMPLATES["mit"][2]
+    lines = [(1, "int a;\n\n/*\n" + "".join(f" * {x}\n" for x in textwrap.wrap(gpl, 72)) + " */\nint b;"),
+             (2, "\n".join("# " + x for x in textwrap.wrap(mit, 50)))]
+    own = spark.createDataFrame(lines, "doc_id long, text string")
+    corpus = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = license_scan.scan(own, license_scan.train(corpus)).collect()
+    assert {(r.doc_id, r.paragraph, r.family) for r in rows if r.confirmed} == {(1, 3, "gpl"), (2, 0, "mit")}
+
+
 def test_empty_tables(spark, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
     assert minhash.near_duplicates(empty).count() == 0

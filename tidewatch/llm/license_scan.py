@@ -1,6 +1,8 @@
 """Licence notices in texts by a trained paragraph classifier.
 
-Every line of a text is a paragraph. Its distinct one- and two-word runs are hashed
+Every line of a text is a paragraph, and so is every run of up to WINDOW lines without a
+blank one between that has WINDOW_WORDS words at most: a notice may be wrapped. Comment
+marks don't count. Of predictions that overlap the best one stays. A paragraph's distinct one- and two-word runs are hashed
 into BUCKETS features, and a sparse multinomial logistic regression gives each licence
 family and the class ``unknown`` a probability. A temperature fitted on held-out
 paragraphs calibrates the probabilities. Paragraphs of a known family are compared with
@@ -97,6 +99,9 @@ BUCKETS = 1 << 13
 UNKNOWN_ROWS = 3_000
 PADDED = 8
 SHINGLE = 5
+WINDOW = 10
+WINDOW_WORDS = 90  # twice the longest template
+MARKS = r"^\s*(?:[/*#;%!|>\x22']+|-{2,}|<!--|\(\*|(?i:rem|dnl)\b)*\s*|\s*(?:\*+/|-->|\*\))\s*$"
 CONFIRM = 0.8
 LEAST = 0.5
 TEMPERATURES = [0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0]
@@ -150,12 +155,33 @@ def similarity(own: Column, templates: list[list[str]]) -> Column:
     return F.greatest(*shares) if len(shares) > 1 else shares[0]
 
 
+LINES = r"\r\n|[\n\r\x{85}\x{2028}\x{2029}]"
+
+
 def paragraphs(docs: DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep``, paragraph (line number from 0) and line; blank lines are left out."""
-    lines = F.posexplode(F.split(F.col("text"), r"\r\n|[\n\r\x{85}\x{2028}\x{2029}]")).alias("paragraph", "line")
+    lines = F.posexplode(F.split(F.col("text"), LINES)).alias("paragraph", "line")
     return docs.select(*keep, lines).where(F.trim("line") != "")
 
 
+def windows(docs: DataFrame) -> DataFrame:
+    """row (a number of the row), doc_id, paragraph (its first line), lines and tokens of each paragraph."""
+    lines = F.split(F.col("text"), LINES)
+    listed = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _once(
+        "all", F.transform(lines, lambda line: words(F.regexp_replace(line, MARKS, "")))
+    ))
+    starts = listed.select("row", "doc_id", F.posexplode(
+        F.transform(F.sequence(F.lit(1), F.size("all")), lambda i: F.slice("all", i, WINDOW))
+    ).alias("paragraph", "ahead")).where(F.size(F.element_at("ahead", 1)) > 0)
+    runs = starts.select("row", "doc_id", "paragraph", "ahead", F.explode(
+        F.sequence(F.lit(1), F.size("ahead"))
+    ).alias("lines"))
+    cut = runs.select("row", "doc_id", "paragraph", "lines", F.slice("ahead", 1, F.col("lines")).alias("own"))
+    count = F.aggregate("own", F.lit(0), lambda n, line: n + F.size(line))
+    one = (F.col("lines") == 1) | (F.forall("own", lambda line: F.size(line) > 0) & (count <= WINDOW_WORDS))
+    return cut.where(one).select("row", "doc_id", "paragraph", "lines", _once("tokens", F.flatten("own")))
+
+
 class Model:
     """Weights of the features that have any, for all classes, and a temperature."""
 
@@ -224,7 +250,8 @@ def _examples(docs: DataFrame, steps: Steps) -> DataFrame:
         "sample",
     )
     alike = F.greatest(*[similarity(F.col("s"), known[family]) for family in FAMILIES])
-    plain = sample.where(alike < LEAST).select(F.lit(UNKNOWN).alias("label"), "tokens")
+    # A line that has a run of words of a template may be part of a wrapped notice.
+    plain = sample.where(alike == 0).select(F.lit(UNKNOWN).alias("label"), F.lit(False).alias("whole"), "tokens")
     templates = template_rows(spark).select("family", words(F.col("template")).alias("t"))
     # Each template as it is, without one word, and with prose before and after it.
     size = F.size("t")
@@ -233,8 +260,8 @@ def _examples(docs: DataFrame, steps: Steps) -> DataFrame:
         lambda i: F.concat(F.slice("t", 1, i - 1), F.slice("t", i + 1, size)),
     )
     known_rows = templates.select(
-        F.col("family").alias("label"), F.explode(F.concat(F.array("t"), dropped)).alias("tokens")
-    )
+        F.col("family").alias("label"), F.posexplode(F.concat(F.array("t"), dropped)).alias("n", "tokens")
+    ).select("label", (F.col("n") == 0).alias("whole"), "tokens")
     prose = [
         r.p for r in sample.orderBy(F.xxhash64("line"), "line").limit(PADDED)
         .select(F.slice("tokens", 1, 6).alias("p")).collect()
@@ -244,10 +271,12 @@ def _examples(docs: DataFrame, steps: Steps) -> DataFrame:
         for p in prose
         for order in ((F.col("t"), F.array(*map(F.lit, p))), (F.array(*map(F.lit, p)), F.col("t")))
     ] or [F.col("t")]
-    padded = templates.select(F.col("family").alias("label"), F.explode(F.array(*around)).alias("tokens"))
+    padded = templates.select(
+        F.col("family").alias("label"), F.lit(False).alias("whole"), F.explode(F.array(*around)).alias("tokens")
+    )
     both = plain.unionByName(known_rows).unionByName(padded)
     return both.select(
-        "label", F.transform(buckets(F.col("tokens")), lambda b: b.cast("string")).alias("features")
+        "label", "whole", F.transform(buckets(F.col("tokens")), lambda b: b.cast("string")).alias("features")
     )
 
 
@@ -256,7 +285,7 @@ def train(docs: DataFrame) -> Model:
     steps = Steps(docs.sparkSession, "licence")
     rows = steps.save(_examples(docs, steps), "examples")
     index = F.array_position(F.array(*map(F.lit, CLASSES)), F.col("label")) - 1
-    held = F.pmod(F.xxhash64("features"), F.lit(4)) == 0
+    held = (F.pmod(F.xxhash64("features"), F.lit(4)) == 0) & ~F.col("whole")
     counts = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     weight = F.element_at(
         F.create_map(*[F.lit(v) for c in counts for v in (c, 1.0 / counts[c])]), F.col("label")
@@ -270,9 +299,9 @@ def train(docs: DataFrame) -> Model:
         featuresCol="vector", labelCol="y", weightCol="weight", family="multinomial",
         regParam=2e-3, elasticNetParam=0.9, maxIter=60, standardization=False,
     )
-    # A row of every class in the fitted part keeps all classes in the model. The examples
+    # The whole templates are always fitted, which keeps all families in the model. The examples
     # are bounded (templates and UNKNOWN_ROWS lines), so one task fits them without exchanges.
-    first = fitted.transform(marked.where(~held | (F.col("label") != UNKNOWN))).coalesce(1)
+    first = fitted.transform(marked.where(~held)).coalesce(1)
     model = regression.fit(first)
     matrix, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     missing = [-20.0] * (len(CLASSES) - len(bias))  # of classes without any example
@@ -307,32 +336,45 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per paragraph of a known family: doc_id, paragraph, family, probability,
     similarity, confirmed.
 
-    Null and empty texts, and paragraphs that are ``unknown`` or below LEAST, give no
-    row. Repeated rows give their rows as often, null ids are carried along, other
-    columns are ignored. No rows give no rows.
+    ``paragraph`` is the number of its first line. Of paragraphs that overlap the one that
+    is confirmed, most similar, shortest and most probable stays. Null and empty texts, and
+    paragraphs that are ``unknown`` or below LEAST, give no row. Repeated rows give their
+    rows as often, null ids are carried along, other columns are ignored. No rows give no
+    rows.
     """
     known = template_shingles(docs.sparkSession)
-    lines = paragraphs(docs, "doc_id")
-    split = lines.select("*", _once("tokens", words(F.col("line"))))
-    found = split.select(
-        "doc_id", "paragraph", "line", _once("slots", model.slots(buckets(F.col("tokens"))))
-    )
+    keys = ["row", "doc_id", "paragraph", "lines"]
+    found = windows(docs).select(*keys, "tokens", _once("slots", model.slots(buckets(F.col("tokens")))))
     scored = found.where(model.may_be_known(F.col("slots"))).select(
-        "doc_id", "paragraph", "line", _once("z", model.logits(F.col("slots")))
+        *keys, "tokens", _once("z", model.logits(F.col("slots")))
     )
     top = F.array_max("z")
     best = scored.select(
-        "doc_id", "paragraph", "line",
+        *keys, "tokens",
         F.element_at(F.array(*map(F.lit, CLASSES)), F.array_position("z", top).cast("int")).alias("family"),
         F.exp(top / F.lit(model.temperature) - _log_sum(F.col("z"), model.temperature)).alias("probability"),
     )
     own = best.where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST)).withColumn(
-        "s", shingles(words(F.col("line")))
+        "s", shingles(F.col("tokens"))
     )
     share = F.coalesce(
         *[F.when(F.col("family") == family, similarity(F.col("s"), known[family])) for family in FAMILIES]
     )
-    return own.withColumn("similarity", share).select(
-        "doc_id", F.col("paragraph").cast("long").alias("paragraph"), "family", "probability", "similarity",
-        (F.col("similarity") >= CONFIRM).alias("confirmed"),
+    rated = own.select(*keys, "family", "probability", _once("similarity", share))
+    order = F.struct(
+        (F.col("similarity") < CONFIRM).alias("open"), (-F.col("similarity")).alias("unlike"), "lines",
+        (-F.col("probability")).alias("doubt"), "paragraph", "family",
+    )
+    listed = rated.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(order)).alias("found"))
+    apart = F.aggregate(
+        "found", F.slice("found", 1, 0),
+        lambda kept, p: F.when(
+            F.exists(kept, lambda k: (k.paragraph < p.paragraph + p.lines) & (p.paragraph < k.paragraph + k.lines)),
+            kept,
+        ).otherwise(F.concat(kept, F.array(p))),
+    )
+    return listed.select("doc_id", F.explode(apart).alias("p")).select(
+        "doc_id", F.col("p.paragraph").cast("long").alias("paragraph"), "p.family",
+        (-F.col("p.doubt")).alias("probability"), (-F.col("p.unlike")).alias("similarity"),
+        (~F.col("p.open")).alias("confirmed"),
     )
