@@ -46,9 +46,8 @@ def test_words_are_the_pattern_s_matches(full):
 
 def test_numbers_survive_packing():
     numbers = np.array([0, 1, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**28, 2**31 - 1])
-    packed = byte_bpe.pack_numbers(numbers, np.array([4, 0, 6]))
-    back = [byte_bpe.unpack_numbers(x.as_py()).tolist() for x in packed]
-    assert back == [numbers[:4].tolist(), [], numbers[4:].tolist()]
+    for part in (numbers, numbers[:0], numbers[:1]):
+        assert byte_bpe.unpack_numbers(byte_bpe.pack_numbers(part)).tolist() == part.tolist()
 
 
 TEXTS = [

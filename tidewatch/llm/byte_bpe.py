@@ -2,11 +2,12 @@
 
 Texts are cut into pre-tokens ("words"). The words of a block of documents are numbered,
 and each document keeps the numbers in the order of their positions. Only the distinct
-words of a block are exploded into rows and shuffled: rows of one word meet, each
-distinct word of the whole corpus is encoded once, and its ids are joined back to the
-blocks that hold it. A block then puts the ids of its documents together by position.
-A word stands in a block's rows once, however often the block repeats it, so even a word
-that makes up a third of the corpus has one row a block.
+words of a block are shuffled, dealt by a checksum into many buckets: equal words meet in
+one bucket, each distinct word of the whole corpus is encoded once, and its ids are joined
+back to the blocks that hold it. A block then puts the ids of its documents together by
+position. A block sends a word once, however often it repeats it, so even a word that
+makes up a third of the corpus is one entry a block. A block's words of one bucket travel
+as one compressed row.
 
 Decoding joins each id to the table of token bytes, which has one row for each entry of
 the vocabulary and is therefore broadcast, and joins the bytes by position.
@@ -16,12 +17,14 @@ from __future__ import annotations
 
 import base64
 import functools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +32,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import text_column
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 8 << 20
+#: Buckets of words for each shuffle partition of the session.
+BUCKETS = 4
 LETTER, NUMBER, SPACE, OTHER, BORDER = range(5)
 #: The endings of public_tokenizers.PATTERN that follow an apostrophe.
 SHORT_ENDINGS = ("s", "t", "m", "d")
@@ -125,22 +130,23 @@ def split_words(texts: list[str], ranges: tuple) -> tuple[list[str], np.ndarray]
     return [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())], counts
 
 
-def pack_numbers(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """Each text's numbers, seven bits a byte, the last byte of a number below 128."""
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Seven bits a byte, the last byte of a number below 128, then compressed."""
     size = 1 + sum((numbers >= 1 << bits).astype(np.int64) for bits in (7, 14, 21, 28))
     ends = np.cumsum(size)
     out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
     for k in range(5):  # k bytes from the end of a number
         has = size > k
         out[ends[has] - 1 - k] = ((numbers[has] >> (7 * k)) & 127) | (128 if k else 0)
-    offsets = np.r_[0, ends][np.r_[0, np.cumsum(counts)]]
-    return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(counts), [None, pa.py_buffer(offsets.astype("<i8")), pa.py_buffer(out)]
-    ).cast(pa.binary())
+    return compress(out)
+
+
+def compress(data) -> bytes:
+    return zstandard.compress(memoryview(data).cast("B") if len(data) else b"")
 
 
 def unpack_numbers(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8)
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
     lasts = np.flatnonzero(raw < 128)
     size = np.diff(np.r_[-1, lasts])
     numbers = raw[lasts].astype(np.int64)
@@ -159,20 +165,65 @@ class Numbers(dict):
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], ranges: tuple, block_chars: int):
-    """Each batch with its block's id, its words and their counts, and the block's numbers.
+    """Blocks of batches: the block's id, its numbers, and a list of batches with theirs.
 
     A block is a run of documents of one input partition, so its id is the same
     whenever the partition is read again by a stage that begins with this table.
     """
-    block = TaskContext.get().partitionId() << 32
-    numbers, chars = Numbers(), 0
+    block, chars = TaskContext.get().partitionId() << 32, 0
+    numbers, held = Numbers(), []
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        if chars >= block_chars:
-            block, numbers, chars = block + 1, Numbers(), 0
+        if not texts:
+            continue
+        words, counts = split_words(texts, ranges)
+        coded = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        held.append((batch.column("rest"), coded, counts))
         chars += sum(map(len, texts))
-        if texts:
-            yield batch, block, *split_words(texts, ranges), numbers
+        if chars >= block_chars:
+            yield block, numbers, held
+            block, chars, numbers, held = block + 1, 0, Numbers(), []
+    if held:
+        yield block, numbers, held
+
+
+def _dealt_words(block: int, numbers: Numbers, buckets: int) -> pa.RecordBatch:
+    """One row for each bucket with words of the block: their numbers, lengths and bytes."""
+    words = [word.encode() for word in numbers]
+    bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    used, first = np.unique(bucket[order], return_index=True)
+    rows = []
+    for k, a, b in zip(used.tolist(), first, np.r_[first[1:], len(order)]):
+        own = order[a:b]
+        mine = [words[i] for i in own.tolist()]
+        lengths = np.fromiter(map(len, mine), np.int64, len(mine))
+        rows.append((k, block, pack_numbers(np.diff(own, prepend=0)), pack_numbers(lengths), compress(b"".join(mine))))
+    columns = zip(*rows) if rows else [[]] * 5
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "block", "numbers", "lengths", "words"]
+    )
+
+
+def _encode_bucket(rows: pa.Table, path: str) -> pa.Table:
+    """Ids of a bucket's words, each distinct word encoded once, joined back to its blocks."""
+    encoder, known = word_encoder(path), {}
+    sizes, ids = [], []
+    for lengths, data in zip(rows["lengths"].to_pylist(), rows["words"].to_pylist()):
+        text, ends = zstandard.decompress(data), np.cumsum(unpack_numbers(lengths)).tolist()
+        found = []
+        for a, b in zip([0, *ends], ends):
+            word = text[a:b]
+            if word not in known:
+                known[word] = np.array(encoder.encode_ordinary(word.decode()), "<i4").tobytes()
+            found.append(known[word])
+        sizes.append(pack_numbers(np.fromiter(map(len, found), np.int64, len(found)) // 4))
+        ids.append(compress(b"".join(found)))
+    return pa.table(
+        [rows["block"], rows["numbers"], pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
+        ["block", "numbers", "sizes", "ids"],
+    )
 
 
 def encode(
@@ -189,44 +240,30 @@ def encode(
     """
     path = path or public_tokenizers.path(RANKS)
     ranges = class_ranges()
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest"), text_column().alias("text"))
 
     def words(batches):
-        for _, block, found, _, numbers in _blocks(batches, ranges, block_chars):
-            known = len(numbers)
-            for word in found:
-                numbers[word]
-            new = list(numbers)[known:] if known else list(numbers)
-            yield pa.record_batch(
-                [pa.array([block] * len(new), pa.int64()),
-                 pa.array(range(known, len(numbers)), pa.int32()), pa.array(new, pa.string())],
-                ["block", "number", "word"],
-            )
+        for block, numbers, _ in _blocks(batches, ranges, block_chars):
+            yield _dealt_words(block, numbers, buckets)
 
     def positions(batches):
-        for batch, block, found, counts, numbers in _blocks(batches, ranges, block_chars):
-            coded = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
-            yield pa.record_batch(
-                [pa.array([block] * len(counts), pa.int64()), batch.column("rest"),
-                 pack_numbers(coded, counts)],
-                ["block", "rest", "numbers"],
-            )
-
-    def ids_of(batches):
-        encoder = word_encoder(path)
-        for batch in batches:
-            ids = [np.array(encoder.encode_ordinary(w), "<i4").tobytes() for w in batch.column("word").to_pylist()]
-            yield pa.record_batch([batch.column("word"), pa.array(ids, pa.binary())], ["word", "ids"])
+        for block, _, held in _blocks(batches, ranges, block_chars):
+            for rest, coded, counts in held:
+                offsets = pa.array([0, len(rest)], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int64()), pa.ListArray.from_arrays(offsets, rest),
+                     pa.array([pack_numbers(counts)], pa.binary()), pa.array([pack_numbers(coded)], pa.binary())],
+                    ["block", "rests", "counts", "numbers"],
+                )
 
     rest = texts.schema["rest"].dataType.simpleString()
-    rows = texts.mapInArrow(words, "block long, number int, word string").repartition("word")
-    # The columns beside the word keep both readers of the shuffle alike, so that it runs once.
-    distinct = rows.groupBy("word").agg(F.max("block").alias("b"), F.max("number").alias("n"))
-    coded = distinct.mapInArrow(ids_of, "word string, ids binary")
-    # An outer join, as an inner one would put a filter below one reader of the shuffle only.
-    of_words = rows.join(coded, "word", "left").select("block", "number", "ids")
-    of_docs = texts.mapInArrow(positions, f"block long, rest {rest}, numbers binary")
-    together = of_words.groupBy("block").cogroup(of_docs.groupBy("block"))
+    dealt = texts.mapInArrow(words, "bucket int, block long, numbers binary, lengths binary, words binary")
+    coded = dealt.groupBy("bucket").applyInArrow(
+        lambda rows: _encode_bucket(rows, path), "block long, numbers binary, sizes binary, ids binary"
+    )
+    placed = texts.mapInArrow(positions, f"block long, rests array<{rest}>, counts binary, numbers binary")
+    together = coded.groupBy("block").cogroup(placed.groupBy("block"))
     return together.applyInArrow(_by_position, f"rest {rest}, ids array<int>").select(
         *[F.col(f"rest.`{c}`").alias(c) for c in carry], "ids"
     )
@@ -234,27 +271,25 @@ def encode(
 
 def _by_position(words: pa.Table, docs: pa.Table) -> pa.Table:
     """Ids of a block's documents from the ids of its words."""
-    order = np.argsort(words["number"].to_numpy())
-    parts = words["ids"].take(pa.array(order)).to_pylist()
-    flat = np.frombuffer(b"".join(parts), "<i4")
-    size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-    first = np.cumsum(size) - size
-    batches = [_documents(batch, flat, first, size) for batch in docs.to_batches() if batch.num_rows]
-    return pa.Table.from_batches(batches)
-
-
-def _documents(batch: pa.RecordBatch, flat, first, size) -> pa.RecordBatch:
-    values, lengths = [], []
-    for data in batch.column("numbers").to_pylist():
-        numbers = unpack_numbers(data)
-        count = size[numbers]
-        total = int(count.sum())
-        place = np.repeat(first[numbers] - (np.cumsum(count) - count), count) + np.arange(total)
-        values.append(flat[place])
-        lengths.append(total)
-    offsets = pa.array(np.r_[0, np.cumsum(lengths)].astype("<i4"))
-    ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(values).astype("<i4")))
-    return pa.record_batch([batch.column("rest"), ids], ["rest", "ids"])
+    numbers = [np.cumsum(unpack_numbers(x)) for x in words["numbers"].to_pylist()]
+    sizes = [unpack_numbers(x) for x in words["sizes"].to_pylist()]
+    flat = np.frombuffer(b"".join(map(zstandard.decompress, words["ids"].to_pylist())), "<i4")
+    order = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+    size, first = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+    if numbers:
+        size[order] = np.concatenate(sizes)
+        first[order] = np.cumsum(size[order]) - size[order]
+    tables = []
+    for rests, counts, coded in zip(docs["rests"], docs["counts"].to_pylist(), docs["numbers"].to_pylist()):
+        coded, ends = unpack_numbers(coded), np.cumsum(unpack_numbers(counts))
+        width = size[coded]
+        stops = np.r_[0, np.cumsum(width)]
+        place = np.repeat(first[coded] - stops[:-1], width) + np.arange(stops[-1])
+        ids = pa.ListArray.from_arrays(
+            pa.array(stops[np.r_[0, ends]].astype("<i4")), pa.array(flat[place].astype("<i4"))
+        )
+        tables.append(pa.table([rests.values, ids], ["rest", "ids"]))
+    return pa.concat_tables(tables)
 
 
 def token_bytes(path: str) -> pa.Array:
