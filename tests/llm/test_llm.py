@@ -117,6 +117,26 @@ def test_near_duplicates(docs, words, percent):
             assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_a_repeated_id_keeps_the_links_of_all_its_texts(spark):
+    a, b = prose(60), prose(60)
+    rows = [(5, a), (5, b), (5, b), (7, b + " more"), (9, a + " more")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(5, 5), (5, 5), (5, 5), (7, 5), (9, 5)]
+
+
+@pytest.mark.parametrize("block", [minhash.BLOCK, 7])
+def test_pairs_unlike_their_hub_are_found(spark, block, monkeypatch):
+    """Chains of texts of which each is near the next one only."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    words = prose(400).split()
+    rows = [(i, " ".join(words[4 * i : 4 * i + 60])) for i in range(60)]
+    rows += [(100 + i, " ".join([*words[:100], str(i), *words[101 + i :][:30]])) for i in range(40)]
+    sets = {i: set(zip(*[t.split()[k:] for k in range(3)])) for i, t in rows}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r.doc_id: r.component_id for r in found} == joined(sets, links)
+
+
 def test_registers_merge_and_estimate():
     factors = minhash._factors()
     x = common.mix(np.arange(1, 4001, dtype=np.uint64))

@@ -32,9 +32,10 @@ from tidewatch.llm.common import Steps, gram_hashes, mix, text_column, word_hash
 from tidewatch.llm.components import connected_components
 
 REGISTERS = 128
-BASE = 1.2
+#: Fine steps: a band of few registers then tells very many unlike sets apart.
+BASE = 1.02
 RATE = 20.0
-TOP = 255
+TOP = 2**16 - 1
 MARGIN = 0.13  # four standard deviations at 0.85
 FINE = 512
 FINE_MARGIN = 0.065  # as many of FINE registers
@@ -54,7 +55,7 @@ def registers(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
         np.minimum(smallest, (part[:, None] * factors).min(axis=0), out=smallest)
     uniform = (smallest.astype(np.float64) + 1.0) / 2.0**64
     minimum = -np.log1p(-np.minimum(uniform, 1 - 1e-16)) / RATE
-    return np.clip(np.floor(1 - np.log(minimum) / np.log(BASE)), 0, TOP).astype(np.uint8)
+    return np.clip(np.floor(1 - np.log(minimum) / np.log(BASE)), 0, TOP).astype("<u2")
 
 
 def _above(x: np.ndarray) -> np.ndarray:
@@ -95,7 +96,7 @@ def _sketch(words: int):
         factors = _factors()
         for batch in batches:
             sizes, digests, levels = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 data = text.encode()
                 shingles = np.unique(gram_hashes(word_hashes(data)[0], words))
                 sizes.append(len(shingles))
@@ -103,9 +104,9 @@ def _sketch(words: int):
                 digests.append(hashlib.blake2b(same, digest_size=16).digest())
                 levels.append(registers(shingles, factors).tobytes() if len(shingles) else None)
             yield pa.record_batch(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(levels, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "levels"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
+                 pa.array(digests, pa.binary()), pa.array(levels, pa.binary())],
+                ["doc_id", "tag", "n_shingles", "digest", "levels"],
             )
 
     return run
@@ -133,7 +134,7 @@ def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rows(column: pa.Array) -> np.ndarray:
     """Register rows of a binary column as one matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1)
 
 
 def _close(similarity: float):
@@ -163,12 +164,14 @@ def _linked(percent: int):
     return run
 
 
-def _cell_pairs(levels, fine, reps, sizes, parts, first, similarity: float) -> np.ndarray:
+def _cell_pairs(levels, fine, reps, sizes, parts, first, similarity: float, band: int) -> np.ndarray:
     """Close pairs of different components, as rows (a, b), of one cell of a band group.
 
     ``first`` marks the rows of the cell's first block. If it holds both kinds, pairs
-    are formed across; a cell of one block pairs its rows with each other.
+    are formed across; a cell of one block pairs its rows with each other. Pairs that
+    share an earlier band than number ``band`` are left to that one.
     """
+    rows = band_rows(similarity)
     # Far pairs have few equal registers; four deviations are left for chance.
     rate = 1 - 2 * _above(np.array([(1 - similarity + MARGIN) / 2]))[0]
     total = levels.shape[1]
@@ -187,7 +190,9 @@ def _cell_pairs(levels, fine, reps, sizes, parts, first, similarity: float) -> n
         i, j = np.nonzero(near)
         for at in range(0, len(i), 8192):
             one, two = own[i[at : at + 8192]], right[j[at : at + 8192]]
-            close = (levels[one] == levels[two]).sum(axis=1) >= enough
+            equal = levels[one] == levels[two]
+            shared = equal[:, : band * rows].reshape(len(one), band, rows).all(axis=2).any(axis=1)
+            close = (equal.sum(axis=1) >= enough) & ~shared
             one, two = one[close], two[close]
             if len(one):
                 close = estimate(levels[one], levels[two], sizes[one], sizes[two]) >= similarity - MARGIN
@@ -204,14 +209,14 @@ def _blocks(similarity: float):
     def pairs(table: pa.Table):
         cells = np.stack([table.column(c).to_numpy() for c in range(3)], axis=1)
         edges = np.flatnonzero((np.diff(cells, axis=0) != 0).any(axis=1)) + 1
-        levels, fine = _rows(table.column(7)), _rows(table.column(8))
+        levels, fine, numbers = _rows(table.column(7)), _rows(table.column(8)), table.column(9).to_numpy()
         reps, parts, own, sizes = (table.column(c).to_numpy() for c in range(3, 7))
         for start, stop in zip([0, *edges], [*edges, len(cells)]):
             if stop - start > 1:
                 at = slice(start, stop)
                 first = own[at] == cells[start, 1]
                 yield _cell_pairs(
-                    levels[at], fine[at], reps[at], sizes[at], parts[at], first, similarity
+                    levels[at], fine[at], reps[at], sizes[at], parts[at], first, similarity, int(numbers[start])
                 )
 
     def emit(table: pa.Table):
@@ -252,29 +257,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sets of ``words``-word shingles; A-Z are lowered and words are what white space
     separates. A text with fewer words is one shingle. Texts without words, null ones
     included, link with nothing. ``component_id`` is the smallest id reachable by
-    links, and the document with that id is kept. Rows that repeat an id get the same
-    answer each; rows without an id take part in nothing and are their own component
-    (null, kept). No rows give no rows.
+    links, and the documents with that id are kept. Rows that repeat an id are linked by
+    their own texts each; rows without an id take part in nothing and are their own
+    component (null, kept). No rows give no rows.
     """
     steps = Steps(docs.sparkSession, "near")
     similarity = percent / 100
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
+    base = base.select("doc_id", F.xxhash64("text").alias("tag"), "text")
     sketches = steps.save(
         base.mapInArrow(
-            _sketch(words), "doc_id long, n_shingles long, digest binary, levels binary"
+            _sketch(words), "doc_id long, tag long, n_shingles long, digest binary, levels binary"
         ),
         "sketches",
     )
     classes = steps.save(
         sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("texts"),
-             F.first("n_shingles").alias("n_shingles"), F.first("levels").alias("levels")),
+        .agg(F.min(F.struct("doc_id", "tag")).alias("first"), F.count("*").alias("texts"),
+             F.first("n_shingles").alias("n_shingles"), F.first("levels").alias("levels"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )
     bands = _bands(classes, band_rows(similarity), steps)
     sketch = classes.select("rep", "n_shingles", "levels")
-    sets = _candidate_sets(base, bands, words, steps)
+    sets = _candidate_sets(base, classes, bands, words, steps)
     nearest = bands.groupBy("rep").agg(F.max(F.struct("weight", F.col("hub"))).alias("top"))
     pairs = nearest.select(F.col("top.hub").alias("hub"), "rep").where("hub <> rep")
     links = parts = None
@@ -282,42 +289,65 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         close = steps.save(_estimated(stars(parts), sketch, similarity), "close")
         more = steps.save(_verify(close, sets, percent), "links")
         links = more if links is None else links.unionByName(more)
-        parts = steps.save(connected_components(links, steps), "parts")
-    rest = steps.save(_across(bands, sketch, sets, parts, similarity, steps), "rest")
+        if parts is not None:
+            steps.drop(parts.source)
+        parts = _parts(links, steps)
+        steps.drop(close)
+    rest, mixed = _across(bands, sketch, sets, parts, similarity, steps)
     if not rest.isEmpty():
         links = links.unionByName(_verify(rest, sets, percent))
-        parts = steps.save(connected_components(links, steps), "parts")
-    members = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "digest")
-    answer = (
-        classes.select("digest", "rep")
-        .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("digest", F.coalesce("component", "rep").alias("component_id"))
+        steps.drop(parts.source)
+        parts = _parts(links, steps)
+    steps.drop(rest, mixed, bands, sets)
+    return _answers(sketches, classes, parts)
+
+
+def _parts(links: DataFrame, steps: Steps) -> DataFrame:
+    source = steps.save(connected_components(links, steps), "parts")
+    parts = source.select("node", "component")
+    parts.source = source
+    return parts
+
+
+def _answers(sketches: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFrame:
+    """Documents with the smallest id of their class' component."""
+    first = F.col("first.doc_id")
+    linked = parts.join(classes.select(F.col("rep").alias("node"), first.alias("first_id")), "node")
+    smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    reached = parts.join(smallest, "component").select(F.col("node").alias("rep"), "component_id")
+    answer = classes.select("digest", "rep", first.alias("first_id")).join(reached, "rep", "left").select(
+        "digest", F.coalesce("component_id", "first_id").alias("component_id")
     )
-    linked = members.join(answer, "digest").select("doc_id", "n_shingles", "component_id")
+    members = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "digest")
+    found = members.join(answer, "digest").select("doc_id", "n_shingles", "component_id")
     alone = sketches.where("n_shingles = 0 OR doc_id IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
-    return linked.unionByName(alone).withColumn(
+    return found.unionByName(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
 def _bands(classes: DataFrame, rows: int, steps: Steps) -> DataFrame:
-    """band, rep, size, hub and its weight of every band group with company.
+    """band, its number, rep, size, hub and its weight of every band group with company.
 
     The hub is the member that stands for the most texts, then the smallest one.
     """
     n = REGISTERS // rows
-    keys = F.array(
-        *[F.xxhash64(F.lit(i), F.substring("levels", 1 + i * rows, rows)) for i in range(n)]
+    keys = F.array(*[
+        F.struct(
+            F.xxhash64(F.lit(i), F.substring("levels", 1 + 2 * i * rows, 2 * rows)).alias("band"),
+            F.lit(i).cast("tinyint").alias("number"),
+        )
+        for i in range(n)
+    ])
+    exploded = classes.select("rep", "texts", F.inline(keys))
+    groups = exploded.groupBy("band").agg(
+        F.count("*").alias("size"), F.max(F.struct("texts", (-F.col("rep")).alias("rep"))).alias("top")
     )
-    exploded = classes.select("rep", "texts", F.explode(keys).alias("band"))
-    groups = exploded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    shared = steps.save(exploded.join(groups, "band"), "shared")
-    hubs = shared.groupBy("band").agg(F.max(F.struct("texts", (-F.col("rep")).alias("rep"))).alias("top"))
     return steps.save(
-        shared.join(hubs, "band").select(
-            "band", "rep", "size", (-F.col("top.rep")).alias("hub"), F.col("top.texts").alias("weight")
+        exploded.join(groups.where("size > 1"), "band").select(
+            "band", "number", "rep", "size", (-F.col("top.rep")).alias("hub"), F.col("top.texts").alias("weight")
         ),
         "bands",
     )
@@ -350,24 +380,27 @@ def _estimated(pairs: DataFrame, sketch: DataFrame, similarity: float) -> DataFr
     )
 
 
-def _candidate_sets(base: DataFrame, bands: DataFrame, words: int, steps: Steps) -> DataFrame:
+def _candidate_sets(
+    base: DataFrame, classes: DataFrame, bands: DataFrame, words: int, steps: Steps
+) -> DataFrame:
     """Full shingle sets of all representatives in any band group."""
-    wanted = bands.select(F.col("rep").alias("doc_id")).distinct()
-    texts = base.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    wanted = bands.select("rep").distinct().join(classes.select("rep", "first.*"), "rep")
+    texts = base.join(wanted, ["doc_id", "tag"]).groupBy("rep").agg(F.min("text").alias("text"))
     return steps.save(texts.mapInArrow(_sets(words), "rep long, shingles binary"), "sets")
 
 
 def _across(
     bands: DataFrame, sketch: DataFrame, sets: DataFrame, parts: DataFrame, similarity: float,
     steps: Steps,
-) -> DataFrame:
-    """Close pairs of one band group that are in different components.
+) -> tuple[DataFrame, DataFrame]:
+    """Close pairs of one band group that are in different components, stored.
 
     A large group is cut into blocks by a hash, and each pair of blocks is a cell of
-    its own, so no task holds a whole group.
+    its own, so no task holds a whole group. A pair is formed in the first band that
+    it shares, and nowhere else. The second result is what it has read.
     """
     labelled = bands.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "size", "rep", F.coalesce("component", "rep").alias("component")
+        "band", "number", "size", "rep", F.coalesce("component", "rep").alias("component")
     )
     mixed = (
         labelled.groupBy("band")
@@ -385,15 +418,15 @@ def _across(
         _fine, "rep long, fine binary"
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cells = parted.select("band", "rep", "component", "own", other).select(
-        "band", "rep", "component", "own",
+    cells = parted.select("band", "number", "rep", "component", "own", other).select(
+        "band", "number", "rep", "component", "own",
         F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
     )
-    return (
+    pairs = (
         cells.join(sketch.join(fine, "rep"), "rep")
         .repartition("band", "x", "y")
         .sortWithinPartitions("band", "x", "y")
-        .select("band", "x", "y", "rep", "component", "own", "n_shingles", "levels", "fine")
+        .select("band", "x", "y", "rep", "component", "own", "n_shingles", "levels", "fine", "number")
         .mapInArrow(_blocks(similarity), "a long, b long")
-        .distinct()
     )
+    return steps.save(pairs.distinct(), "rest"), parted
