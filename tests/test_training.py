@@ -11,7 +11,7 @@ from tidewatch.operators.contracts import ContractError
 from tidewatch.operators.metrics import confusion_cells, label_metrics
 from tidewatch.plans.jobs import Registry, backfill_job, ingest_job, retrain_job, tracked_metrics, train_job
 from tidewatch.plans.profiles import BoostedParams, ForestParams, SequenceParams
-from tidewatch.plans.staged import checkpoints, staged_scores
+from tidewatch.plans.softmax_trees import SoftmaxTrees, checkpoints
 from tidewatch.plans.training import train_boosted, train_enriched, train_forest, train_sequence
 from tidewatch.schemas import (
     BASE_MODEL_FEATURES,
@@ -133,24 +133,18 @@ def test_scoring_needs_no_label(spark, boosted):
 def test_checkpoints():
     assert checkpoints(3) == [1, 2, 3]
     assert checkpoints(500)[:2] == [5, 10] and len(checkpoints(500)) == 100
-    assert checkpoints(250)[-1] == 250 and len(checkpoints(250)) == 125
-    assert checkpoints(305)[-2:] == [303, 305]
+    assert checkpoints(250)[:3] == [3, 5, 8] and checkpoints(250)[-1] == 250
+    assert len(checkpoints(305)) == 100 and checkpoints(305)[-2:] == [302, 305]
 
 
-def test_forest_stages_equal_its_own_probabilities(spark):
+def test_forest_history_ends_at_its_own_metrics(spark):
     result = train_forest(training_frame(spark), [], FOREST, with_folds=False)
-    rows = result.model.inputs.prepare(training_frame(spark).limit(40)).withColumn(
-        "actual", F.col(TARGET_COLUMN)
-    )
-    staged = staged_scores(result.model, rows, ["observed_at"], 3).where("iteration = 3")
-    full = result.model.score(rows)
-    pairs = staged.select("observed_at", F.col("shares").alias("s")).join(
-        full.select("observed_at", "shares"), "observed_at"
-    ).collect()
-    assert len(pairs) == 40
-    np.testing.assert_allclose([p.s for p in pairs], [p.shares for p in pairs])
     assert result.baseline is None
     assert result.history.count() == 6
+    last = result.history.where("iteration = 3 AND split = 'test'").first()
+    row = result.metrics.first()
+    for name in HISTORY_METRICS:
+        assert last[name] == pytest.approx(row[name]), name
 
 
 def test_one_class_holdout_has_no_auc(spark):

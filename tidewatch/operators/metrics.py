@@ -204,11 +204,20 @@ def score_steps(
         F.col(score).cast("double").alias("score"),
         (F.col(actual) == F.col(label)).alias("hit"),
     )
-    merged = rows.groupBy(*keys, "score").agg(
-        F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg")
+    counted = rows.select(
+        *keys, "score", F.col("hit").cast("bigint").alias("pos"), (~F.col("hit")).cast("bigint").alias("neg")
     )
+    return merged_steps(counted, by, most=most)
+
+
+def merged_steps(
+    counts: DataFrame, by: list[str] | None = None, *, most: int | None = None
+) -> DataFrame:
+    """:func:`score_steps` of counts ``pos`` and ``neg`` of label and score, in part merged."""
+    keys = [*(by or []), "label"]
+    merged = counts.groupBy(*keys, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     return running_totals(
-        value_bucket(merged, "score", rows, keys, most),
+        value_bucket(merged, "score", counts, keys, most),
         keys,
         ["score"],
         {"pos_below": F.col("pos"), "neg_below": F.col("neg")},

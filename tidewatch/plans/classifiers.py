@@ -1,4 +1,4 @@
-"""Spark ML classifiers behind one scoring contract.
+"""Classifiers behind one scoring contract.
 
 A fitted classifier adds ``actual`` (if the label is there), ``labels``, ``shares``
 (aligned with the labels, summing to 1), ``predicted`` and ``confidence``.
@@ -6,22 +6,19 @@ A fitted classifier adds ``actual`` (if the label is there), ``labels``, ``share
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
-from pyspark.ml.classification import (
-    GBTClassifier,
-    MultilayerPerceptronClassifier,
-    OneVsRest,
-    RandomForestClassifier,
-)
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import DenseVector
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.metrics import argmax_label
+from tidewatch.plans import softmax_trees
 from tidewatch.plans.profiles import SEED, BoostedParams, ForestParams, SequenceParams
+from tidewatch.plans.recurrent import Recurrent, fit_epochs
+from tidewatch.plans.softmax_trees import Growth, SoftmaxTrees, feature_array
 from tidewatch.schemas import TARGET_COLUMN
 
 
@@ -66,11 +63,6 @@ def _contract(df: DataFrame, inputs: Inputs, shares: Column) -> DataFrame:
     return scored
 
 
-def normalised(scores: Column) -> Column:
-    total = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(scores, lambda x: x / total)
-
-
 @dataclass(frozen=True)
 class Fitted:
     """A fitted model with its inputs; ``score`` uses the model's own features."""
@@ -79,70 +71,62 @@ class Fitted:
     model: object
     inputs: Inputs
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Store the model with what scoring needs: kind, feature and label order."""
+        head = json.dumps({"kind": self.kind, **asdict(self.inputs)})
+        spark.createDataFrame([(head,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/inputs")
+        self.model.save(spark, f"{path}/model")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Fitted:
+        """A stored model that scores as the fitted one did."""
+        head = json.loads(spark.read.text(f"{path}/inputs").first()[0])
+        kind = head.pop("kind")
+        return Fitted(kind, MODELS[kind].load(spark, f"{path}/model"), Inputs(**head))
+
     def score(self, df: DataFrame) -> DataFrame:
         prepared = df if "features" in df.columns else self.inputs.prepare(df)
-        transformed = self.model.transform(prepared)
-        if self.kind == "boosted":
-            margins = vector_to_array("rawPrediction")
-            shares = normalised(
-                F.transform(margins, lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(m * -2.0)))
-            )
-        else:
-            shares = vector_to_array("probability")
-        return _contract(transformed, self.inputs, shares).drop(
-            "rawPrediction", "probability", "prediction"
-        )
+        return _contract(prepared, self.inputs, self.model.shares(feature_array(prepared)))
+
+
+MODELS = {"boosted": SoftmaxTrees, "forest": SoftmaxTrees, "sequence": Recurrent}
 
 
-def fit_boosted(train: DataFrame, inputs: Inputs, params: BoostedParams) -> Fitted:
-    """``train`` carries ``features``, ``label_index`` and ``class_weight``."""
-    booster = GBTClassifier(
-        maxIter=params.trees,
-        maxDepth=params.max_depth,
-        stepSize=params.learning_rate,
-        subsamplingRate=params.subsample,
-        featureSubsetStrategy=str(params.feature_share),
+def fit_trees(train: DataFrame, inputs: Inputs, params: BoostedParams | ForestParams) -> Fitted:
+    """``train`` carries ``features``, ``label_index``, ``class_weight`` and ``row_key``."""
+    boosted = isinstance(params, BoostedParams)
+    growth = Growth(
+        trees=params.trees,
+        max_depth=params.max_depth,
+        learning_rate=params.learning_rate,
+        subsample=params.subsample,
+        feature_share=params.feature_share,
+        l2=params.l2,
+        bins=params.bins,
+        leaves=None if boosted else params.leaves,
         seed=SEED,
     )
-    per_class = OneVsRest(
-        classifier=booster,
-        labelCol="label_index",
-        featuresCol="features",
-        weightCol="class_weight",
-        parallelism=4,
+    rows = train.select(
+        feature_array(train).alias("x"), F.col("label_index").alias("y"),
+        F.col("class_weight").alias("weight"), F.col("row_key").alias("key"),
     )
-    return Fitted("boosted", per_class.fit(train), inputs)
-
-
-def fit_forest(train: DataFrame, inputs: Inputs, params: ForestParams) -> Fitted:
-    forest = RandomForestClassifier(
-        numTrees=params.trees,
-        maxDepth=params.max_depth,
-        subsamplingRate=params.subsample,
-        featureSubsetStrategy=str(params.feature_share),
-        labelCol="label_index",
-        featuresCol="features",
-        weightCol="class_weight",
-        seed=SEED,
-    )
-    return Fitted("forest", forest.fit(train), inputs)
+    model = softmax_trees.fit(rows, len(inputs.features), len(inputs.labels), growth)
+    return Fitted("boosted" if boosted else "forest", model, inputs)
 
 
 def fit_sequence(
-    train: DataFrame, inputs: Inputs, params: SequenceParams, epochs: int, start: object | None
-) -> Fitted:
-    """Train ``epochs`` passes, from the weights ``start`` if given."""
-    network = MultilayerPerceptronClassifier(
-        layers=[params.length * len(inputs.features), params.hidden, len(inputs.labels)],
-        maxIter=epochs,
-        blockSize=params.block_size,
-        seed=SEED,
-        labelCol="label_index",
-        featuresCol="features",
+    train: DataFrame, inputs: Inputs, params: SequenceParams, mean: list[float], scale: list[float]
+) -> list[Fitted]:
+    """The network after each epoch. ``train`` carries ``features``, ``label_index``, ``row_key``."""
+    rows = train.select(
+        feature_array(train).alias("x"), F.col("label_index").cast("int").alias("y"),
+        F.col("row_key").alias("key"),
     )
-    if start is not None:
-        network.setInitialWeights(DenseVector(start.toArray()))
-    return Fitted("sequence", network.fit(train), inputs)
+    start = Recurrent.fresh(params.length, mean, scale, params.hidden, len(inputs.labels), SEED)
+    epochs = fit_epochs(
+        rows, start, epochs=params.epochs, batch_rows=params.block_size, rate=params.learning_rate
+    )
+    return [Fitted("sequence", model, inputs) for model, _ in epochs]
 
 
 def sequence_vector(sequence: Column) -> Column:
@@ -152,14 +136,13 @@ def sequence_vector(sequence: Column) -> Column:
 def feature_importance(fitted: Fitted) -> DataFrame:
     """``feature, importance``, highest first; ties keep the feature order.
 
-    The importance of a per-class ensemble is the mean over its class models.
+    The importance is the feature's share of the gain of all splits.
     """
-    models = fitted.model.models if fitted.kind == "boosted" else [fitted.model]
-    sums = sum((m.featureImportances.toArray() for m in models), start=0.0)
     rows = [
-        (i, name, float(value) / len(models))
-        for i, (name, value) in enumerate(zip(fitted.inputs.features, sums, strict=True))
+        (i, name, float(value))
+        for i, (name, value) in enumerate(
+            zip(fitted.inputs.features, fitted.model.importance(), strict=True)
+        )
     ]
     table = SparkSession.active().createDataFrame(rows, "position int, feature string, importance double")
     return table.orderBy(F.col("importance").desc(), "position").select("feature", "importance")
-

@@ -16,37 +16,47 @@ SEED = 42
 
 @dataclass(frozen=True)
 class BoostedParams:
-    """Gradient-boosted trees, one binary model per class."""
+    """Softmax gradient boosting, trees grown to their depth level by level."""
 
     trees: int = 500
     max_depth: int = 5
     learning_rate: float = 0.05
     subsample: float = 0.9
     feature_share: float = 0.9
+    l2: float = 1.0
+    bins: int = 64
     class_weight_power: float = 0.5
     acceptance_threshold: float = ACCEPTANCE_THRESHOLD
 
 
 @dataclass(frozen=True)
 class ForestParams:
-    """Multiclass tree ensemble; class weights always use the square root."""
+    """Softmax gradient boosting, trees grown best-first up to a number of leaves.
+
+    Class weights always use the square root.
+    """
 
     trees: int = 500
     max_depth: int = 5
+    learning_rate: float = 0.05
+    leaves: int = 31
     subsample: float = 0.9
     feature_share: float = 0.9
+    l2: float = 1.0
+    bins: int = 64
     acceptance_threshold: float = ACCEPTANCE_THRESHOLD
     class_weight_power: float = field(default=0.5, init=False)
 
 
 @dataclass(frozen=True)
 class SequenceParams:
-    """Softmax network over the scaled rows of a sequence window."""
+    """Recurrent network over the scaled rows of a sequence window."""
 
     length: int = 24
     hidden: int = 64
     epochs: int = 12
     block_size: int = 256
+    learning_rate: float = 0.001
     acceptance_threshold: float = ACCEPTANCE_THRESHOLD
 
 

@@ -17,7 +17,9 @@ from tidewatch.operators.metrics import (
     label_metrics,
     log_loss,
     long_scores,
+    merged_steps,
     metrics_document,
+    probability_metrics,
     side_by_side,
 )
 from tidewatch.operators.splits import (
@@ -32,9 +34,8 @@ from tidewatch.plans.classifiers import (
     Fitted,
     Inputs,
     feature_importance,
-    fit_boosted,
-    fit_forest,
     fit_sequence,
+    fit_trees,
     ordered_labels,
     sequence_vector,
 )
@@ -49,7 +50,7 @@ from tidewatch.plans.profiles import (
     SequenceParams,
 )
 from tidewatch.plans.scaling import weighted_moments, window_weights
-from tidewatch.plans.staged import staged_scores
+from tidewatch.plans.softmax_trees import checkpoints, feature_array, staged_counts
 from tidewatch.schemas import HISTORY_METRICS, SUMMARY_METRICS, TARGET_COLUMN, VALIDATION_GAP_ROWS
 from tidewatch.session import materialize
 from tidewatch.sinks.files import write_csv, write_json_document
@@ -68,7 +69,7 @@ class TrainingResult:
     baseline: DataFrame | None = None
 
     def write(self, path: str) -> None:
-        """Write all parts below ``path`` and the model with its own ``save``."""
+        """Write all parts below ``path``; ``Fitted.load`` reads the model back."""
         write_json_document(self.metrics, f"{path}/metrics")
         shown = ["actual", "predicted", "confidence"]
         keys = [c for c in self.predictions.columns if c not in ("labels", "shares", *shown)]
@@ -83,7 +84,7 @@ class TrainingResult:
                 write_csv(frame, f"{path}/{name}")
         if self.baseline is not None:
             write_json_document(self.baseline, f"{path}/feature_distribution_baseline")
-        self.model.model.write().overwrite().save(f"{path}/model")
+        self.model.save(self.metrics.sparkSession, f"{path}/model")
 
 
 def eligible_rows(frame: DataFrame, profile: Profile) -> DataFrame:
@@ -142,7 +143,7 @@ def train_trees(
     train = training_part(split, keys, test_fraction=test_fraction)
     test = split.where("split = 'test'")
 
-    model = _fit(train, inputs, params)
+    model = _fit(train, keys, inputs, params)
     shown = [*keys, "observed_at", "actual", "predicted", "confidence", "labels", "shares"]
     predictions = materialize(model.score(test).select(*shown), "predictions")
     folds = _fold_metrics(train, keys, inputs, params, cv_splits) if with_folds else None
@@ -157,11 +158,11 @@ def train_trees(
     )
 
 
-def _fit(train: DataFrame, inputs: Inputs, params) -> Fitted:
+def _fit(train: DataFrame, keys: list[str], inputs: Inputs, params) -> Fitted:
     weighted = class_weights(train, inputs.target, params.class_weight_power)
-    fit = fit_boosted if isinstance(params, BoostedParams) else fit_forest
-    columns = ["features", "label_index", "class_weight"]
-    return fit(inputs.prepare(weighted).select(*columns), inputs, params)
+    row_key = F.xxhash64(*keys, "observed_at").alias("row_key")
+    columns = ["features", "label_index", "class_weight", row_key]
+    return fit_trees(inputs.prepare(weighted).select(*columns), inputs, params)
 
 
 def _fold_metrics(train, keys, inputs, params, cv_splits) -> DataFrame:
@@ -173,7 +174,7 @@ def _fold_metrics(train, keys, inputs, params, cv_splits) -> DataFrame:
     scored = None
     for fold in range(1, cv_splits + 1):
         rows = assigned.where(F.col("fold") == fold)
-        model = _fit(rows.where("role = 'train'"), inputs, params)
+        model = _fit(rows.where("role = 'train'"), keys, inputs, params)
         part = model.score(rows.where("role = 'validation'")).select(
             "fold", "actual", "predicted", "labels", "shares"
         )
@@ -199,13 +200,19 @@ def _fold_metrics(train, keys, inputs, params, cv_splits) -> DataFrame:
 
 
 def _tree_history(model: Fitted, used: DataFrame, total: int) -> DataFrame:
-    """Metrics at every checkpoint. The staged scores, a hundred times the rows,
-    are aggregated as they are produced and never stored."""
-    rows = model.inputs.prepare(used).withColumn("actual", F.col(model.inputs.target))
-    staged = staged_scores(model, rows, ["split"], total)
-    by = ["iteration", "split"]
-    measured = evaluate(staged, by, most=used.count()).select(*by, *HISTORY_METRICS)
-    return materialize(measured, "history").orderBy(*by)
+    """Metrics at every checkpoint. The scores of all ensemble sizes, a hundred times
+    the rows, are reduced to counts as they are produced and never stored."""
+    prepared = model.inputs.prepare(used)
+    rows = prepared.select(
+        "split", F.col(model.inputs.target).alias("actual"), feature_array(prepared).alias("x")
+    )
+    points, labels, by = checkpoints(total), model.inputs.labels, ["iteration", "split"]
+    cells = staged_counts(model.model, rows, ["split"], labels, points, scores=False)
+    cells = cells.groupBy(*by, "actual", "predicted").agg(F.sum("n").alias("n"))
+    scores = staged_counts(model.model, rows, ["split"], labels, points, scores=True)
+    steps = merged_steps(scores, by, most=used.count())
+    measured = side_by_side([label_metrics(cells, by), probability_metrics(steps, by)], by)
+    return materialize(measured.select(*by, *HISTORY_METRICS), "history").orderBy(*by)
 
 
 def _document(predictions, used, inputs, params, test_fraction, profile, folds) -> DataFrame:
@@ -264,9 +271,9 @@ def train_sequence(
 ) -> TrainingResult:
     """Fit the sequence network on the windows of each series.
 
-    Windows are split in time order without a gap. Inputs are scaled with moments
-    of the training windows. Training goes epoch by epoch, each starting from the
-    weights of the one before, and every epoch is measured.
+    Windows are split in time order without a gap. The network scales its inputs with
+    moments of the training windows. Training goes epoch by epoch, and every epoch is
+    measured.
     """
     params = params or SequenceParams()
     check_training_contract(profile.features, target)
@@ -282,19 +289,14 @@ def train_sequence(
         row.feature: row
         for row in weighted_moments(weighted.where("weight > 0"), profile.features).collect()
     }
-    scaled = weighted.select(
-        *keys,
-        "observed_at",
-        *[
-            ((F.col(n).cast("double") - moments[n]["mean"]) / moments[n]["scale"]).alias(n)
-            for n in profile.features
-        ],
+    own = weighted.select(
+        *keys, "observed_at", *[F.col(n).cast("double").alias(n) for n in profile.features],
         F.struct(target, "row_index", "n_rows").alias("own"),
     )
     size = F.col("n_rows") - params.length
     is_test = F.col("row_index") - params.length >= F.floor(size * F.lit(1 - test_fraction))
     windows = materialize(
-        sequence_windows(scaled, keys, profile.features, "own", params.length)
+        sequence_windows(own, keys, profile.features, "own", params.length)
         .select(*keys, "observed_at", "own.*", "sequence")
         .withColumn("split", F.when(is_test, "test").otherwise("train"))
         .drop("row_index", "n_rows"),
@@ -302,11 +304,11 @@ def train_sequence(
     )
     inputs = Inputs(profile.features, ordered_labels(windows, target), target)
     prepared = inputs.index(windows.withColumn("features", sequence_vector(F.col("sequence"))))
-    train = prepared.where("split = 'train'").select("features", "label_index")
+    row_key = F.xxhash64(*keys, "observed_at").alias("row_key")
+    train = prepared.where("split = 'train'").select("features", "label_index", row_key)
+    scales = [[moments[n][part] for n in profile.features] for part in ("mean", "scale")]
     fitted, scored = None, None
-    for epoch in range(1, params.epochs + 1):
-        start = fitted.model.weights if fitted else None
-        fitted = fit_sequence(train, inputs, params, 1, start)
+    for epoch, fitted in enumerate(fit_sequence(train, inputs, params, *scales), start=1):
         part = fitted.score(prepared).select(
             F.lit(epoch).alias("iteration"), "split", "actual", "predicted", "labels", "shares"
         )

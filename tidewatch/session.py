@@ -68,4 +68,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    saved = df.sparkSession.read.schema(df.schema).parquet(path)
+    saved._materialized = path
+    return saved
+
+
+def drop_materialized(*saved: DataFrame) -> None:
+    """Delete stored steps that nothing reads any more."""
+    for df in saved:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._materialized)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
