@@ -120,12 +120,12 @@ def test_csv_round_trip_keeps_values(spark, tmp_path):
 def test_snapshot_writes_run_and_latest(spark, tmp_path):
     now = dt.datetime(2026, 5, 1, 2, 3, 4, tzinfo=dt.UTC)
     paths = write_snapshot(spark.range(3), str(tmp_path), now)
-    assert paths["run"].endswith("run=20260501T020304Z")
+    assert paths["run"].endswith("run=1777600984")
     for path in paths.values():
         assert spark.read.option("header", True).csv(path).count() == 3
     write_snapshot(spark.range(2), str(tmp_path), now + dt.timedelta(hours=1))
     assert sorted(os.listdir(tmp_path)) == [
-        "latest", "run=20260501T020304Z", "run=20260501T030304Z"
+        "latest", "run=1777600984", "run=1777604584"
     ]
     assert spark.read.option("header", True).csv(paths["latest"]).count() == 2
 

@@ -134,3 +134,32 @@ def test_missing_and_repeated_keys_are_refused(spark, tmp_path):
     for rows in ([(None, 1.0)], [(hour(0), 1.0), (hour(0), 2.0)]):
         with pytest.raises(ContractError):
             upsert_table(spark, path, spark.createDataFrame(rows, kind), ["observed_at"])
+
+
+def test_a_late_hour_does_not_read_the_days_between(spark, tmp_path):
+    path, kind = str(tmp_path / "t"), "observed_at timestamp_ntz, temp double"
+    rows = spark.createDataFrame([(hour(24 * d), float(d)) for d in range(30)], kind)
+    upsert_table(spark, path, rows, ["observed_at"])
+    # The days between can not be read any more.
+    for day in (tmp_path / "t").glob(f"{PARTITION}=*"):
+        if day.name[-2:] not in ("01", "30"):
+            for file in day.glob("*.parquet"):
+                file.write_bytes(b"no table")
+    ends = spark.createDataFrame([(hour(0), -1.0), (hour(24 * 29), -2.0)], kind)
+    assert upsert_table(spark, path, ends, ["observed_at"]) == 2
+
+
+def test_the_columns_are_read_from_one_file(spark, tmp_path):
+    from tidewatch.sinks import upsert
+
+    path, kind = str(tmp_path / "t"), "observed_at timestamp_ntz, temp double"
+    first = spark.createDataFrame([(hour(0), 1.0)], kind)
+    upsert_table(spark, path, first, ["observed_at"])
+    assert (tmp_path / "t" / upsert.SCHEMA_FILE).exists()
+    wide = spark.createDataFrame([(hour(1), 2.0, 0.5)], kind + ", rain double")
+    upsert_table(spark, path, wide, ["observed_at"])
+    (tmp_path / "t" / upsert.SCHEMA_FILE).unlink()  # a table of an earlier version
+    upsert_table(spark, path, first, ["observed_at"])
+    assert (tmp_path / "t" / upsert.SCHEMA_FILE).exists()
+    rows = {r.observed_at: (r.temp, r.rain) for r in read_table(spark, path, None).collect()}
+    assert rows == {hour(0): (1.0, None), hour(1): (2.0, 0.5)}

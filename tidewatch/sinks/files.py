@@ -32,18 +32,14 @@ def write_json_document(df: DataFrame, path: str) -> None:
     )
 
 
-def run_slug(now: datetime | None = None) -> str:
-    moment = now or datetime.now(tz=UTC)
-    return f"{moment:%Y%m%d}T{moment:%H%M%S}Z"
-
-
 def write_snapshot(df: DataFrame, root: str, now: datetime | None = None) -> dict[str, str]:
-    """Write ``run=<slug>/`` and overwrite ``latest/`` with the same rows.
+    """Write ``run=<epoch second>/`` and overwrite ``latest/`` with the same rows.
 
     The rows are computed once: ``latest`` is copied from a written table.
     """
     rows = materialize(df, "snapshot")
-    paths = {"run": f"{root}/run={run_slug(now)}", "latest": f"{root}/latest"}
+    second = int((now or datetime.now(tz=UTC)).timestamp())
+    paths = {"run": f"{root}/run={second}", "latest": f"{root}/latest"}
     for path in paths.values():
         write_csv(rows, path)
     return paths
