@@ -78,3 +78,13 @@ def test_snapshot_resolves_alias_run_and_baseline(spark):
     (row,) = R.production_snapshot(aliases, versions, metrics, baselines).collect()
     assert (row.model_name, row.version, row.run_id, row.baseline) == ("m", "2", "r2", None)
     assert row.metrics == {"f1_macro": 0.5, "accuracy": 0.7}
+
+
+def test_the_alias_log_keeps_the_last_change(spark, tmp_path):
+    path, kind = str(tmp_path / "log"), "model_name string, alias string, version string"
+    assert R.stored_aliases(spark, path).collect() == []
+    assert R.record_aliases(spark, path, spark.createDataFrame([], kind)) == 0
+    R.record_aliases(spark, path, spark.createDataFrame([("m", "production", "12"), ("n", "production", "1")], kind))
+    R.record_aliases(spark, path, spark.createDataFrame([("m", "production", "9")], kind))
+    found = sorted(map(tuple, R.stored_aliases(spark, path).collect()))
+    assert found == [("m", "production", "9"), ("n", "production", "1")]

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.contracts import ContractError
 from tidewatch.operators.metrics import confusion_cells, label_metrics
+from tidewatch.operators.registry import stored_aliases
 from tidewatch.plans.jobs import Registry, backfill_job, ingest_job, retrain_job, tracked_metrics, train_job
+from tidewatch.plans.classifiers import Fitted
 from tidewatch.plans.profiles import BoostedParams, ForestParams, SequenceParams
 from tidewatch.plans.softmax_trees import SoftmaxTrees, checkpoints
 from tidewatch.plans.training import train_boosted, train_enriched, train_forest, train_sequence
@@ -123,6 +125,16 @@ def test_run_metrics_in_long_form(boosted):
     assert len(rows) <= 4 * len(HISTORY_METRICS) + 3 * len(SUMMARY_METRICS)
 
 
+def test_a_stored_model_scores_alike(spark, boosted, tmp_path):
+    boosted.model.save(spark, str(tmp_path / "model"))
+    again = Fitted.load(spark, str(tmp_path / "model"))
+    assert isinstance(again.model, SoftmaxTrees) and again.inputs == boosted.model.inputs
+    rows = training_frame(spark, 30).drop(TARGET_COLUMN)
+    one, two = (m.score(rows).select("observed_at", "predicted", "shares").orderBy("observed_at").collect()
+                for m in (boosted.model, again))
+    assert one == two
+
+
 def test_scoring_needs_no_label(spark, boosted):
     rows = training_frame(spark, 5).drop(TARGET_COLUMN)
     scored = boosted.model.score(rows)
@@ -289,17 +301,32 @@ def registry(spark, baseline=None, metric=0.01):
 def test_retraining_reports_drift_and_promotes(spark, tmp_path):
     frame = training_frame(spark, 360, "2021-03-20", ENRICHED_MODEL_FEATURES)
     options = dict(model_name="m", params=BOOSTED, with_folds=False, with_history=False)
-    first = retrain_job(frame, [], registry(spark), window_days=2, path=str(tmp_path), **options)
+    first = retrain_job(frame, [], registry(spark), window_days=2, path=str(tmp_path),
+                        alias_path=str(tmp_path / "aliases"), **options)
     assert first.drift.first().status == "no_baseline" and first.drift_features is None
     decision = first.decision.first()
     assert decision.candidate_version == "12"
     if decision.should_promote:
         assert [tuple(r) for r in first.aliases.collect()] == [("m", "production", "12")]
+        stored = stored_aliases(spark, str(tmp_path / "aliases")).collect()
+        assert [tuple(r) for r in stored] == [("m", "production", "12")]
+    document = spark.read.json(str(tmp_path / "drift_report")).first()
+    assert document.status == "no_baseline" and document.features == []
+    assert (document.thresholds.warning, document.current_window_days) == (0.1, 2)
+    header = spark.read.json(str(tmp_path / "training" / "feature_distribution_baseline")).first()
+    assert (header.bins, header.feature_count) == (10, len(ENRICHED_MODEL_FEATURES))
+    assert header.row_count == first.training.metrics.first().rows_train == 206
     assert {"drift_report", "promotion_decision", "training"} <= set(os.listdir(tmp_path))
 
     baseline = [tuple(r) for r in first.training.baseline.collect()]
     second = retrain_job(frame, [], registry(spark, baseline, 0.9), window_days=2, promote=False,
-                         **options)
+                         path=str(tmp_path / "second"), **options)
+    document = spark.read.json(str(tmp_path / "second" / "drift_report")).first()
+    assert [f.feature for f in document.features] == sorted(ENRICHED_MODEL_FEATURES)
+    assert document.production_model.asDict() == {
+        "name": "m", "version": "1", "alias": "production", "run_id": "r1"
+    }
+    assert document.summary.current_row_count == 49
     report = second.drift.first()
     assert report.status == "stable" and report.current_row_count == 49
     # Values beyond the baseline are outside all bins, so they do not move the index.

@@ -313,3 +313,50 @@ def no_baseline_report(current: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("warning_feature_count"),
         "current_row_count",
     )
+
+
+def drift_document(
+    report: DataFrame,
+    features: DataFrame | None,
+    snapshot: DataFrame,
+    *,
+    window_days: int,
+    warning: float = WARNING,
+    drift: float = DRIFT,
+) -> DataFrame:
+    """The whole report as one row: summary, feature rows, thresholds, production model.
+
+    ``snapshot`` has at most one row; without one the production model is NULL. The
+    feature rows are as many as the features and are listed in the order of names.
+    """
+    row = F.struct(
+        "feature", "status", "psi", "baseline_total", "current_total", "current_out_of_range"
+    )
+    live = snapshot.agg(
+        F.max(F.struct(F.col("model_name").alias("name"), "version", "alias", "run_id"))
+    )
+    kind = (
+        "array<struct<feature:string,status:string,psi:double,baseline_total:bigint,"
+        "current_total:bigint,current_out_of_range:bigint>>"
+    )
+    listed = F.array().cast(kind)
+    if features is not None:
+        rows = features.agg(F.sort_array(F.collect_list(row)).cast(kind))
+        listed = F.when(F.col("status") == "no_current_rows", listed).otherwise(rows.scalar())
+    return report.select(
+        "status",
+        F.struct("max_psi", "drifted_feature_count", "warning_feature_count", "current_row_count").alias("summary"),
+        listed.alias("features"),
+        F.struct(F.lit(warning).alias("warning"), F.lit(drift).alias("drift")).alias("thresholds"),
+        F.lit(window_days).alias("current_window_days"),
+        live.scalar().alias("production_model"),
+    )
+
+
+def baseline_document(baseline: DataFrame, rows: int, bins: int = BINS) -> DataFrame:
+    """A baseline as one row: number of bins, rows and features, then the features."""
+    listed = F.collect_list(F.struct("feature", "edges", "counts", "total", "status"))
+    return baseline.agg(
+        F.lit(bins).alias("bins"), F.lit(rows).cast("bigint").alias("row_count"),
+        F.count(F.lit(1)).alias("feature_count"), F.sort_array(listed).alias("features"),
+    )

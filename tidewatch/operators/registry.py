@@ -8,7 +8,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PRODUCTION = "production"
@@ -113,3 +114,36 @@ def promoted_aliases(decisions: DataFrame) -> DataFrame:
         F.col("promoted_alias").alias("alias"),
         F.col("candidate_version").alias("version"),
     )
+
+
+ALIAS_LOG = "model_name string, alias string, version string, change bigint"
+
+
+def stored_aliases(spark: SparkSession, path: str) -> DataFrame:
+    """The aliases in force: the last change of each one in the log at ``path``.
+
+    A log that does not exist yet holds none.
+    """
+    try:
+        log = spark.read.schema(ALIAS_LOG).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = spark.createDataFrame([], ALIAS_LOG)
+    return log.groupBy("model_name", "alias").agg(F.max_by("version", "change").alias("version"))
+
+
+def record_aliases(spark: SparkSession, path: str, changes: DataFrame) -> int:
+    """Append alias rows to the log, so that they are in force; returns their number.
+
+    Nothing stored is rewritten: a failed append leaves the aliases as they were, and
+    the log keeps who was in production when.
+    """
+    rows = changes.select("model_name", "alias", "version").collect()  # one per model and alias
+    if not rows:
+        return 0
+    spark.createDataFrame([], ALIAS_LOG).write.mode("ignore").parquet(path)
+    last = spark.read.schema(ALIAS_LOG).parquet(path).agg(F.max("change")).first()[0] or 0
+    numbered = spark.createDataFrame([(*r, last + 1) for r in rows], ALIAS_LOG)
+    numbered.coalesce(1).write.mode("append").parquet(path)
+    return len(rows)

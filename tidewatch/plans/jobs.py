@@ -20,6 +20,7 @@ from tidewatch.operators.drift import (
     BINS,
     DRIFT,
     WARNING,
+    drift_document,
     drift_report,
     no_baseline_report,
     psi_by_feature,
@@ -35,6 +36,7 @@ from tidewatch.operators.registry import (
     production_snapshot,
     promoted_aliases,
     promotion_decision,
+    record_aliases,
 )
 from tidewatch.operators.windows import keep_last
 from tidewatch.plans.profiles import (
@@ -300,12 +302,15 @@ def retrain_job(
     promote: bool = True,
     params: BoostedParams | None = None,
     path: str | None = None,
+    alias_path: str | None = None,
     **options,
 ) -> Retrained:
     """Drift of the newest rows, a new enriched fit, and the promotion decision.
 
     Drift is reported and does not stop the training. The registry must already
     list the version that this run registers; its newest version is the candidate.
+    A promotion is recorded in the alias log at ``alias_path`` (see
+    :func:`tidewatch.operators.registry.stored_aliases`).
     """
     rows = eligible_rows(table, ENRICHED)
     current = trailing_window(rows, window_days)
@@ -349,8 +354,13 @@ def retrain_job(
     aliases = merge_replace(
         registry.aliases, promoted_aliases(decision), ["model_name", "alias"]
     )
+    if alias_path is not None:
+        record_aliases(table.sparkSession, alias_path, promoted_aliases(decision))
     if path is not None:
-        write_json_document(report, f"{path}/drift_report")
+        document = drift_document(
+            report, features, snapshot, window_days=window_days, warning=warning, drift=drift
+        )
+        write_json_document(document, f"{path}/drift_report")
         write_json_document(decision, f"{path}/promotion_decision")
         trained.write(f"{path}/training")
     return Retrained(report, features, trained, decision, aliases)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.contracts import ContractError, check_training_contract, require_rows
-from tidewatch.operators.drift import drift_baseline
+from tidewatch.operators.drift import baseline_document, drift_baseline
 from tidewatch.operators.filters import profile_rows, training_rows
 from tidewatch.operators.metrics import (
     confusion_cells,
@@ -83,7 +83,9 @@ class TrainingResult:
             if frame is not None:
                 write_csv(frame, f"{path}/{name}")
         if self.baseline is not None:
-            write_json_document(self.baseline, f"{path}/feature_distribution_baseline")
+            rows = self.metrics.first()["rows_train"]
+            document = baseline_document(self.baseline, rows)
+            write_json_document(document, f"{path}/feature_distribution_baseline")
         self.model.save(self.metrics.sparkSession, f"{path}/model")
 
 
