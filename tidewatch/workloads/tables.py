@@ -48,6 +48,7 @@ from tidewatch.sources.files import (
 )
 from tidewatch.sources.payload import archive_hourly, clamp_range
 from tidewatch.streaming.upsert import landing_stream, stream_upsert
+from tidewatch.streaming.winners import log_changes, newest_rows, use_state_store
 from tidewatch.workloads.inputs import (
     DAILY_SQL,
     ENRICHMENT_SQL,
@@ -582,3 +583,44 @@ def streamed(spark, sf_dir):
     return read_table(spark, f"{root}/table").drop(PARTITION)
 
 
+
+
+@query(
+    "stream_newest",
+    """WITH landed AS (
+  SELECT user_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS observed_at, event_id AS n, value, 1 AS part
+  FROM events
+  UNION ALL
+  SELECT user_id, CAST(date_trunc('hour', ts) AS TIMESTAMP), event_id + 1000000000000, round(value + 100, 2), 2
+  FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND event_id % 3 = 0)
+SELECT user_id, observed_at, n, value,
+       count(DISTINCT part) OVER (PARTITION BY user_id, observed_at) AS changes
+FROM landed
+QUALIFY row_number() OVER (PARTITION BY user_id, observed_at ORDER BY n DESC) = 1""",
+)
+def streamed_winners(spark, sf_dir):
+    """The newest row of each user and hour, kept as state of the stream.
+
+    Two deliveries and a repeated one. What the stream emits is logged; the last change
+    of a key is in force, and the repeated delivery changes nothing.
+    """
+    use_state_store(spark)
+    events = table(spark, sf_dir, "events").select(
+        "user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("observed_at"),
+        F.col("event_id").alias("n"), "value",
+    )
+    late = (F.col("observed_at") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")) & (F.col("n") % 3 == 0)
+    corrected = events.where(late).select(
+        "user_id", "observed_at", F.col("n") + F.lit(10**12).alias("n"), F.round(F.col("value") + 100, 2).alias("value")
+    ).toDF(*events.columns)
+    root = shared_path(spark, "newest")
+    for delivery in (events, corrected, corrected):
+        delivery.write.mode("append").parquet(f"{root}/landing")
+        changes = newest_rows(
+            landing_stream(spark, f"{root}/landing", events.schema), ["user_id", "observed_at"], sequence="n"
+        )
+        log_changes(changes, f"{root}/changes", f"{root}/checkpoint").awaitTermination()
+    keys = ["user_id", "observed_at"]
+    return spark.read.schema(events.schema).parquet(f"{root}/changes").groupBy(*keys).agg(
+        F.max("n").alias("n"), F.max_by("value", "n").alias("value"), F.count(F.lit(1)).alias("changes")
+    )
