@@ -210,3 +210,26 @@ def test_document_holds_every_part(spark):
     assert row.actual_class_distribution["d"] == 0
     assert np.array(row.confusion_matrix).shape == (4, 4)
     assert len(row.classification_report) == 7
+
+
+def test_roc_corners_are_the_turns_of_the_curve(spark):
+    import random
+
+    maker = random.Random(8)
+    rows = [(maker.choice("abc"), maker.randrange(40) / 40) for _ in range(300)]
+    rows += [("a", 2.0 + i) for i in range(20)] + [("b", 30.0 + i) for i in range(20)]
+    scores = [(actual, label, score) for actual, score in rows for label in "abc"]
+    df = spark.createDataFrame(scores, "actual string, label string, score double")
+    steps = M.score_steps(df)
+    got = {}
+    for r in M.roc_corners(steps).collect():
+        got.setdefault(r.label, []).append((r.fpr, r.tpr))
+    for label in "abc":
+        points = sorted((r.fpr, r.tpr) for r in M.roc_points(steps).where(f"label = '{label}'").collect())
+        kept = points[:1]
+        for before, at, after in zip(points, points[1:], points[2:]):
+            cross = (at[0] - before[0]) * (after[1] - at[1]) - (at[1] - before[1]) * (after[0] - at[0])
+            if abs(cross) > 1e-12:
+                kept.append(at)
+        kept.append(points[-1])
+        assert sorted(got[label]) == kept and len(kept) < len(points)

@@ -295,6 +295,32 @@ def roc_points(steps: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
+def roc_corners(steps: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The points of :func:`roc_points` where the curve turns, and its two ends.
+
+    A point lies on a straight line if the step to it and the step after it are
+    parallel. The step after a score is that of the next lower one, whose observations
+    end where this score's begin, so neighbours meet in an equi-join on that count:
+    no task sees a class in order, and nothing is carried over the border of a bucket.
+    """
+    by = by or []
+    keys = [*by, "label"]
+    placed = steps.where("pos_total > 0 AND neg_total > 0").withColumn(
+        "__from", F.col("pos_below") + F.col("neg_below")
+    )
+    lower = placed.select(
+        *keys, (F.col("__from") + F.col("pos") + F.col("neg")).alias("__from"),
+        F.col("pos").alias("__pos"), F.col("neg").alias("__neg"),
+    )
+
+    def product(a: str, b: str) -> Column:
+        return F.col(a).cast("decimal(19,0)") * F.col(b).cast("decimal(19,0)")
+
+    turns = F.col("__pos").isNull() | (product("pos", "__neg") != product("neg", "__pos"))
+    kept = placed.join(lower, [*keys, "__from"], "left").where(turns)
+    return roc_points(kept.select(*steps.columns), by)
+
+
 def argmax_label(probabilities: Column, labels: Column) -> tuple[Column, Column]:
     """Label of the highest probability (first on ties) and that probability."""
     top = F.array_max(probabilities)

@@ -18,6 +18,7 @@ from tidewatch.operators.metrics import (
     log_loss,
     metrics_document,
     roc_auc_ovr,
+    roc_corners,
     roc_points,
     score_steps,
 )
@@ -312,6 +313,25 @@ def curve(spark, sf_dir):
     return rounded(roc_points(score_steps(long_probabilities(spark, sf_dir))))
 
 
+@query(
+    "roc_corners",
+    f"""WITH {_AUC_SQL},
+neighbours AS (
+  SELECT *, lag(pos) OVER w AS low_pos, lag(neg) OVER w AS low_neg
+  FROM steps WHERE pos_total > 0 AND neg_total > 0
+  WINDOW w AS (PARTITION BY label ORDER BY score))
+SELECT label, {r6("score", "threshold")},
+       {r6("CAST(neg_total - neg_below AS DOUBLE) / neg_total", "fpr")},
+       {r6("CAST(pos_total - pos_below AS DOUBLE) / pos_total", "tpr")}
+FROM neighbours WHERE low_pos IS NULL OR pos * low_neg <> neg * low_pos
+UNION ALL
+SELECT DISTINCT label, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+FROM neighbours""",
+)
+def curve_corners(spark, sf_dir):
+    return rounded(roc_corners(score_steps(long_probabilities(spark, sf_dir))))
+
+
 @query(
     "argmax_confidence",
     f"""WITH {PROBABILITIES_SQL}
