@@ -237,7 +237,10 @@ def test_language_sample_has_each_text_once(spark):
     table = spark.createDataFrame(texts + [(early.text, "aa")] * 2000, "text string, lang string")
     rows = langid.sample(table).collect()
     assert len(rows) == len({r.text for r in rows}) == langid.LANGUAGE_ROWS
-    assert all(len(r.text.split()) <= langid.TEXT_WORDS for r in langid.sample(table.where("length(text) > 9999")).collect())
+    most = langid.TEXT_PIECES * langid.SEQUENCE_WORDS
+    assert all(len(r.text.split()) <= most for r in langid.sample(table.where("length(text) > 9999")).collect())
+    spread = langid.spread_words(" ".join("abcdefghij"[i // 1000] for i in range(10_000))).split()
+    assert len(spread) == most and set(spread) == set("abcdefghij")  # all parts of the text
 
 
 def test_long_text_does_not_outweigh_its_language(monkeypatch):

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 SAMPLE_ROWS = 1600
 LANGUAGE_ROWS = 400  # Spark cuts ranks of up to 1000 before the shuffle
-TEXT_WORDS = 600
+TEXT_PIECES = 25
 SEQUENCES = 6000
 SEQUENCE_WORDS = 24
 ROUNDS = 60
@@ -33,6 +34,8 @@ DECAY = 1e-4
 LEXICON_COUNT = 3
 LEXICON_SHARE = 0.9
 CACHE = 200_000
+#: Words whose chains advance together; more of them share the cost of a step.
+TOGETHER = 1_000_000
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -76,9 +79,10 @@ class Model:
 
 
 def forward_backward(
-    scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, starts: np.ndarray
+    scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, starts: np.ndarray,
+    count_pairs: bool = True,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Label probabilities of all words, and summed pair probabilities.
+    """Label probabilities of all words, and summed pair probabilities (else zeros).
 
     ``scores`` holds the sequences one after another; all sequences advance together.
     """
@@ -104,9 +108,10 @@ def forward_backward(
             ahead = after * lift[at[: len(after)] + 1]
             now[: len(after)] = ahead @ move.T
             now[: len(after)] /= now[: len(after)].sum(axis=1, keepdims=True)
-            own = forward[at[: len(after)]]
-            total = np.einsum("ni,ij,nj->n", own, move, ahead)
-            pairs += np.einsum("ni,ij,nj->ij", own / total[:, None], move, ahead)
+            if count_pairs:
+                own = forward[at[: len(after)]]
+                total = np.einsum("ni,ij,nj->n", own, move, ahead)
+                pairs += np.einsum("ni,ij,nj->ij", own / total[:, None], move, ahead)
         backward[at] = after = now
     both = forward * backward
     return both / both.sum(axis=1, keepdims=True), pairs
@@ -206,15 +211,25 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     """Model of at most ``rows`` different labelled texts, LANGUAGE_ROWS of each language at most.
 
     The sample is the texts with the smallest hashes, so it depends neither on their
-    order nor on the number of their copies. TEXT_WORDS words of each are used. ``docs``
-    needs text and lang; rows without either are not used.
+    order nor on the number of their copies. TEXT_PIECES sequences of each, spread over
+    the whole text, are used. ``docs`` needs text and lang; rows without either are not used.
     """
     return fit([(r.text, r.lang) for r in sample(docs, rows).collect()])
 
 
-def _first_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def spread_words(text: str) -> str:
+    """TEXT_PIECES runs of SEQUENCE_WORDS words at even distances, or all words of less."""
+    words = words_of(text)
+    pieces = -(-len(words) // SEQUENCE_WORDS)
+    if pieces <= TEXT_PIECES:
+        return " ".join(words)
+    starts = [i * pieces // TEXT_PIECES * SEQUENCE_WORDS for i in range(TEXT_PIECES)]
+    return " ".join(w for at in starts for w in words[at : at + SEQUENCE_WORDS])
+
+
+def _some_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [" ".join(words_of(t)[:TEXT_WORDS]) for t in batch.column(3).to_pylist()]
+        texts = [spread_words(t) for t in batch.column(3).to_pylist()]
         yield pa.record_batch([*batch.columns[:3], pa.array(texts, pa.string())], ["n", "h", "lang", "text"])
 
 
@@ -231,39 +246,64 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     texts = hashed.join(F.broadcast(picked), ["lang", "h"]).groupBy("n", "h", "lang").agg(
         F.min("text").alias("text")
     )
-    return texts.mapInArrow(_first_words, "n int, h long, lang string, text string").orderBy("n", "h", "lang")
+    return texts.mapInArrow(_some_words, "n int, h long, lang string, text string").orderBy("n", "h", "lang")
+
+
+class Numbers(dict):
+    """Numbers words by their first appearance."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
 
 
 def _predictor(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache, table = shared.value, {}, []
+    def bundles(batches: Iterator[pa.RecordBatch]):
+        """Batches with the words of their texts, about TOGETHER words at a time."""
+        held, words = [], 0
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            lists = [words_of(t) if model else [] for t in texts]
-            if len(cache) > CACHE:
-                cache, table = {}, []
-            new = list({w for words in lists for w in words} - cache.keys())
-            if new:
-                cache.update(zip(new, range(len(cache), len(cache) + len(new))))
-                table.append(model.emissions(new))
-                table = [np.concatenate(table)]
-            lengths = np.array([len(words) for words in lists])
-            pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            lists = [words_of(t) if shared.value else [] for t in batch.column(1).to_pylist()]
+            held.append((batch.column(0), lists))
+            words += sum(map(len, lists))
+            if words >= TOGETHER:
+                yield held
+                held, words = [], 0
+        if held:
+            yield held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, cache, table = shared.value, Numbers(), None
+        for held in bundles(batches):
+            lists = [words for _, own in held for words in own]
+            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+            pred, score = [UNKNOWN] * len(lists), np.zeros(len(lists))
             some = np.flatnonzero(lengths)
             if len(some):
-                kind = np.fromiter((cache[w] for words in lists for w in words), np.int64)
+                if len(cache) > CACHE:
+                    cache, table = Numbers(), None
+                known = len(cache)
+                kind = np.fromiter(
+                    (n for words in lists for n in map(cache.__getitem__, words)), np.int64, int(lengths.sum())
+                )
+                if len(cache) > known:
+                    new = model.emissions(list(islice(cache, known, None)))
+                    table = new if table is None else np.concatenate([table, new])
                 found, _ = forward_backward(
-                    table[0][kind], lengths[some], model.transitions, model.starts
+                    table[kind], lengths[some], model.transitions, model.starts, count_pairs=False
                 )
                 begin = np.cumsum(lengths[some]) - lengths[some]
                 mean = np.add.reduceat(found, begin, axis=0) / lengths[some][:, None]
                 score[some] = np.clip(mean.max(axis=1), 0, 1)
                 for i, best in zip(some, mean.argmax(axis=1)):
                     pred[i] = model.labels[best]
-            yield pa.record_batch(
-                [batch.column(0), pa.array(pred, pa.string()), pa.array(score)],
-                ["row", "lang_pred", "score"],
-            )
+            at = 0
+            for row, own in held:
+                end = at + len(own)
+                yield pa.record_batch(
+                    [row, pa.array(pred[at:end], pa.string()), pa.array(score[at:end])],
+                    ["row", "lang_pred", "score"],
+                )
+                at = end
 
     return run
 
