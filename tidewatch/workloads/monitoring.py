@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
+from tidewatch.operators.daily_sketches import (
+    merge_days,
+    sketch_days,
+    sketched_baseline,
+    sketched_psi,
+    store_days,
+    stored_days,
+)
 from tidewatch.operators.drift import (
     drift_baseline,
     drift_report,
@@ -21,7 +31,7 @@ from tidewatch.operators.registry import (
     promoted_aliases,
     promotion_decision,
 )
-from tidewatch.session import materialize
+from tidewatch.session import materialize, shared_path
 from tidewatch.sinks.upsert import merge_replace
 from tidewatch.workloads.inputs import table
 from tidewatch.workloads.registry import query, r6, rounded
@@ -175,6 +185,23 @@ def psi(spark, sf_dir):
     return rounded(_psi(spark, sf_dir))
 
 
+@query(
+    "drift_from_days",
+    f"""WITH {_PSI_SQL}
+SELECT r.feature, r.status, count(*) AS n, min(v.value) AS low, max(v.value) AS high
+FROM rows AS r JOIN new AS v ON v.feature = r.feature
+GROUP BY r.feature, r.status""",
+)
+def from_days(spark, sf_dir):
+    """Status from stored sketches of single days; counts and ranges are exact, ranks are not."""
+    path = shared_path(spark, "days")
+    store_days(sketch_days(_items(spark, sf_dir), _FEATURES, "l_shipdate"), path)
+    split = datetime.date(1998, 1, 1)
+    baseline = sketched_baseline(merge_days(stored_days(spark, path, last=split - datetime.timedelta(days=1))))
+    current = merge_days(stored_days(spark, path, first=split))
+    return sketched_psi(baseline, current).join(current, "feature").select("feature", "status", "n", "low", "high")
+
+
 @query(
     "drift_report",
     f"""WITH {_PSI_SQL}
