@@ -35,6 +35,8 @@ SPACE = "▁"
 WORD = re.compile(r" *[^ \n]+|\n| +")
 BYTE_COST = 12.0
 LONGEST = 64
+#: Characters whose words share one lattice; more of them repeat more words.
+TOGETHER = 1 << 20
 FILTER_BITS = 20
 SPREAD = np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -55,6 +57,10 @@ class Vocabulary:
                 self.pieces[piece] = i
                 self.text[i] = piece.replace(SPACE, " ").encode()
                 rank[i] = min(-model.get_score(i), 1e5)
+        spelled = [self.text.get(i, b"") for i in range(model.get_piece_size())]
+        self.sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(spelled), np.uint8)
         self.longest = max(map(len, self.pieces))
         self.score = -SHARPNESS * np.log(rank + 2)
         names = list(self.pieces)
@@ -203,8 +209,13 @@ def sample(lists: list[list[str]], keys: np.ndarray, words: Vocabulary) -> list[
 
 
 def decode(ids, vocabulary: Vocabulary) -> str:
-    """Text of a sequence of ids."""
-    return b"".join(map(vocabulary.text.__getitem__, ids)).decode()
+    """Text of a sequence of ids: their bytes copied from one array by offsets."""
+    ids = np.asarray(ids, np.int64)
+    many = vocabulary.sizes[ids]
+    ends = np.cumsum(many)
+    total = int(ends[-1]) if len(ends) else 0
+    place = np.repeat(vocabulary.starts[ids] - (ends - many), many) + np.arange(total)
+    return vocabulary.flat[place].tobytes().decode()
 
 
 def _encode(with_ids: bool):
@@ -217,10 +228,10 @@ def _encode(with_ids: bool):
             start, size = 0, 0
             for stop, text in enumerate(texts, 1):
                 size += len(text)
-                if size > 1 << 18 or stop == len(texts):
+                if size > TOGETHER or stop == len(texts):
                     out += sample([split(t) for t in texts[start:stop]], keys[start:stop], words)
                     start, size = stop, 0
-            same = [decode(ids.tolist(), words) == text for ids, text in zip(out, texts)]
+            same = [decode(ids, words) == text for ids, text in zip(out, texts)]
             columns = [
                 batch.column(0), pa.array([len(i) for i in out], pa.int64()),
                 pa.array([zlib.crc32(i.astype("<u4").tobytes()) for i in out], pa.int64()),
