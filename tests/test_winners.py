@@ -41,3 +41,33 @@ def test_null_keys_are_left_out_and_old_hours_are_forgotten(spark, tmp_path):
     again = [("a", hour(500), 8, 2.0), ("a", hour(499), 9, 3.0)]
     log = run(spark, tmp_path, [first, later, again], lateness="2 days")
     assert sorted(log) == [first[0], again[1], later[0]]
+
+
+def test_keys_of_one_hour_share_states(spark, tmp_path):
+    """A call for each key is what takes the time, so a full hour needs few of them."""
+    use_state_store(spark)
+    first = [(f"s{i}", hour(0), i, float(i)) for i in range(300)]
+    second = [(f"s{i}", hour(0), 1000 + i, -1.0) for i in range(0, 300, 3)]
+    for part in (first, second + first):
+        df = spark.createDataFrame(part, SCHEMA)
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    source = landing_stream(spark, f"{tmp_path}/in", df.schema, files_per_batch=1)
+    query = log_changes(
+        newest_rows(source, KEYS, sequence="n", slots=4), f"{tmp_path}/changes", f"{tmp_path}/checkpoint"
+    )
+    query.awaitTermination()
+    assert all(p["stateOperators"][0]["numRowsTotal"] <= 8 for p in query.recentProgress)  # with the timers
+    log = spark.read.parquet(f"{tmp_path}/changes").drop("batch").collect()
+    assert sorted(tuple(r) for r in log) == sorted(first + second)
+
+
+def test_states_without_the_time_among_the_keys(spark, tmp_path):
+    use_state_store(spark)
+    rows = [("a", hour(0), 1, 1.0), ("a", hour(5), 3, 2.0), ("b", hour(1), 2, 3.0), ("a", hour(9), 2, 4.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    df.coalesce(1).write.parquet(f"{tmp_path}/in")
+    source = landing_stream(spark, f"{tmp_path}/in", df.schema)
+    changes = newest_rows(source, ["series_id"], sequence="n")
+    log_changes(changes, f"{tmp_path}/changes", f"{tmp_path}/checkpoint").awaitTermination()
+    log = spark.read.parquet(f"{tmp_path}/changes").drop("batch").collect()
+    assert sorted(tuple(r) for r in log) == [rows[1], rows[2]]
