@@ -137,6 +137,24 @@ def test_pairs_unlike_their_hub_are_found(spark, block, monkeypatch):
     assert {r.doc_id: r.component_id for r in found} == joined(sets, links)
 
 
+def test_a_crowded_cell_gives_the_likeliest_pairs_first():
+    """Sets that are all near: a pass gives few pairs of a row, the last one all of them."""
+    shared = common.mix(np.arange(1, 901, dtype=np.uint64))
+    sets = [np.concatenate([shared, common.mix(np.arange(10**6 * i, 10**6 * i + 60 + i, dtype=np.uint64))]) for i in range(1, 61)]
+    factors = minhash._factors(minhash.REGISTERS + minhash.FINE)
+    levels = np.stack([minhash.registers(own, factors) for own in sets])
+    reps, sizes = np.arange(60), np.array([len(own) for own in sets])
+    for first in (np.ones(60, bool), reps % 2 == 0):
+        cell = (levels[:, : minhash.REGISTERS], levels[:, minhash.REGISTERS :], reps, sizes, reps, first, 0.8, 0)
+        whole = minhash._cell_pairs(*cell)
+        few = minhash._cell_pairs(*cell, 1)
+        own = [(a, b) for a, b in itertools.combinations(range(60), 2) if first.all() or a % 2 != b % 2]
+        assert sorted(map(tuple, whole[:, :2].tolist())) == own and not whole[:, 2].any()
+        assert set(few[:, 2].tolist()) == {1} and {*few[:, 0].tolist(), *few[:, 1].tolist()} == set(range(60))
+        assert {*map(tuple, few[:, :2].tolist())} <= set(own) and len(few) <= 120
+        assert (minhash._cell_pairs(*cell, 60) == whole).all()
+
+
 def test_registers_merge_and_estimate():
     factors = minhash._factors()
     x = common.mix(np.arange(1, 4001, dtype=np.uint64))

@@ -15,7 +15,9 @@ their maximum, and they agree about as often as the sets overlap.
 4. The rest is verified on the full sets. Verified links form components.
 5. Pairs of a band group that are still in different components are then compared
    all, in blocks, by the same estimate, by one of FINE more registers, and the same
-   check. So a member that is unlike its hubs loses no link.
+   check. So a member that is unlike its hubs loses no link. Members of a large group
+   are mostly joined by few links, so first each one's likeliest pairs are checked, then
+   more, and in the last pass all pairs that are still apart.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ FINE = 512
 FINE_MARGIN = 0.065  # as many of FINE registers
 MISS = 1e-5
 BLOCK = 512
+#: Pairs of a member in a cell that are checked in each pass over the groups; the last one takes all.
+PASSES = (1, 16, None)
 
 
 def _factors(n: int = REGISTERS) -> np.ndarray:
@@ -164,8 +168,13 @@ def _linked(percent: int):
     return run
 
 
-def _cell_pairs(levels, fine, reps, sizes, parts, first, similarity: float, band: int) -> np.ndarray:
-    """Close pairs of different components, as rows (a, b), of one cell of a band group.
+def _cell_pairs(
+    levels, fine, reps, sizes, parts, first, similarity: float, band: int, most: int | None = None
+) -> np.ndarray:
+    """Close pairs of different components, as rows (a, b, cut), of one cell of a band group.
+
+    Of a row that has more than ``most`` such pairs only the likeliest ones are given, or
+    those that are so for the other row; ``cut`` is 1 in cells where pairs are left out.
 
     ``first`` marks the rows of the cell's first block. If it holds both kinds, pairs
     are formed across; a cell of one block pairs its rows with each other. Pairs that
@@ -179,7 +188,7 @@ def _cell_pairs(levels, fine, reps, sizes, parts, first, similarity: float, band
     inner = first.all()
     left = np.arange(len(reps)) if inner else np.flatnonzero(first)
     right = left if inner else np.flatnonzero(~first)
-    found = []
+    found, guesses = [], []
     for start in range(0, len(left), 64):
         own = left[start : start + 64]
         near = parts[own][:, None] != parts[right][None, :]
@@ -198,12 +207,32 @@ def _cell_pairs(levels, fine, reps, sizes, parts, first, similarity: float, band
                 close = estimate(levels[one], levels[two], sizes[one], sizes[two]) >= similarity - MARGIN
                 one, two = one[close], two[close]
             if len(one):
-                close = estimate(fine[one], fine[two], sizes[one], sizes[two]) >= similarity - FINE_MARGIN
-                found.append(np.sort(np.stack([reps[one[close]], reps[two[close]]], axis=1), axis=1))
-    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-
-
-def _blocks(similarity: float):
+                guess = estimate(fine[one], fine[two], sizes[one], sizes[two])
+                close = guess >= similarity - FINE_MARGIN
+                found.append(np.stack([one[close], two[close]]))
+                guesses.append(guess[close])
+    if not found:
+        return np.zeros((0, 3), np.int64)
+    one, two = np.concatenate(found, axis=1)
+    keep = np.ones(len(one), bool)
+    if most is not None:
+        guess = np.concatenate(guesses)
+        keep = _likeliest(one, guess, most) | _likeliest(two, guess, most)
+    pairs = np.sort(np.stack([reps[one[keep]], reps[two[keep]]], axis=1), axis=1)
+    return np.column_stack([pairs, np.full(len(pairs), int(not keep.all()))])
+
+
+def _likeliest(owner: np.ndarray, guess: np.ndarray, most: int) -> np.ndarray:
+    """Marks the ``most`` largest guesses of each owner."""
+    order = np.lexsort((-guess, owner))
+    heads = np.flatnonzero(np.diff(owner[order], prepend=-1))
+    number = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
+    marks = np.zeros(len(order), bool)
+    marks[order] = number < most
+    return marks
+
+
+def _blocks(similarity: float, most: int | None):
     """Pairs of all cells of a partition sorted by cell; one cell is in memory at a time."""
 
     def pairs(table: pa.Table):
@@ -215,14 +244,16 @@ def _blocks(similarity: float):
             if stop - start > 1:
                 at = slice(start, stop)
                 first = own[at] == cells[start, 1]
-                yield _cell_pairs(
-                    levels[at], fine[at], reps[at], sizes[at], parts[at], first, similarity, int(numbers[start])
+                found = _cell_pairs(
+                    levels[at], fine[at], reps[at], sizes[at], parts[at], first, similarity,
+                    int(numbers[start]), most,
                 )
+                yield np.column_stack([found, np.full(len(found), cells[start, 0])])
 
     def emit(table: pa.Table):
         found = list(pairs(table))
         if found and len(found := np.unique(np.concatenate(found), axis=0)):
-            yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            yield pa.record_batch([*map(pa.array, found.T)], ["a", "b", "cut", "band"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -293,12 +324,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             steps.drop(parts.source)
         parts = _parts(links, steps)
         steps.drop(close)
-    rest, mixed = _across(bands, sketch, sets, parts, similarity, steps)
-    if not rest.isEmpty():
-        links = links.unionByName(_verify(rest, sets, percent))
-        steps.drop(parts.source)
-        parts = _parts(links, steps)
-    steps.drop(rest, mixed, bands, sets)
+    open_bands = bands
+    for most in PASSES:
+        rest, mixed = _across(open_bands, sketch, sets, parts, similarity, steps, most)
+        cut = rest.agg(F.max("cut")).first()[0]
+        if cut is not None:
+            more = steps.save(_verify(rest.select("a", "b"), sets, percent), "links")
+            links = links.unionByName(more)
+            steps.drop(parts.source)
+            parts = _parts(links, steps)
+        steps.drop(mixed)
+        if cut:
+            again = rest.where("cut = 1").select("band").distinct()
+            open_bands = steps.save(bands.join(again, "band"), "open")
+        steps.drop(rest)
+        if not cut:
+            break
+    steps.drop(bands, sets)
     return _answers(sketches, classes, parts)
 
 
@@ -391,13 +433,14 @@ def _candidate_sets(
 
 def _across(
     bands: DataFrame, sketch: DataFrame, sets: DataFrame, parts: DataFrame, similarity: float,
-    steps: Steps,
+    steps: Steps, most: int | None,
 ) -> tuple[DataFrame, DataFrame]:
     """Close pairs of one band group that are in different components, stored.
 
     A large group is cut into blocks by a hash, and each pair of blocks is a cell of
     its own, so no task holds a whole group. A pair is formed in the first band that
-    it shares, and nowhere else. The second result is what it has read.
+    it shares, and nowhere else. ``cut`` is 1 for pairs of cells that have others which
+    are not among the ``most`` likeliest of a member; only their bands need another pass. The second result is what it has read.
     """
     labelled = bands.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
         "band", "number", "size", "rep", F.coalesce("component", "rep").alias("component")
@@ -427,6 +470,6 @@ def _across(
         .repartition("band", "x", "y")
         .sortWithinPartitions("band", "x", "y")
         .select("band", "x", "y", "rep", "component", "own", "n_shingles", "levels", "fine", "number")
-        .mapInArrow(_blocks(similarity), "a long, b long")
+        .mapInArrow(_blocks(similarity, most), "a long, b long, cut long, band long")
     )
     return steps.save(pairs.distinct(), "rest"), parted
