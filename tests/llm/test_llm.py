@@ -421,6 +421,18 @@ def test_licences(spark):
     assert got == {(1, 1, "apache-2.0"), (2, 0, "mit")}
 
 
+def test_only_the_smallest_lines_are_shuffled(spark):
+    lines = [prose(3) for _ in range(300)] * 2 + ["the same"] * 500
+    own = spark.createDataFrame([(line,) for line in lines], "line string")
+    ordered = [r.line for r in own.orderBy(F.xxhash64("line"), "line").collect()]
+    for n in (1, 40, 2000):
+        found = license_scan.smallest_lines(own, n)
+        assert [r.line for r in found.collect()] == ordered[:n]
+    plan = license_scan.smallest_lines(own, 40)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftright" in plan and "Aggregate [h" in plan  # filtered and counted before they are sorted
+    assert license_scan.smallest_lines(own.limit(0), 5).count() == 0
+
+
 def test_wrapped_licences(spark):
     import textwrap
 

@@ -97,6 +97,7 @@ FAMILIES = sorted(TEMPLATES)
 CLASSES = [*FAMILIES, UNKNOWN]
 BUCKETS = 1 << 13
 UNKNOWN_ROWS = 3_000
+HASH_BITS = 14
 PADDED = 8
 SHINGLE = 5
 WINDOW = 10
@@ -237,14 +238,31 @@ def _once(name: str, value: Column) -> Column:
     return F.explode(F.array(value)).alias(name)
 
 
+def smallest_lines(lines: DataFrame, n: int) -> DataFrame:
+    """The ``n`` lines with the smallest hashes, copies included, in order.
+
+    Lines are counted by the first bits of their hashes; only those up to the bits where
+    the count reaches ``n`` are shuffled, copies as one row.
+    """
+    hashed = lines.select("line", F.xxhash64("line").alias("h"))
+    first = F.shiftright("h", 64 - HASH_BITS)
+    reached, last = 0, None
+    # Each value of the bits has a line, so the n smallest values have n lines.
+    for row in hashed.groupBy(first.alias("bits")).count().orderBy("bits").limit(n).collect():
+        if reached < n:
+            reached, last = reached + row["count"], row.bits
+    few = hashed.where(first <= F.lit(last) if last is not None else F.lit(False))
+    copies = F.explode(F.sequence(F.lit(1), F.least("count", F.lit(n)).cast("int")))
+    return few.groupBy("h", "line").count().select("h", "line", copies).orderBy("h", "line").limit(n).select("line")
+
+
 def _examples(docs: DataFrame, steps: Steps) -> DataFrame:
     """label, tokens and weight of the training paragraphs."""
     spark = docs.sparkSession
     known = template_shingles(spark)
     lines = paragraphs(docs).select("line").where(F.col("line").rlike(r"[\p{L}\p{N}]"))
     sample = steps.save(
-        lines.orderBy(F.xxhash64("line"), "line")
-        .limit(UNKNOWN_ROWS)
+        smallest_lines(lines, UNKNOWN_ROWS)
         .withColumn("tokens", words(F.col("line")))
         .withColumn("s", shingles(F.col("tokens"))),
         "sample",
