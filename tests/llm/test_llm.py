@@ -464,3 +464,20 @@ def test_pipeline_stages(spark, docs):
     cut = corpus_pipeline.repeated_strings(spark, docs, "").collect()
     assert all(r.n_chars == len(r.text) for r in cut if r.text and r.doc_id == 6)
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_passages_of_frequent_seeds_are_all_found(spark):
+    """A passage whose seeds, pairs and triples stand in many smaller and larger documents, which do not have it."""
+    parts = [prose(18).split() for _ in range(3)]
+    joined = [(2, 2), (3, 2)]
+    texts = []
+    for number, (a, b) in enumerate(joined):
+        middle = [" ".join(parts[0]), prose(a), " ".join(parts[1]), prose(b), " ".join(parts[2])]
+        texts.append((50 + number, " ".join([prose(30), *middle, prose(30)])))
+    for number in range(24):
+        far = [" ".join(parts[0]), prose(30 + number), " ".join(parts[1]), prose(20 + number), " ".join(parts[2])]
+        texts.append((number + (100 if number % 2 else 0), " ".join([prose(30), *far, prose(30)])))
+    rows = passage_chains.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    found = [r for r in rows if (r.doc_id, r.other_id) == (51, 50)]
+    assert found and min(found[0].last_word - found[0].first_word, found[0].other_last - found[0].other_first) >= 39
+    assert (found[0].class_doc, found[0].class_first) == (50, found[0].other_first)

@@ -3,12 +3,15 @@
 1. Seeds are runs of SEED words whose hash is the smallest of WINDOW neighbouring runs;
    a shared stretch of SEED + WINDOW - 1 words has at least one. All places of a seed
    count; of a stretch that repeats with a period below WINDOW the first and the last.
-2. All documents of a seed that at most FEW have are compared with each other. Of a more
-   frequent seed each document meets the smallest and the largest one, as a first pass.
-   Places of frequent seeds that are in no passage found so are looked at in longer
-   contexts: each run of ``least_words`` words around the seed, whose documents share an
-   exact passage, and two, then three of these seeds within REACH words; contexts that
-   at most FEW have are again compared in full, others with the smallest and largest.
+2. All documents of a seed that stands at most FEW times are compared with each other, those
+   of a more frequent seed with the smallest and the largest one. What documents share so
+   puts their stretches (passages of a document that overlap) into classes.
+   Frequent seeds whose places are not all in one class are looked at in longer contexts:
+   each run of ``least_words`` words, whose documents meet the smallest and the largest
+   one that has it, and two seeds within REACH words of each other. A passage holds such
+   a run or two such seeds with different words between them, so in the end all
+   documents of two seeds meet whose places are still in different classes and whose
+   words between them differ.
 3. Two documents that meet are compared by all seeds they share, which are chained: of
    the matches before one in both documents the best predecessor is found with a Fenwick
    tree over the second document's places, whose maxima include the linear cost of the gap.
@@ -20,14 +23,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import BASE, Steps, gram_hashes, mix, text_column, word_hashes
+from tidewatch.llm.common import (
+    BASE, Steps, gram_hashes, mix, prefix_hashes, span_hashes, text_column, word_hashes,
+)
+from tidewatch.llm.components import connected_components
 
 SEED = 6
 WINDOW = 12
@@ -37,7 +44,6 @@ ROUND = 16
 LEAST_WORDS = 40
 FEW = 8
 REACH = 80
-SEEDS_TOGETHER = 3
 SIMILARITY = 0.8
 
 CHAIN = "doc long, other long, places array<int>, others array<int>"
@@ -129,21 +135,40 @@ def _matches(h: np.ndarray, places: np.ndarray, g: np.ndarray, others: np.ndarra
     return list(zip(x.tolist(), y.tolist()))
 
 
-def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for doc, other, *packed in zip(*(c.to_pylist() for c in batch.columns)):
-            h, g = (np.frombuffer(x, np.uint64) for x in packed[::2])
-            places, others = (np.frombuffer(x, np.int32) for x in packed[1::2])
-            for chain in chains(_matches(h, places, g, others)):
-                rows.append((doc, other, [x for x, _ in chain], [y for _, y in chain]))
-        if rows:
-            doc, other, xs, ys = zip(*rows)
-            yield pa.record_batch(
-                [pa.array(doc, pa.int64()), pa.array(other, pa.int64()),
-                 pa.array(xs, pa.list_(pa.int32())), pa.array(ys, pa.list_(pa.int32()))],
-                ["doc", "other", "places", "others"],
-            )
+def _least_span(least: int) -> int:
+    """Least distance of the first and the last seed of a passage: the words that agree go on
+    for less than WINDOW words beyond them, but in stretches that repeat."""
+    return least - SEED - 2 * (WINDOW - 1)
+
+
+def _chain_rows(least: int):
+    """Chains that are long enough to hold a passage."""
+    span = _least_span(least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, other, *packed in zip(*(c.to_pylist() for c in batch.columns)):
+                h, g = (np.frombuffer(x, np.uint64) for x in packed[::2])
+                places, others = (np.frombuffer(x, np.int32) for x in packed[1::2])
+                matches = _matches(h, places, g, others)
+                if len(matches) < 2 and span > 0:
+                    continue
+                # Seeds that stand more than once in both may be the ends of a stretch that repeats.
+                left, right = Counter(x for x, _ in matches), Counter(y for _, y in matches)
+                for chain in chains(matches):
+                    (x, y), (x1, y1) = chain[0], chain[-1]
+                    if min(x1 - x, y1 - y) >= span or any(left[a] > 1 and right[b] > 1 for a, b in chain):
+                        rows.append((doc, other, [a for a, _ in chain], [b for _, b in chain]))
+            if rows:
+                doc, other, xs, ys = zip(*rows)
+                yield pa.record_batch(
+                    [pa.array(doc, pa.int64()), pa.array(other, pa.int64()),
+                     pa.array(xs, pa.list_(pa.int32())), pa.array(ys, pa.list_(pa.int32()))],
+                    ["doc", "other", "places", "others"],
+                )
+
+    return run
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,80 +186,177 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _runs(least: int):
-    """Hashes of the runs of ``least`` words that hold one of the asked places."""
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts, compressed for the shuffle."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        texts = [text.encode() for text in batch.column(1).to_pylist()]
+        packed = [len(text).to_bytes(8, "little") + codec.compress(text, asbytes=True) for text in texts]
+        yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], ["doc", "text"])
+
+
+def _words(texts: list[bytes]) -> np.ndarray:
+    """Word hashes of a document, of whose texts the smallest counts."""
+    codec = pa.Codec("zstd")
+    found = [codec.decompress(text[8:], int.from_bytes(text[:8], "little"), asbytes=True) for text in texts]
+    return word_hashes(min(found))[0]
+
+
+def _keys(least: int, runs: bool):
+    """Longer contexts of the asked places: key, the words it has there, labels of its places.
+
+    Runs of ``least`` words that hold an asked place (if ``runs``), and two asked places
+    within REACH words of each other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, keys = [], []
-            for doc, text, places in zip(*(c.to_pylist() for c in batch.columns)):
-                words = word_hashes(text.encode())[0]
-                if len(words) < least:
-                    continue
-                asked = np.zeros(len(words) + 1, np.int64)
-                for place in places:
-                    asked[max(place + SEED - least, 0)] += 1
-                    asked[place + 1] -= 1
-                grams = gram_hashes(words, least)
-                found = np.unique(grams[np.cumsum(asked)[: len(grams)] > 0])
-                keys.append(found.view(np.int64))
-                docs.append(np.full(len(found), doc, np.int64))
-            if docs:
-                yield pa.record_batch([pa.array(np.concatenate(docs)), pa.array(np.concatenate(keys))], ["doc", "h"])
+            out = []
+            for doc, texts, found in zip(*(c.to_pylist() for c in batch.columns)):
+                words = _words(texts)
+                found = sorted((f["place"], f["h"], f["label"]) for f in found)
+                # Places of another text of a repeated id do not count.
+                places, h, label = np.array(found, np.int64).T
+                inside = places + SEED <= max(len(words), SEED)
+                places, h, label = places[inside], h[inside].view(np.uint64), label[inside]
+                sums = prefix_hashes(words)
+                at = np.arange(len(places))
+                size = np.searchsorted(places, places + REACH, "right") - at - 1
+                one = np.repeat(at, size)
+                two = np.arange(len(one)) - np.repeat(np.cumsum(size) - size - at - 1, size)
+                key = mix(mix(h[one]) * BASE + mix(h[two]))
+                ends = np.minimum(places[two] + SEED, len(words))
+                content = span_hashes(sums, places[one], ends)
+                rows = [np.stack([np.zeros(len(one), np.int64), key.view(np.int64), content.view(np.int64),
+                                  label[one], label[two]])]
+                if runs and len(words) >= least and len(places):
+                    asked = np.zeros(len(words) + 1, np.int64)
+                    np.add.at(asked, np.maximum(places + SEED - least, 0), 1)
+                    np.add.at(asked, places + 1, -1)
+                    grams = gram_hashes(words, least)
+                    start = np.flatnonzero(np.cumsum(asked)[: len(grams)] > 0)
+                    own = label[np.searchsorted(places, start)]
+                    rows.append(np.stack([np.ones(len(start), np.int64), grams[start].view(np.int64),
+                                          np.zeros(len(start), np.int64), own, own]))
+                rows = np.unique(np.concatenate(rows, axis=1), axis=1)
+                out.append(np.vstack([np.full(rows.shape[1], doc, np.int64), rows]))
+            if out:
+                yield pa.record_batch(
+                    [*map(pa.array, np.concatenate(out, axis=1))], ["doc", "run", "key", "content", "left", "right"]
+                )
 
     return run
 
 
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of two to SEEDS_TOGETHER seeds of a document in order, each within REACH of the one before."""
-    for batch in batches:
-        docs, keys = [], []
-        for doc, found in zip(*(c.to_pylist() for c in batch.columns)):
-            found = sorted((f["place"], f["h"]) for f in found)
-            places = np.array([p for p, _ in found], np.int64)
-            own = mix(np.array([h for _, h in found], np.int64).view(np.uint64))
-            at, total = np.arange(len(own)), own
-            for _ in range(SEEDS_TOGETHER - 1):
-                stop = np.searchsorted(places, places[at] + REACH, "right")
-                size = stop - at - 1
-                after = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - at - 1, size)
-                total = mix(np.repeat(total, size) * BASE + own[after])
-                at = after
-                keys.append(np.unique(total).view(np.int64))
-                docs.append(np.full(len(keys[-1]), doc, np.int64))
-        if docs:
-            yield pa.record_batch([pa.array(np.concatenate(docs)), pa.array(np.concatenate(keys))], ["doc", "h"])
-
-
-def _meetings(keyed: DataFrame, often: DataFrame) -> DataFrame:
-    """Pairs doc > other of the documents of a key: all of a key that at most FEW have, else
-    each with the smallest and the largest. ``often`` has h, n, low and high."""
-    rare = keyed.join(often.where(f"n BETWEEN 2 AND {FEW}").select("h"), "h").groupBy("h").agg(
-        F.sort_array(F.collect_set("doc")).alias("docs")
-    )
+KEYS = "doc long, run long, key long, content long, left long, right long"
+
+
+def _meetings(shared: DataFrame) -> DataFrame:
+    """Pairs doc > other of the documents of a seed: all of one that stands at most FEW times,
+    else each with the smallest and the largest."""
+    rare = shared.where(f"n <= {FEW}").groupBy("h").agg(F.sort_array(F.collect_set("doc")).alias("docs"))
     first = rare.select("docs", F.posexplode("docs").alias("i", "other"))
     every = first.select(F.explode(F.slice("docs", F.col("i") + 2, F.size("docs"))).alias("doc"), "other")
-    frequent = keyed.join(often.where(f"n > {FEW}").select("h", "low", "high"), "h")
-    ends = frequent.select("doc", F.explode(F.array("low", "high")).alias("end")).where("doc <> end")
-    stars = ends.select(F.greatest("doc", "end").alias("doc"), F.least("doc", "end").alias("other"))
-    return every.unionByName(stars).distinct()
+    return every.unionByName(_stars(shared.where(f"n > {FEW}"))).distinct()
 
 
-def _often(keyed: DataFrame) -> DataFrame:
-    """Number of documents, smallest and largest one of each key; a row of ``keyed`` is one document."""
-    return keyed.groupBy("h").agg(
-        F.count("doc").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs of each member with the smallest and the largest one."""
+    ends = members.select("doc", F.explode(F.array("low", "high")).alias("end")).where("doc <> end")
+    return ends.select(F.greatest("doc", "end").alias("doc"), F.least("doc", "end").alias("other")).distinct()
+
+
+def _open_keys(keyed: DataFrame) -> DataFrame:
+    """Rows of the keys whose places are not all in one class and may differ in their words."""
+    open_ = keyed.groupBy("run", "key").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"),
+        *[f(c).alias(f"{name}_{c}") for c in ("left", "right", "content")
+          for name, f in (("least", F.min), ("most", F.max))],
+    ).where(
+        "low < high AND least_left < most_left AND least_right < most_right "
+        "AND (run = 1 OR least_content < most_content)"
+    )
+    return keyed.join(open_.select("run", "key", "low", "high"), ["run", "key"])
+
+
+def _apart(keyed: DataFrame) -> DataFrame:
+    """All pairs doc > other of a key whose places are in different classes, with different words."""
+    one = _open_keys(keyed).drop("low", "high")
+    two = one.select("key", *[F.col(c).alias(f"{c}_2") for c in ("doc", "content", "left", "right")])
+    return (
+        one.join(two, "key")
+        .where("doc > doc_2 AND content <> content_2 AND left <> left_2 AND right <> right_2")
+        .select("doc", F.col("doc_2").alias("other"))
+        .distinct()
+    )
+
+
+def _stretches(rows: DataFrame) -> DataFrame:
+    """Unions of the passages of a document that overlap: doc, start, stop and its node."""
+    sides = _sides(rows).groupBy("doc", "first").agg(F.max("last").alias("last"))
+    order = Window.partitionBy("doc").orderBy("first")
+    fresh = F.col("first") > F.coalesce(F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
+    numbered = sides.withColumn("fresh", fresh).withColumn("number", F.sum(F.col("fresh").cast("int")).over(order))
+    merged = numbered.groupBy("doc", "number").agg(F.min("first").alias("start"), F.max("last").alias("stop"))
+    return merged.select("doc", "start", "stop", F.xxhash64("doc", "start").alias("node"))
+
+
+def _sides(rows: DataFrame) -> DataFrame:
+    one = rows.select(F.col("doc_id").alias("doc"), F.col("first_word").alias("first"), F.col("last_word").alias("last"))
+    return one.unionByName(rows.select(
+        F.col("other_id").alias("doc"), F.col("other_first").alias("first"), F.col("other_last").alias("last")
+    ))
+
+
+def _classes(rows: DataFrame, steps: Steps) -> DataFrame:
+    """Stretches with their class: doc, start, stop, component."""
+    spans = steps.save(_stretches(rows), "stretches")
+
+    def at(doc: str, first: str, node: str) -> tuple:
+        side = spans.select(F.col("doc").alias(doc), *[F.col(c).alias(f"{node}_{c}") for c in ("start", "stop")],
+                            F.col("node").alias(node))
+        return side, [F.col(first).between(F.col(f"{node}_start"), F.col(f"{node}_stop"))]
+
+    links = rows.select("doc_id", "first_word", "other_id", "other_first").distinct()
+    for doc, first, node in (("doc_id", "first_word", "a"), ("other_id", "other_first", "b")):
+        side, where = at(doc, first, node)
+        links = links.join(side, doc).where(where[0])
+    parts = connected_components(links.select("a", "b"), steps)
+    found = steps.save(
+        spans.join(parts, "node").select("doc", "start", "stop", "component"), "classes"
+    )
+    steps.drop(spans)
+    return found
+
+
+def _open_places(frequent: DataFrame, classes: DataFrame) -> DataFrame:
+    """Places of the frequent seeds that are not all in one class: doc, found (place, h, label).
+
+    The label of a place is the class of its stretch; one that no passage covers has its own.
+    """
+    inside = classes.groupBy("doc").agg(F.collect_list(F.struct("start", "stop", "component")).alias("spans"))
+    own = F.filter("spans", lambda s: (s.start <= F.col("place")) & (s.stop >= F.col("place") + SEED - 1))
+    labelled = frequent.join(inside, "doc", "left").select(
+        "doc", "h", "place",
+        F.coalesce(F.try_element_at(own, F.lit(1)).component, F.xxhash64("doc", "place")).alias("label"),
+    )
+    open_ = labelled.groupBy("h").agg(
+        F.min("label").alias("least"), F.max("label").alias("most"), F.min("doc").alias("low"), F.max("doc").alias("high")
+    ).where("least < most AND low < high")
+    return labelled.join(open_.select("h"), "h").groupBy("doc").agg(
+        F.collect_list(F.struct("place", "h", "label")).alias("found")
     )
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word hashes of the asked stretches of each text."""
+    """Word hashes of the asked stretches of each document."""
     for batch in batches:
-        out, last, words = [], None, None
-        for doc, text, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
-            if last is None or text is not last:
-                words, last = word_hashes(text.encode())[0], text
-            out.append((doc, start, stop, words[max(start, 0) : stop].tobytes()))
+        out = []
+        for doc, texts, asked in zip(*(c.to_pylist() for c in batch.columns)):
+            words = _words(texts)
+            for part in asked:
+                start, stop = part["start"], part["stop"]
+                out.append((doc, start, stop, words[max(start, 0) : stop].tobytes()))
         if out:
             doc, start, stop, found = zip(*out)
             yield pa.record_batch(
@@ -356,72 +478,71 @@ def repeated_passages(
 
     Words are what white space separates, A-Z lowered, counted from 0; bounds include
     both ends. A passage has at least ``least_words`` words on both sides, and
-    ``similarity`` is the share of words in common order; doc_id is the larger id. Of a
-    passage that more than FEW documents have, each of them has a row with the smallest or
-    the largest one, not with all. Null and empty texts and rows without an id have no
-    passages; rows that repeat an id are one document, of which the smallest text counts.
-    No rows give no rows.
+    ``similarity`` is the share of words in common order; doc_id is the larger id.
+
+    Passages of a document that overlap are one stretch, and passages tie stretches into
+    classes: ``class_doc`` and ``class_first`` are the smallest document of the row's class
+    and the first word of its stretch there. Two documents that share a passage have the
+    stretches it lies in in one class; of many documents of one class not each pair has
+    a row. Null and empty texts and rows without an id have no passages; rows that repeat
+    an id are one document, of which the smallest text counts. No rows give no rows.
     """
     steps = Steps(docs.sparkSession, "passages")
     base = docs.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc"), text_column().alias("text")
     )
-    found = steps.save(base.mapInArrow(_seed_rows, "doc long, h long, place int").distinct(), "seeds")
-    often = steps.save(_often(found.select("h", "doc").distinct()).where("n > 1"), "often")
-    shared = steps.save(found.join(often.select("h", "n"), "h"), "shared")
+    found = steps.save(base.mapInArrow(_seed_rows, "doc long, h long, place int"), "seeds")
+    often = found.groupBy("h").agg(
+        F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")
+    ).where("low < high")
+    # Only rows that repeat an id can repeat a place.
+    shared = steps.save(found.join(often, "h"), "shared")
     steps.drop(found)
     packed = steps.save(
-        shared.groupBy("doc").agg(F.collect_list(F.struct("h", "place")).alias("found"))
+        shared.groupBy("doc").agg(F.collect_set(F.struct("h", "place")).alias("found"))
         .mapInArrow(_packed, "doc long, h binary, places binary"),
         "packed",
     )
-    met = steps.save(_meetings(shared.select("h", "doc").distinct(), often), "met")
-    first = steps.save(_compared(base, packed, met, steps, least_words, similarity), "first")
-
-    within = first.select("doc_id", "first_word", "last_word").unionByName(
-        first.select(F.col("other_id"), F.col("other_first"), F.col("other_last")).toDF(
-            "doc_id", "first_word", "last_word"
-        )
-    )
-    inside = within.groupBy(F.col("doc_id").alias("doc")).agg(
-        F.collect_set(F.struct("first_word", "last_word")).alias("passages")
-    )
-    open_places = shared.where(f"n > {FEW}").groupBy("doc").agg(
-        F.collect_list(F.struct("place", "h")).alias("found")
-    ).join(inside, "doc", "left").select(
-        "doc",
-        F.filter("found", lambda f: ~F.exists(
-            F.coalesce("passages", F.array()),
-            lambda p: (p.first_word <= f.place) & (p.last_word >= f.place + SEED - 1),
-        )).alias("found"),
-    )
-    rest = steps.save(open_places.where(F.size("found") > 0), "rest")
-    # Partners may have the same seeds inside of a passage, so all their places count.
-    left = rest.select(F.explode("found.h").alias("h")).distinct()
-    asked = steps.save(
-        shared.join(left, "h", "left_semi").groupBy("doc").agg(F.collect_list(F.struct("place", "h")).alias("found")),
-        "asked",
+    # A document with one place has no passage that is longer than what one seed extends to.
+    several = "length(places) > 4" if _least_span(least_words) > 0 else "true"
+    texts = steps.save(
+        base.mapInArrow(_squeezed, "doc long, text binary")
+        .join(packed.where(several).select("doc"), "doc", "left_semi")
+        .groupBy("doc").agg(F.collect_list("text").alias("text")),
+        "texts",
     )
-    texts = base.join(asked.select("doc", "found.place"), "doc").groupBy("doc").agg(
-        F.min("text").alias("text"), F.first("place").alias("place")
+
+    met = steps.save(_meetings(shared), "met")
+    rows = _compared(texts, packed, met, steps, least_words, similarity)
+    frequent = steps.save(shared.where(f"n > {FEW}").select("doc", "h", "place").distinct(), "frequent")
+    steps.drop(shared)
+    for number, (runs, pairs) in enumerate(((True, lambda k: _stars(_open_keys(k))), (False, _apart))):
+        classes = _classes(rows, steps)
+        asked = _open_places(frequent, classes)
+        keyed = steps.save(texts.join(asked, "doc").select("doc", "text", "found").mapInArrow(_keys(least_words, runs), KEYS), "keys")
+        again = steps.save(pairs(keyed).join(met, ["doc", "other"], "left_anti"), "again")
+        steps.drop(keyed, classes)
+        rows = rows.unionByName(_compared(texts, packed, again, steps, least_words, similarity))
+        met = met.unionByName(again)
+    classes = _classes(rows, steps)
+    first = classes.groupBy("component").agg(F.min(F.struct("doc", "start")).alias("least"))
+    named = classes.join(first, "component").select(
+        F.col("doc").alias("doc_id"), "start", "stop",
+        F.col("least.doc").alias("class_doc"), F.col("least.start").alias("class_first"),
     )
-    runs = texts.mapInArrow(_runs(least_words), "doc long, h long")
-    groups = asked.mapInArrow(_together, "doc long, h long")
-    longer = steps.save(runs.unionByName(groups).distinct(), "longer")
-    again = _meetings(longer, _often(longer).where("n > 1")).join(met, ["doc", "other"], "left_anti")
-    second = _compared(base, packed, steps.save(again, "again"), steps, least_words, similarity)
-    return first.unionByName(second)
+    return rows.join(named, "doc_id").where("first_word BETWEEN start AND stop").drop("start", "stop")
 
 
 def _compared(
-    base: DataFrame, packed: DataFrame, met: DataFrame, steps: Steps, least_words: int, similarity: float
+    texts: DataFrame, packed: DataFrame, met: DataFrame, steps: Steps, least_words: int, similarity: float
 ) -> DataFrame:
     """Passages of the pairs ``met`` (doc, other), from the seeds that the two share."""
     both_seeds = met.join(packed, "doc").join(
         packed.toDF("other", "g", "others"), "other"
     )
     chained = steps.save(
-        both_seeds.select("doc", "other", "h", "places", "g", "others").mapInArrow(_chain_rows, CHAIN), "chains"
+        both_seeds.select("doc", "other", "h", "places", "g", "others").mapInArrow(_chain_rows(least_words), CHAIN),
+        "chains",
     )
 
     def bounds(places: str, start: str, stop: str) -> list:
@@ -439,12 +560,9 @@ def _compared(
         .unionByName(ranged.select(F.col("other").alias("doc"), F.col("begin").alias("start"), F.col("end").alias("stop")))
         .distinct()
     )
-    single = base.join(wanted.select("doc").distinct(), "doc", "left_semi").groupBy("doc").agg(
-        F.min("text").alias("text")
-    )
+    asked = wanted.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("asked"))
     slices = steps.save(
-        single.join(wanted, "doc")
-        .select("doc", "text", "start", "stop")
+        texts.join(asked, "doc").select("doc", "text", "asked")
         .mapInArrow(_slices, "doc long, start int, stop int, words binary"),
         "slices",
     )
@@ -455,6 +573,9 @@ def _compared(
         ),
         ["other", "begin", "end"],
     )
-    return both.select("doc", "other", "places", "others", "start", "begin", "a", "b").mapInArrow(
+    rows = both.select("doc", "other", "places", "others", "start", "begin", "a", "b").mapInArrow(
         _aligned(least_words, similarity), PASSAGE
     )
+    found = steps.save(rows, "passages")
+    steps.drop(chained, slices)
+    return found
