@@ -481,3 +481,23 @@ def test_passages_of_frequent_seeds_are_all_found(spark):
     found = [r for r in rows if (r.doc_id, r.other_id) == (51, 50)]
     assert found and min(found[0].last_word - found[0].first_word, found[0].other_last - found[0].other_first) >= 39
     assert (found[0].class_doc, found[0].class_first) == (50, found[0].other_first)
+
+
+def test_largest_component_is_not_copied_into_cells(spark, monkeypatch):
+    """Members of the largest component are in one cell for each block of others."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    steps = common.Steps(spark, "across")
+    size, others = 200, 3
+    levels = np.arange(minhash.REGISTERS, dtype="<u2").tobytes()
+    held = np.arange(50, dtype=np.uint64).tobytes()
+    bands = spark.range(size).selectExpr("7L AS band", "0Y AS number", "id AS rep", f"{size}L AS size")
+    sketch = spark.range(size).select(
+        F.col("id").alias("rep"), F.lit(50).cast("long").alias("n_shingles"), F.lit(bytearray(levels)).alias("levels")
+    )
+    sets = spark.range(size).select(F.col("id").alias("rep"), F.lit(bytearray(held)).alias("shingles"))
+    parts = spark.range(others, size).selectExpr("id AS node", f"{others}L AS component")
+    rest, parted = minhash._across(bands, sketch, sets, parts, 0.8, steps, None)
+    got = {(r.a, r.b) for r in rest.collect()}
+    assert got == {(a, b) for a in range(others) for b in range(a + 1, size)}
+    rows = parted.selectExpr("sum(IF(inner, blocks, before + blocks)) AS n").first().n
+    assert rows <= size + others * (size // 4 + 2)

@@ -437,30 +437,42 @@ def _across(
 ) -> tuple[DataFrame, DataFrame]:
     """Close pairs of one band group that are in different components, stored.
 
-    A large group is cut into blocks by a hash, and each pair of blocks is a cell of
-    its own, so no task holds a whole group. A pair is formed in the first band that
+    A large group is cut into blocks by a hash, the members of its largest component (if
+    they are more than BLOCK), who need no pairs with each other, apart from the others. Each pair of blocks that holds
+    others is a cell of its own, so no task holds a whole group, and a group of n with m
+    others makes about n + n * m / BLOCK rows. A pair is formed in the first band that
     it shares, and nowhere else. ``cut`` is 1 for pairs of cells that have others which
     are not among the ``most`` likeliest of a member; only their bands need another pass. The second result is what it has read.
     """
     labelled = bands.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
         "band", "number", "size", "rep", F.coalesce("component", "rep").alias("component")
     )
+    # Band groups with several components, and the largest one if it is more than a block.
     mixed = (
-        labelled.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("band")
+        labelled.groupBy("band", "component")
+        .agg(F.count("*").alias("members"))
+        .groupBy("band")
+        .agg(F.count("*").alias("components"), F.max(F.struct("members", "component")).alias("top"))
+        .where("components > 1")
+        .select("band", F.col("top.component").alias("largest"),
+                F.when(F.col("top.members") > BLOCK, F.col("top.members")).otherwise(0).alias("members"))
     )
+    inner, blocks, before = F.col("inner"), F.col("blocks"), F.col("before")
     parted = steps.save(
         labelled.join(mixed, "band")
-        .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")),
+        .withColumn("inner", (F.col("component") == F.col("largest")) & (F.col("members") > 0))
+        .withColumn("before", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int"))
+        .withColumn("blocks", F.ceil((F.col("size") - F.col("members")) / F.lit(BLOCK)).cast("int"))
+        .withColumn("own", F.when(inner, F.pmod(F.xxhash64("rep"), before))
+                    .otherwise(before + F.pmod(F.xxhash64("rep"), blocks)).cast("int"))
+        .drop("largest", "members"),
         "mixed",
     )
     fine = sets.join(parted.select("rep").distinct(), "rep", "left_semi").mapInArrow(
         _fine, "rep long, fine binary"
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    others = F.sequence(F.when(inner, before).otherwise(F.lit(0)), before + blocks - 1)
+    other = F.explode(others).alias("other")
     cells = parted.select("band", "number", "rep", "component", "own", other).select(
         "band", "number", "rep", "component", "own",
         F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
