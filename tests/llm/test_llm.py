@@ -501,3 +501,11 @@ def test_largest_component_is_not_copied_into_cells(spark, monkeypatch):
     assert got == {(a, b) for a in range(others) for b in range(a + 1, size)}
     rows = parted.selectExpr("sum(IF(inner, blocks, before + blocks)) AS n").first().n
     assert rows <= size + others * (size // 4 + 2)
+
+
+def test_passage_of_one_word_repeated(spark):
+    texts = [(1, " ".join(["the"] * 60)), (2, " ".join(["the"] * 90))]
+    texts = [(i, f"{' '.join(f'{i}w{k}' for k in range(10))} {t} {' '.join(f'{i}v{k}' for k in range(40))}") for i, t in texts]
+    rows = passage_chains.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert all(r.last_word - r.first_word >= 39 and r.similarity == 1 for r in rows)
+    assert (10, 10) in {(r.first_word, r.other_first) for r in rows}

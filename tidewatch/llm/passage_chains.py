@@ -545,11 +545,14 @@ def _compared(
         "chains",
     )
 
+    # In a stretch that repeats, one seed may be all that is left of a passage.
+    margin = max(MARGIN, least_words)
+
     def bounds(places: str, start: str, stop: str) -> list:
         first, last = F.element_at(places, 1), F.element_at(places, -1)
         return [
-            (F.floor((first - MARGIN) / F.lit(ROUND)) * ROUND).cast("int").alias(start),
-            (F.ceil((last + SEED + MARGIN) / F.lit(ROUND)) * ROUND).cast("int").alias(stop),
+            (F.floor((first - margin) / F.lit(ROUND)) * ROUND).cast("int").alias(start),
+            (F.ceil((last + SEED + margin) / F.lit(ROUND)) * ROUND).cast("int").alias(stop),
         ]
 
     ranged = chained.select(
