@@ -7,9 +7,12 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -268,6 +271,26 @@ def test_long_text_does_not_outweigh_its_language(monkeypatch):
     assert drawn.count("long") < 0.2 * len(drawn)
 
 
+def test_prediction_holds_few_words_at_once():
+    """Many different words: their n-grams, and the chains of all texts, are not held at once."""
+    model = langid.fit([("alpha beta gamma", "a"), ("delta epsilon zeta", "b")])
+    words = ["".join(random_.choices("abcdefghij", k=12)) for _ in range(60_000)]
+    texts = [" ".join(words[i : i + 60]) for i in range(0, len(words), 60)]
+    column = pa.array(texts)
+    batches = [pa.record_batch([pa.array([{"text": t} for t in texts]), column], ["row", "text"])]
+    shared = types.SimpleNamespace(value=model)
+    tracemalloc.start()
+    rows = pa.Table.from_batches(langid._predictor(shared)(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    emitted = np.concatenate([model.emissions([w]) for t in texts[:20] for w in t.split()])
+    found, _ = langid.forward_backward(emitted, np.full(20, 60), model.transitions, model.starts)
+    mean = found.reshape(20, 60, 2).mean(axis=1)
+    assert np.allclose(rows["score"].to_numpy()[:20], mean.max(axis=1))
+    assert rows["lang_pred"].to_pylist()[:20] == [model.labels[i] for i in mean.argmax(axis=1)]
+
+
 def test_embeddings(spark):
     random = np.random.default_rng(1)
     base = random.normal(size=(60, 8))

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import batched, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,10 @@ DECAY = 1e-4
 LEXICON_COUNT = 3
 LEXICON_SHARE = 0.9
 CACHE = 200_000
-#: Words whose chains advance together; more of them share the cost of a step.
-TOGETHER = 1_000_000
+#: Words whose chains advance together; more of them share the cost of a step, but are held at once.
+TOGETHER = 500_000
+#: Words whose n-grams are held at once.
+EMITTED = 4096
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,9 +75,12 @@ class Model:
         self.lexicon_weights, self.transitions, self.starts = lexicon_weights, transitions, starts
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        buckets, begin = features(words)
-        scores = np.add.reduceat(self.weights[buckets], begin, axis=0)
-        return scores + self.lexicon_weights[[self.lexicon.get(w, -1) for w in words]]
+        found = []
+        for some in batched(words, EMITTED):
+            buckets, begin = features(some)
+            scores = np.add.reduceat(self.weights[buckets], begin, axis=0)
+            found.append(scores + self.lexicon_weights[[self.lexicon.get(w, -1) for w in some]])
+        return np.concatenate(found)
 
 
 def forward_backward(
@@ -89,7 +94,8 @@ def forward_backward(
     begin = np.cumsum(lengths) - lengths
     order = np.argsort(-lengths, kind="stable")
     begin, lengths = begin[order], lengths[order]
-    lift = np.exp(scores - scores.max(axis=1, keepdims=True))
+    lift = scores - scores.max(axis=1, keepdims=True)
+    np.exp(lift, out=lift)
     move = np.exp(transitions)
     most = int(lengths[0]) if len(lengths) else 0
     active = np.searchsorted(-lengths, -np.arange(most), side="left")
@@ -113,8 +119,9 @@ def forward_backward(
                 total = np.einsum("ni,ij,nj->n", own, move, ahead)
                 pairs += np.einsum("ni,ij,nj->ij", own / total[:, None], move, ahead)
         backward[at] = after = now
-    both = forward * backward
-    return both / both.sum(axis=1, keepdims=True), pairs
+    forward *= backward
+    forward /= forward.sum(axis=1, keepdims=True)
+    return forward, pairs
 
 
 def _lexicon(words: list[str], marks: np.ndarray, labels: int) -> dict[str, int]:
@@ -259,35 +266,34 @@ class Numbers(dict):
 
 def _predictor(shared):
     def bundles(batches: Iterator[pa.RecordBatch]):
-        """Batches with the words of their texts, about TOGETHER words at a time."""
-        held, words = [], 0
+        """Batches with the number of words of each text, the numbers of their words and all
+        words so far, about TOGETHER words at a time. No text or word is held but once."""
+        cache, held, lengths, kinds, total = Numbers(), [], [], [], 0
         for batch in batches:
-            lists = [words_of(t) if shared.value else [] for t in batch.column(1).to_pylist()]
-            held.append((batch.column(0), lists))
-            words += sum(map(len, lists))
-            if words >= TOGETHER:
-                yield held
-                held, words = [], 0
+            for text in batch.column(1):
+                words = words_of(text.as_py()) if shared.value else []
+                lengths.append(len(words))
+                total += len(words)
+                kinds.append(np.fromiter(map(cache.__getitem__, words), np.int32, len(words)))
+            held.append(batch.column(0))
+            if total >= TOGETHER:
+                yield held, np.array(lengths), np.concatenate(kinds), cache
+                held, lengths, kinds, total = [], [], [], 0
+                if len(cache) > CACHE:
+                    cache = Numbers()
         if held:
-            yield held
+            yield held, np.array(lengths, np.int64), np.concatenate([np.zeros(0, np.int32), *kinds]), cache
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache, table = shared.value, Numbers(), None
-        for held in bundles(batches):
-            lists = [words for _, own in held for words in own]
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            pred, score = [UNKNOWN] * len(lists), np.zeros(len(lists))
+        model, known, table = shared.value, None, None
+        for held, lengths, kind, cache in bundles(batches):
+            pred, score = [UNKNOWN] * len(lengths), np.zeros(len(lengths))
             some = np.flatnonzero(lengths)
             if len(some):
-                if len(cache) > CACHE:
-                    cache, table = Numbers(), None
-                known = len(cache)
-                kind = np.fromiter(
-                    (n for words in lists for n in map(cache.__getitem__, words)), np.int64, int(lengths.sum())
-                )
-                if len(cache) > known:
-                    new = model.emissions(list(islice(cache, known, None)))
-                    table = new if table is None else np.concatenate([table, new])
+                if cache is not known:
+                    known, table = cache, np.zeros((0, len(model.labels)))
+                if len(cache) > len(table):
+                    table = np.concatenate([table, model.emissions(list(islice(cache, len(table), None)))])
                 found, _ = forward_backward(
                     table[kind], lengths[some], model.transitions, model.starts, count_pairs=False
                 )
@@ -296,9 +302,10 @@ def _predictor(shared):
                 score[some] = np.clip(mean.max(axis=1), 0, 1)
                 for i, best in zip(some, mean.argmax(axis=1)):
                     pred[i] = model.labels[best]
+                del found
             at = 0
-            for row, own in held:
-                end = at + len(own)
+            for row in held:
+                end = at + len(row)
                 yield pa.record_batch(
                     [row, pa.array(pred[at:end], pa.string()), pa.array(score[at:end])],
                     ["row", "lang_pred", "score"],
