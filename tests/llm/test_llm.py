@@ -532,3 +532,62 @@ def test_passage_of_one_word_repeated(spark):
     rows = passage_chains.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
     assert all(r.last_word - r.first_word >= 39 and r.similarity == 1 for r in rows)
     assert (10, 10) in {(r.first_word, r.other_first) for r in rows}
+
+
+def _chains_of(one, two, least=passage_chains.LEAST_WORDS):
+    """Chains that are kept of two texts, given as lists of words."""
+    sides = []
+    for text in (one, two):
+        words = common.word_hashes(" ".join(text).encode())[0]
+        h, places = passage_chains.seeds(words)
+        sides.append([h.tobytes(), places.astype(np.int32).tobytes(), passage_chains._beside(words, places).tobytes()])
+    names = ["doc", "other", "h", "places", "beside", "g", "others", "beyond"]
+    row = [pa.array([2]), pa.array([1]), *(pa.array([x], pa.binary()) for side in sides for x in side)]
+    batch = pa.record_batch(row, names)
+    return [r for found in passage_chains._chain_rows(least)(iter([batch])) for r in found.to_pylist()]
+
+
+def test_short_repeats_of_a_word_are_no_chains():
+    """Texts of repeated words share seeds with all others that repeat one of the words."""
+    one = ["a"] * 8 + ["the"] * 30 + ["b"] * 20
+    assert not _chains_of(one, ["c"] * 8 + ["the"] * 25 + ["d"] * 20)
+    assert _chains_of(one, ["a"] * 8 + ["the"] * 31 + ["b"] * 20)
+    assert _chains_of(["x"] + ["the"] * 45 + ["y"], ["z"] + ["the"] * 41)
+    assert _chains_of(["x"] + ["the"] * 300 + ["y"], ["z"] + ["the"] * 300)
+
+
+def test_words_beside_seeds_bound_what_agrees():
+    random_texts = random.Random(5)
+
+    def part(words):
+        times = (random_texts.choice((1, 1, 3, 9, 200)) for _ in range(random_texts.randint(1, 9)))
+        return [w for n in times for w in [random_texts.choice(words)] * n]
+
+    told = 0
+    for _ in range(200):
+        words = "abcdefghijkl"[: random_texts.choice((2, 4, 12))]
+        middle = part(words)
+        a, b = (
+            common.word_hashes(" ".join(part(words) + middle + part(words)).encode())[0] for _ in range(2)
+        )
+        (h, x), (g, y) = passage_chains.seeds(a), passage_chains.seeds(b)
+        one, two = passage_chains._matches(h, g)
+        p, q = passage_chains._beside(a, x)[one], passage_chains._beside(b, y)[two]
+        left = passage_chains._agreeing_at_most(p >> 16, q >> 16)
+        right = passage_chains._agreeing_at_most(p & 0xFFFF, q & 0xFFFF)
+        told += int((left < passage_chains.ANY).sum())
+        for i, j, before, after in zip(x[one], y[two], left, right):
+            assert passage_chains._agreeing(a[:i][::-1], b[:j][::-1]) <= before
+            assert passage_chains._agreeing(a[i + passage_chains.SEED :], b[j + passage_chains.SEED :]) <= after
+    assert told > 100
+
+
+def test_agreeing_matches_are_one_block():
+    a = np.arange(300, dtype=np.uint64)
+    b = np.concatenate([a[:100], a[95:]])
+    b[250] = 7
+    xs = np.array([3, 9, 40, 90, 120, 180, 230, 260])
+    ys = xs + 5 * (xs > 95)
+    whole = passage_chains._blocks(a, b, xs, ys, 6)
+    assert whole == [(3, 3, 93), (120, 125, 116), (260, 265, 6)]
+    assert passage_chains.align(a, b, xs, ys, 0.8) == [(0, 300, 0, 305, pytest.approx(2 * 299 / 605))]

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ ROUND = 16
 LEAST_WORDS = 40
 FEW = 8
 REACH = 80
+MOST, ANY = 127, 1 << 30
 SIMILARITY = 0.8
 
 CHAIN = "doc long, other long, places array<int>, others array<int>"
@@ -65,20 +67,42 @@ def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[~inner], picked[~inner]
 
 
+def _beside(words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """What stands on either side of each seed, in two bytes: how often its outer word is
+    repeated there (MOST or more: MOST), and a byte of the word that ends this (0: none)."""
+    breaks = np.flatnonzero(words[1:] != words[:-1]) + 1
+    starts, stops = np.append(0, breaks), np.append(breaks, len(words))
+    tops = np.zeros(len(words) + 2, np.int64)
+    tops[1:-1] = words >> np.uint64(56)
+    first, last = (np.searchsorted(starts, at, "right") - 1 for at in (places, places + SEED - 1))
+    left = np.minimum(places - starts[first], MOST) << 8 | tops[starts[first]]
+    right = np.minimum(stops[last] - places - SEED, MOST) << 8 | tops[stops[last] + 1]
+    return (left << 16 | right).astype(np.int32)
+
+
+def _agreeing_at_most(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Words that can agree beyond two equal seeds, by two bytes of :func:`_beside`; ANY if these do not tell."""
+    times, other = one >> 8, two >> 8
+    ended = (times < MOST) & (one != two)
+    return np.where(times != other, np.minimum(times, other), np.where(ended, times, ANY))
+
+
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes, places, sizes = [], [], []
+        hashes, places, beside, sizes = [], [], [], []
         for text in batch.column(1).to_pylist():
-            found, place = seeds(word_hashes(text.encode())[0])
+            words = word_hashes(text.encode())[0]
+            found, place = seeds(words)
             hashes.append(found)
             places.append(place)
+            beside.append(_beside(words, place))
             sizes.append(len(found))
         if sum(sizes):
             owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             yield pa.record_batch(
                 [batch.column(0).take(owner), pa.array(np.concatenate(hashes).view(np.int64)),
-                 pa.array(np.concatenate(places).astype(np.int32))],
-                ["doc", "h", "place"],
+                 pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(beside))],
+                ["doc", "h", "place", "beside"],
             )
 
 
@@ -90,10 +114,19 @@ def chains(matches: list[tuple[int, int]], size: int = SEED, gap: float = GAP) -
     """
     order = sorted(set(matches))
     seconds = sorted({y for _, y in order})
-    rank = {y: i + 1 for i, y in enumerate(seconds)}
-    best: list[tuple[float, int]] = [(-1e18, -1)] * (len(seconds) + 1)
     score, before = [], []
     start = 0
+    if len(seconds) == len(order) and all(a[0] < b[0] and a[1] < b[1] for a, b in pairwise(order)):
+        # All matches before one come before it in both texts, so the best so far is enough.
+        top = (-1e18, -1)
+        for j, (x, y) in enumerate(order):
+            gain = top[0] - gap * (x + y)
+            score.append(size + max(gain, 0.0))
+            before.append(top[1] if gain > 0 else -1)
+            top = max(top, (score[j] + gap * (x + y), j))
+        start = len(order)
+    rank = {y: i + 1 for i, y in enumerate(seconds)}
+    best: list[tuple[float, int]] = [(-1e18, -1)] * (len(seconds) + 1)
     while start < len(order):
         # Matches with one first place are asked before any of them is entered.
         stop = start
@@ -126,13 +159,12 @@ def chains(matches: list[tuple[int, int]], size: int = SEED, gap: float = GAP) -
     return found
 
 
-def _matches(h: np.ndarray, places: np.ndarray, g: np.ndarray, others: np.ndarray) -> list[tuple[int, int]]:
-    """All pairs of places with one hash; ``g`` is sorted."""
+def _matches(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of all pairs with one hash; ``g`` is sorted."""
     low, high = np.searchsorted(g, h, "left"), np.searchsorted(g, h, "right")
     size = high - low
-    x = np.repeat(places, size)
-    y = others[np.arange(len(x)) - np.repeat(np.cumsum(size) - size - low, size)]
-    return list(zip(x.tolist(), y.tolist()))
+    one = np.repeat(np.arange(len(h)), size)
+    return one, np.arange(len(one)) - np.repeat(np.cumsum(size) - size - low, size)
 
 
 def _least_span(least: int) -> int:
@@ -142,22 +174,39 @@ def _least_span(least: int) -> int:
 
 
 def _chain_rows(least: int):
-    """Chains that are long enough to hold a passage."""
+    """Chains that are long enough to hold a passage.
+
+    A passage reaches no further than the words before the first seed and those after the
+    last one agree, so where :func:`_beside` tells that this is too short, the chain goes.
+    """
     span = _least_span(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, other, *packed in zip(*(c.to_pylist() for c in batch.columns)):
-                h, g = (np.frombuffer(x, np.uint64) for x in packed[::2])
-                places, others = (np.frombuffer(x, np.int32) for x in packed[1::2])
-                matches = _matches(h, places, g, others)
-                if len(matches) < 2 and span > 0:
+                h, g = (np.frombuffer(x, np.uint64) for x in packed[::3])
+                one, two = _matches(h, g)
+                if len(one) < 2 and span > 0:
                     continue
+                places, others = (np.frombuffer(x, np.int32) for x in packed[1::3])
+                beside, beyond = (np.frombuffer(x, np.int32) for x in packed[2::3])
+                beside, beyond = beside[one], beyond[two]
+                before = _agreeing_at_most(beside >> 16, beyond >> 16)
+                after = _agreeing_at_most(beside & 0xFFFF, beyond & 0xFFFF)
+                xs, ys = places[one], others[two]
+                if len(xs) and min(np.ptp(xs), np.ptp(ys)) + SEED + before.max() + after.max() < least:
+                    continue
+                matches = list(zip(xs.tolist(), ys.tolist()))
+                ends = dict(zip(matches, zip(before.tolist(), after.tolist())))
+                sure = len(ends) == len(matches)  # else texts of a repeated id share places
                 # Seeds that stand more than once in both may be the ends of a stretch that repeats.
                 left, right = Counter(x for x, _ in matches), Counter(y for _, y in matches)
                 for chain in chains(matches):
                     (x, y), (x1, y1) = chain[0], chain[-1]
+                    reach = min(x1 - x, y1 - y) + SEED + ends[x, y][0] + ends[x1, y1][1]
+                    if sure and reach < least:
+                        continue
                     if min(x1 - x, y1 - y) >= span or any(left[a] > 1 and right[b] > 1 for a, b in chain):
                         rows.append((doc, other, [a for a, _ in chain], [b for _, b in chain]))
             if rows:
@@ -174,15 +223,15 @@ def _chain_rows(least: int):
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The seeds of each document by hash, as bytes."""
     for batch in batches:
-        hashes, places = [], []
-        for found in batch.column(1).to_pylist():
-            h = np.array([f["h"] for f in found], np.int64).view(np.uint64)
-            place = np.array([f["place"] for f in found], np.int32)
-            order = np.lexsort((place, h))
-            hashes.append(h[order].tobytes())
-            places.append(place[order].tobytes())
+        columns: list[list[bytes]] = [[], [], []]
+        found, ends = batch.column(1).values, batch.column(1).offsets.to_numpy()
+        h, place, beside = (found.field(c).to_numpy() for c in ("h", "place", "beside"))
+        for i, j in pairwise(ends.tolist()):
+            order = i + np.lexsort((place[i:j], h[i:j].view(np.uint64)))
+            for column, values in zip(columns, (h, place, beside)):
+                column.append(values[order].tobytes())
         yield pa.record_batch(
-            [batch.column(0), pa.array(hashes, pa.binary()), pa.array(places, pa.binary())], ["doc", "h", "places"]
+            [batch.column(0), *(pa.array(c, pa.binary()) for c in columns)], ["doc", "h", "places", "beside"]
         )
 
 
@@ -233,12 +282,16 @@ def _keys(least: int, runs: bool):
                     asked = np.zeros(len(words) + 1, np.int64)
                     np.add.at(asked, np.maximum(places + SEED - least, 0), 1)
                     np.add.at(asked, places + 1, -1)
-                    grams = gram_hashes(words, least)
-                    start = np.flatnonzero(np.cumsum(asked)[: len(grams)] > 0)
+                    start = np.flatnonzero(np.cumsum(asked)[: len(words) - least + 1] > 0)
+                    grams = span_hashes(sums, start, start + least)
                     own = label[np.searchsorted(places, start)]
-                    rows.append(np.stack([np.ones(len(start), np.int64), grams[start].view(np.int64),
+                    rows.append(np.stack([np.ones(len(start), np.int64), grams.view(np.int64),
                                           np.zeros(len(start), np.int64), own, own]))
-                rows = np.unique(np.concatenate(rows, axis=1), axis=1)
+                rows = np.concatenate(rows, axis=1)
+                names = np.zeros(rows.shape[1], np.uint64)
+                for column in rows.view(np.uint64):
+                    names = mix(names * BASE + column)
+                rows = rows[:, np.unique(names, return_index=True)[1]]
                 out.append(np.vstack([np.full(rows.shape[1], doc, np.int64), rows]))
             if out:
                 yield pa.record_batch(
@@ -387,21 +440,33 @@ def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
     return int(other[0]) if len(other) else n
 
 
+def _blocks(a, b, xs, ys, size: int) -> list[tuple[int, int, int]]:
+    """Places in both texts and words of the matches; matches between which all words agree are one."""
+    if xs[-1] > len(a) or ys[-1] > len(b):  # places of another text of a repeated id
+        return [(x, y, size) for x, y in zip(xs.tolist(), ys.tolist())]
+    step, ahead = np.diff(xs), np.diff(ys)
+    between = np.where(step == ahead, np.maximum(step - size, 0), 0)
+    owner = np.repeat(np.arange(len(step)), between)
+    along = np.arange(len(owner)) - np.repeat(np.cumsum(between) - between, between) + size
+    wrong = np.bincount(owner[a[xs[owner] + along] != b[ys[owner] + along]], minlength=len(step))
+    fresh = np.append(True, (step != ahead) | (wrong > 0))
+    first, last = np.flatnonzero(fresh), np.flatnonzero(np.append(fresh[1:], True))
+    return list(zip(xs[first].tolist(), ys[first].tolist(), (xs[last] - xs[first] + size).tolist()))
+
+
 def _pieces(a, b, xs, ys, size: int) -> list[tuple[int, int, int, int]]:
     """Stretches that agree word for word, in order: place in a, place in b, words, and
     the common words of the gap before it."""
     pieces: list[tuple[int, int, int, int]] = []
-    for x, y in zip(xs, ys):
+    for x, y, n in _blocks(a, b, xs, ys, size):
         if not pieces:
             left = _agreeing(a[:x][::-1], b[:y][::-1])
-            pieces.append((x - left, y - left, left + size, 0))
+            pieces.append((x - left, y - left, left + n, 0))
         else:
-            x0, y0, n, c0 = pieces[-1]
-            at_a, at_b = x0 + n, y0 + n
+            x0, y0, n0, c0 = pieces[-1]
+            at_a, at_b = x0 + n0, y0 + n0
             skip = max(at_a - x, at_b - y, 0)  # part of this match that is counted already
-            if skip >= size:
-                continue
-            x, y, n = x + skip, y + skip, size - skip
+            x, y, n = x + skip, y + skip, n - skip
             right = _agreeing(a[at_a:x], b[at_b:y])
             pieces[-1] = (x0, y0, at_a - x0 + right, c0)
             at_a, at_b = at_a + right, at_b + right
@@ -412,6 +477,13 @@ def _pieces(a, b, xs, ys, size: int) -> list[tuple[int, int, int, int]]:
     return pieces
 
 
+def _reach(a, b, xs, ys, size: int = SEED) -> int:
+    """Words of the shorter side of all that a chain can hold: up to where words differ on either end."""
+    left = _agreeing(a[: xs[0]][::-1], b[: ys[0]][::-1])
+    right = _agreeing(a[xs[-1] + size :], b[ys[-1] + size :])
+    return int(min(xs[-1] - xs[0], ys[-1] - ys[0])) + size + left + right
+
+
 def align(a, b, xs, ys, similarity: float, size: int = SEED) -> list[tuple[int, int, int, int, float]]:
     """Bounds in both texts and similarity of the passages in a chain of matches at xs and ys.
 
@@ -454,10 +526,14 @@ def _aligned(least: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, other, xs, ys, start, begin, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            lists = [[c.values.to_numpy()[i:j] for i, j in pairwise(c.offsets.to_pylist())] for c in batch.columns[2:4]]
+            plain = (c.to_pylist() for i, c in enumerate(batch.columns) if i not in (2, 3))
+            for xs, ys, doc, other, start, begin, a, b in zip(*lists, *plain):
                 start, begin = max(start, 0), max(begin, 0)
                 a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                near = [x - start for x in xs], [y - begin for y in ys]
+                near = xs - start, ys - begin
+                if _reach(a, b, *near) < least:
+                    continue
                 for lo, hi, low, high, alike in align(a, b, *near, similarity):
                     if alike >= similarity and min(hi - lo, high - low) >= least:
                         rows.append((doc, lo + start, hi + start - 1, other, low + begin, high + begin - 1, alike))
@@ -491,7 +567,7 @@ def repeated_passages(
     base = docs.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc"), text_column().alias("text")
     )
-    found = steps.save(base.mapInArrow(_seed_rows, "doc long, h long, place int"), "seeds")
+    found = steps.save(base.mapInArrow(_seed_rows, "doc long, h long, place int, beside int"), "seeds")
     often = found.groupBy("h").agg(
         F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")
     ).where("low < high")
@@ -499,8 +575,8 @@ def repeated_passages(
     shared = steps.save(found.join(often, "h"), "shared")
     steps.drop(found)
     packed = steps.save(
-        shared.groupBy("doc").agg(F.collect_set(F.struct("h", "place")).alias("found"))
-        .mapInArrow(_packed, "doc long, h binary, places binary"),
+        shared.groupBy("doc").agg(F.collect_set(F.struct("h", "place", "beside")).alias("found"))
+        .mapInArrow(_packed, "doc long, h binary, places binary, beside binary"),
         "packed",
     )
     # A document with one place has no passage that is longer than what one seed extends to.
@@ -538,10 +614,10 @@ def _compared(
 ) -> DataFrame:
     """Passages of the pairs ``met`` (doc, other), from the seeds that the two share."""
     both_seeds = met.join(packed, "doc").join(
-        packed.toDF("other", "g", "others"), "other"
+        packed.toDF("other", "g", "others", "beyond"), "other"
     )
     chained = steps.save(
-        both_seeds.select("doc", "other", "h", "places", "g", "others").mapInArrow(_chain_rows(least_words), CHAIN),
+        both_seeds.select("doc", "other", "h", "places", "beside", "g", "others", "beyond").mapInArrow(_chain_rows(least_words), CHAIN),
         "chains",
     )
 
