@@ -195,7 +195,7 @@ def _chain_rows(least: int):
                 before = _agreeing_at_most(beside >> 16, beyond >> 16)
                 after = _agreeing_at_most(beside & 0xFFFF, beyond & 0xFFFF)
                 xs, ys = places[one], others[two]
-                if len(xs) and min(np.ptp(xs), np.ptp(ys)) + SEED + before.max() + after.max() < least:
+                if len(xs) and int(min(np.ptp(xs), np.ptp(ys))) + SEED + int(before.max()) + int(after.max()) < least:
                     continue
                 matches = list(zip(xs.tolist(), ys.tolist()))
                 ends = dict(zip(matches, zip(before.tolist(), after.tolist())))
