@@ -591,3 +591,53 @@ def test_agreeing_matches_are_one_block():
     whole = passage_chains._blocks(a, b, xs, ys, 6)
     assert whole == [(3, 3, 93), (120, 125, 116), (260, 265, 6)]
     assert passage_chains.align(a, b, xs, ys, 0.8) == [(0, 300, 0, 305, pytest.approx(2 * 299 / 605))]
+
+
+def _keyed(words, runs, labels=None, doc=1):
+    """Keys of one document of all its seeds, each place a class of its own."""
+    text = " ".join(words).encode()
+    packed = len(text).to_bytes(8, "little") + pa.Codec("zstd").compress(text, asbytes=True)
+    h, places = passage_chains.seeds(common.word_hashes(text)[0])
+    labels = places.tolist() if labels is None else labels
+    found = [{"place": p, "h": x, "label": n} for p, x, n in zip(places.tolist(), h.view(np.int64).tolist(), labels)]
+    kind = pa.list_(pa.struct([("place", pa.int32()), ("h", pa.int64()), ("label", pa.int64())]))
+    batch = pa.record_batch(
+        [pa.array([doc]), pa.array([[packed]], pa.list_(pa.binary())), pa.array([found], kind)], ["doc", "text", "found"]
+    )
+    return [r for out in passage_chains._keys(40, runs)(iter([batch])) for r in out.to_pylist()]
+
+
+def test_ends_of_a_repeated_word_are_no_key():
+    """Else all documents that repeat a word would meet in pairs; with a third seed they still do."""
+    junk = [w for n, w in ((20, "the"), (30, "of"), (25, "a")) for w in [w] * n]
+    keys = collections.Counter(r["key"] for r in _keyed(junk, False))
+    h, places = passage_chains.seeds(common.word_hashes(" ".join(junk).encode())[0])
+    ends = {x for x, n in collections.Counter(h.tolist()).items() if n == 2}
+    own = {int(common.mix(common.mix(np.array([x], np.uint64)) * common.BASE + common.mix(np.array([x], np.uint64))).view(np.int64)[0]) for x in ends}
+    assert len(ends) == 3 and not own & set(keys)
+    assert own <= {r["key"] for r in _keyed(junk, True)}
+    pairs = sum(q - p <= passage_chains.REACH for p, q in itertools.combinations(sorted(places.tolist()), 2))
+    assert sum(keys.values()) == pairs - 3
+
+
+def test_few_rows_of_a_key_tell_as_much_as_all():
+    random_rows = random.Random(11)
+    for n, kinds in ((40, 2), (60, 3), (200, 4), (300, 9)):
+        rows = np.array([[0, 5, *(random_rows.randrange(kinds) for _ in range(3))] for _ in range(n)], np.int64).T
+        told = passage_chains._told(rows)
+        assert told.shape[1] <= 16
+        for other in itertools.product(range(-1, kinds), repeat=3):
+            differs = [(x[2:] != np.array(other)[:, None]).all(axis=0).any() for x in (rows, told)]
+            assert differs[0] == differs[1]
+    # A page that repeats a sentence: a row for each pair of its places before.
+    page = [f"w{k}" for k in range(30)] * 40
+    rows = _keyed(page, False)
+    assert max(collections.Counter((r["run"], r["key"]) for r in rows).values()) <= 16
+
+
+def test_lowest_of_neighbours():
+    random_values = np.random.default_rng(3)
+    for n, most, span in ((1, 9, 1), (12, 3, 12), (50, 4, 12), (400, 2**60, 12), (30, 5, 7)):
+        values = random_values.integers(0, most, n).astype(np.uint64)
+        views = np.lib.stride_tricks.sliding_window_view(values, span)
+        assert passage_chains._lowest(values, span).tolist() == np.unique(views.argmin(axis=1) + np.arange(len(views))).tolist()

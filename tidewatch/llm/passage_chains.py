@@ -11,7 +11,8 @@
    one that has it, and two seeds within REACH words of each other. A passage holds such
    a run or two such seeds with different words between them, so in the end all
    documents of two seeds meet whose places are still in different classes and whose
-   words between them differ.
+   words between them differ. The two ends of one repeated word are no such seeds: what
+   they have in common is an exact run, and with a third seed they are two others.
 3. Two documents that meet are compared by all seeds they share, which are chained: of
    the matches before one in both documents the best predecessor is found with a Fenwick
    tree over the second document's places, whose maxima include the linear cost of the gap.
@@ -45,20 +46,30 @@ ROUND = 16
 LEAST_WORDS = 40
 FEW = 8
 REACH = 80
+TOLD = 16
 MOST, ANY = 127, 1 << 30
 SIMILARITY = 0.8
 
 CHAIN = "doc long, other long, places array<int>, others array<int>"
 
 
+def _lowest(values: np.ndarray, span: int) -> np.ndarray:
+    """Places of the smallest of each ``span`` neighbouring values, the first of equal ones."""
+    at, low, size = np.arange(len(values)), values, 1
+    while size < span:
+        step = min(size, span - size)
+        later = low[step:] < low[:-step]
+        at, low = (np.where(later, x[step:], x[:-step]) for x in (at, low))
+        size += step
+    return at[np.append(True, at[1:] != at[:-1])]
+
+
 def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and places of the seeds of a text, by hash and place."""
     if len(words) < SEED:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     grams = gram_hashes(words, SEED)
-    span = min(WINDOW, len(grams))
-    views = np.lib.stride_tricks.sliding_window_view(grams, span)
-    picked = np.unique(views.argmin(axis=1) + np.arange(len(views)))
+    picked = _lowest(grams, min(WINDOW, len(grams)))
     picked = picked[np.argsort(grams[picked], kind="stable")]
     found = grams[picked]
     # Inside of a stretch that repeats, the places between its ends say nothing more.
@@ -251,11 +262,39 @@ def _words(texts: list[bytes]) -> np.ndarray:
     return word_hashes(min(found))[0]
 
 
+def _telling(rows: np.ndarray, places: np.ndarray, columns: tuple[int, ...]) -> set[int]:
+    """Some of the ``places`` in ``rows``, at most 16 for three columns: where one of all differs
+    from a row of any other table in each of the columns, one of these does."""
+    if not len(places):
+        return set()
+    first = int(places[0])
+    found = {first}
+    for c in columns:
+        # What agrees with the first one in this column differs from all these there.
+        other = places[rows[c, places] != rows[c, first]]
+        found |= _telling(rows, other, tuple(x for x in columns if x != c))
+    return found
+
+
+def _told(rows: np.ndarray) -> np.ndarray:
+    """Rows of a document (run, key, content, left, right), of a key that it has often the telling ones."""
+    order = np.lexsort(rows[:2])
+    rows = rows[:, order]
+    starts = np.flatnonzero(np.append(True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)))
+    sizes = np.diff(np.append(starts, rows.shape[1]))
+    kept = np.repeat(sizes <= TOLD, sizes)
+    for start, size in zip(starts[sizes > TOLD], sizes[sizes > TOLD]):
+        kept[list(_telling(rows, np.arange(start, start + size), (2, 3, 4)))] = True
+    return rows[:, kept]
+
+
 def _keys(least: int, runs: bool):
     """Longer contexts of the asked places: key, the words it has there, labels of its places.
 
-    Runs of ``least`` words that hold an asked place (if ``runs``), and two asked places
-    within REACH words of each other.
+    Two asked places within REACH words of each other, and if ``runs``, runs of ``least``
+    words that hold an asked place. Without ``runs`` the ends of one repeated word are left
+    out: an exact run is all they can have in common, unless there is a third seed, and
+    with that one the words differ as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,6 +312,11 @@ def _keys(least: int, runs: bool):
                 size = np.searchsorted(places, places + REACH, "right") - at - 1
                 one = np.repeat(at, size)
                 two = np.arange(len(one)) - np.repeat(np.cumsum(size) - size - at - 1, size)
+                if not runs and len(words):
+                    word = np.cumsum(np.append(0, words[1:] != words[:-1]))  # number of the repeated word
+                    last = np.minimum(places + SEED, len(words)) - 1
+                    apart = word[np.minimum(places, len(words) - 1)][one] != word[last][two]
+                    one, two = one[apart], two[apart]
                 key = mix(mix(h[one]) * BASE + mix(h[two]))
                 ends = np.minimum(places[two] + SEED, len(words))
                 content = span_hashes(sums, places[one], ends)
@@ -292,6 +336,8 @@ def _keys(least: int, runs: bool):
                 for column in rows.view(np.uint64):
                     names = mix(names * BASE + column)
                 rows = rows[:, np.unique(names, return_index=True)[1]]
+                if rows.shape[1]:
+                    rows = _told(rows)
                 out.append(np.vstack([np.full(rows.shape[1], doc, np.int64), rows]))
             if out:
                 yield pa.record_batch(
@@ -592,11 +638,19 @@ def repeated_passages(
     rows = _compared(texts, packed, met, steps, least_words, similarity)
     frequent = steps.save(shared.where(f"n > {FEW}").select("doc", "h", "place").distinct(), "frequent")
     steps.drop(shared)
-    for number, (runs, pairs) in enumerate(((True, lambda k: _stars(_open_keys(k))), (False, _apart))):
+    left = None
+    for runs in (True, False):
         classes = _classes(rows, steps)
         asked = _open_places(frequent, classes)
+        if left is not None:
+            # Classes only grow, so a key that is open now was open before.
+            asked = asked.join(left, "doc", "left_semi")
         keyed = steps.save(texts.join(asked, "doc").select("doc", "text", "found").mapInArrow(_keys(least_words, runs), KEYS), "keys")
-        again = steps.save(pairs(keyed).join(met, ["doc", "other"], "left_anti"), "again")
+        if runs:
+            open_ = steps.save(_open_keys(keyed).select("doc", "run", "low", "high").distinct(), "open")
+            left = steps.save(open_.where("run = 0").select("doc").distinct(), "left")
+        pairs = _stars(open_) if runs else _apart(keyed)
+        again = steps.save(pairs.join(met, ["doc", "other"], "left_anti"), "again")
         steps.drop(keyed, classes)
         rows = rows.unionByName(_compared(texts, packed, again, steps, least_words, similarity))
         met = met.unionByName(again)
