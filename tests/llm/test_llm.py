@@ -641,3 +641,14 @@ def test_lowest_of_neighbours():
         values = random_values.integers(0, most, n).astype(np.uint64)
         views = np.lib.stride_tricks.sliding_window_view(values, span)
         assert passage_chains._lowest(values, span).tolist() == np.unique(views.argmin(axis=1) + np.arange(len(views))).tolist()
+
+
+def test_texts_that_nobody_asks_for_are_not_shuffled(spark, monkeypatch):
+    rows = spark.range(50).select(F.col("id").alias("doc"), F.lit("text").alias("text"))
+    pairs = spark.createDataFrame([(7, 3), (9, 3)], "doc long, other long")
+    docs = passage_chains._sided(pairs)
+    found = passage_chains._only(rows, docs)
+    assert sorted(r.doc for r in found.collect()) == [3, 7, 9]
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(passage_chains, "ASKED", 2)
+    assert passage_chains._only(rows, docs) is rows

@@ -37,6 +37,7 @@ from tidewatch.llm.common import (
     BASE, Steps, gram_hashes, mix, prefix_hashes, span_hashes, text_column, word_hashes,
 )
 from tidewatch.llm.components import connected_components
+from tidewatch.operators.sizing import at_most
 
 SEED = 6
 WINDOW = 12
@@ -47,6 +48,7 @@ LEAST_WORDS = 40
 FEW = 8
 REACH = 80
 TOLD = 16
+ASKED = 1_000_000
 MOST, ANY = 127, 1 << 30
 SIMILARITY = 0.8
 
@@ -447,6 +449,18 @@ def _open_places(frequent: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def _only(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` of the documents ``docs``; all rows where these documents are many.
+
+    Its join with what is asked of the documents then shuffles the rows of these only.
+    """
+    return rows.join(F.broadcast(docs), "doc", "left_semi") if at_most(docs, ASKED) else rows
+
+
+def _sided(pairs: DataFrame) -> DataFrame:
+    return pairs.select("doc").unionByName(pairs.select(F.col("other").alias("doc"))).distinct()
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word hashes of the asked stretches of each document."""
     for batch in batches:
@@ -645,14 +659,15 @@ def repeated_passages(
         if left is not None:
             # Classes only grow, so a key that is open now was open before.
             asked = asked.join(left, "doc", "left_semi")
-        keyed = steps.save(texts.join(asked, "doc").select("doc", "text", "found").mapInArrow(_keys(least_words, runs), KEYS), "keys")
+        asked_texts = texts if left is None else _only(texts, left)
+        keyed = steps.save(asked_texts.join(asked, "doc").select("doc", "text", "found").mapInArrow(_keys(least_words, runs), KEYS), "keys")
         if runs:
             open_ = steps.save(_open_keys(keyed).select("doc", "run", "low", "high").distinct(), "open")
             left = steps.save(open_.where("run = 0").select("doc").distinct(), "left")
         pairs = _stars(open_) if runs else _apart(keyed)
         again = steps.save(pairs.join(met, ["doc", "other"], "left_anti"), "again")
         steps.drop(keyed, classes)
-        rows = rows.unionByName(_compared(texts, packed, again, steps, least_words, similarity))
+        rows = rows.unionByName(_compared(texts, packed, again, steps, least_words, similarity, few=True))
         met = met.unionByName(again)
     classes = _classes(rows, steps)
     first = classes.groupBy("component").agg(F.min(F.struct("doc", "start")).alias("least"))
@@ -664,9 +679,15 @@ def repeated_passages(
 
 
 def _compared(
-    texts: DataFrame, packed: DataFrame, met: DataFrame, steps: Steps, least_words: int, similarity: float
+    texts: DataFrame, packed: DataFrame, met: DataFrame, steps: Steps, least_words: int, similarity: float,
+    few: bool = False,
 ) -> DataFrame:
-    """Passages of the pairs ``met`` (doc, other), from the seeds that the two share."""
+    """Passages of the pairs ``met`` (doc, other), from the seeds that the two share.
+
+    ``few`` says that the pairs may be of few of all documents.
+    """
+    if few:
+        packed = _only(packed, _sided(met))
     both_seeds = met.join(packed, "doc").join(
         packed.toDF("other", "g", "others", "beyond"), "other"
     )
@@ -675,6 +696,9 @@ def _compared(
         "chains",
     )
 
+    if few:
+        texts = _only(texts, _sided(chained))
+
     # In a stretch that repeats, one seed may be all that is left of a passage.
     margin = max(MARGIN, least_words)
 
